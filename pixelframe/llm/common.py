@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 from collections.abc import Callable, Iterator
@@ -37,6 +38,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished steps, which it does once the driver's
+    garbage collector has seen that nothing refers to them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     """Bytes of all texts: what block counts are derived from."""
     return docs.select(F.sum(F.octet_length(F.col(text_col).cast("string"))).alias("n")).first()["n"] or 0
