@@ -241,13 +241,12 @@ class Coder:
                     ids.append(self.v.special[x])
                     continue
                 found = self.words(x)
-                get = self.known.__getitem__
+                before = len(ids)
                 try:
-                    ids += chain.from_iterable(map(get, found))
+                    ids += chain.from_iterable(map(self.known.__getitem__, found))
                 except KeyError:
-                    before = len(ids)
-                    self.learn(set(found))
                     del ids[before:]
+                    self.learn(set(found))
                     ids += chain.from_iterable(map(self.known.__getitem__, found))
             out.append(ids)
         return out

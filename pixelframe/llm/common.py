@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -41,8 +42,10 @@ def cut(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished steps, which it does once the driver's
     garbage collector has seen that nothing refers to them."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def text_bytes(docs: DataFrame, text_col: str) -> int:

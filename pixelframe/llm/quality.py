@@ -2,10 +2,10 @@
 
 Each rule votes good (1) or bad (0) on a document or abstains (null). Documents are counted
 by vote pattern: with r rules at most 3**r rows, whatever the corpus size. On these counts
-expectation-maximisation estimates each rule's accuracy and the share of good documents
-(one accuracy a rule, votes independent given the class), written as one nested SQL
-aggregate. A document's posterior probability of being good is the logistic sum of its
-votes, weighted by log(accuracy / (1 - accuracy)), and replaces "all rules must pass".
+expectation-maximisation estimates each rule's accuracy on good and on bad documents and the
+share of good ones (votes independent given the class), in SQL array functions over the one
+row of patterns. A document's posterior probability of being good adds the log-likelihood
+ratios of its votes, and replaces "all rules must pass".
 
 Base counts (contract): words are runs of anything but ASCII white space. Repeated words
 are found without any exchange: 64-bit hashes of the 3-word windows of one text are sorted
@@ -18,6 +18,8 @@ travel in a struct, so names can't clash.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +27,10 @@ from .common import cut, table
 
 SPACES = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
-ROUNDS = 30
-PRIOR, START = 0.8, 0.75
-LOW, HIGH = 0.55, 0.99
+ROUNDS = 15
+PRIOR = 0.85
+START = {"gg": 0.9, "gb": 0.02, "bg": 0.5, "bb": 0.4}
+SMOOTH = 1.0
 
 
 def ratio(a: str, b: str) -> Column:
@@ -42,15 +45,16 @@ def rules() -> dict[str, Column]:
     """Name -> vote (1 good, 0 bad, null abstains) over the columns of features()."""
     repeat, symbols, lines = ratio("n_repeat_words", "n_words"), ratio("n_symbols", "word_chars"), ratio("n_dup_lines", "n_lines")
     mean, shout, variety = ratio("word_chars", "n_words"), ratio("n_shouts", "n_words"), ratio("n_distinct", "n_words")
-    n = F.col("n_words")
+    marked, capitals, n = ratio("n_symbols", "n_words"), ratio("n_capitals", "word_chars"), F.col("n_words")
     return {
-        "repeats": banded(repeat, repeat < 0.15, repeat > 0.35),
-        "symbols": banded(symbols, symbols < 0.01, symbols > 0.05),
-        "lines": banded(lines, lines < 0.05, lines > 0.3),
-        "word_length": banded(mean, mean.between(3.5, 8.0), (mean < 2.5) | (mean > 12.0)),
-        "shouting": banded(shout, shout < 0.02, shout > 0.2),
-        "length": banded(n, n >= 60, n < 20),
-        "variety": F.when(n >= 20, banded(variety, variety > F.least(F.lit(0.35), 25.0 / n), variety < F.least(F.lit(0.1), 8.0 / n))),
+        "repeats": banded(repeat, repeat < 0.2, repeat > 0.4),
+        "variety": F.when(n >= 30, banded(variety, variety > F.least(F.lit(0.35), 25.0 / n), variety < F.least(F.lit(0.2), 10.0 / n))),
+        "symbols": banded(symbols, symbols < 0.02, symbols > 0.05),
+        "marked_words": banded(marked, marked < 0.1, marked > 0.25),
+        "shouting": banded(shout, shout < 0.05, shout > 0.2),
+        "capitals": banded(capitals, capitals < 0.15, capitals > 0.4),
+        "lines": banded(lines, lines < 0.1, (lines > 0.3) & (F.col("n_dup_lines") >= 4)),
+        "word_length": banded(mean, mean.between(3.5, 9.0), (mean < 2.0) | (mean > 15.0)),
     }
 
 
@@ -65,12 +69,13 @@ def features(docs: DataFrame, text_col: str = "text", carry: list[str] | None =
         F.length(F.translate("t", SPACES, "")).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.length("t") - F.length(F.translate("t", "!", ""))).cast("long").alias("n_shouts"),
+        (F.length("t") - F.length(F.translate("t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_capitals"),
         F.filter(F.split("t", "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0).alias("lines"),
     )
     n = F.size("w")
     h = F.when(n >= 3, F.transform("w", lambda x: F.xxhash64(x)))
     d = d.select(
-        "row", "word_chars", "n_symbols", "n_shouts", n.cast("long").alias("n_words"), h.alias("h"),
+        "row", "word_chars", "n_symbols", "n_shouts", "n_capitals", n.cast("long").alias("n_words"), h.alias("h"),
         F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.array_distinct("w")).cast("long").alias("n_distinct"),
     )
@@ -87,29 +92,43 @@ def features(docs: DataFrame, text_col: str = "text", carry: list[str] | None =
     return d.select(*rest, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
-def accuracies(votes: DataFrame, names: list[str]) -> DataFrame:
-    """One row: prior and acc (one accuracy a rule), from the votes of all documents."""
+def estimates(votes: DataFrame, names: list[str]) -> DataFrame:
+    """One row: prior (share of good documents) and, for each rule, the probabilities of a
+    good and a bad vote on good documents (gg, gb) and on bad ones (bg, bb); the rest abstains."""
     patterns = votes.groupBy(*names).agg(F.count("*").cast("double").alias("n"))
-    signs = F.array(*[F.when(F.col(c).isNull(), 0.0).otherwise(F.col(c) * 2.0 - 1.0) for c in names])
+    signs = F.array(*[F.when(F.col(c).isNull(), 0).otherwise(F.col(c) * 2 - 1) for c in names])
     one = patterns.agg(F.array_sort(F.collect_list(F.struct(signs.alias("v"), F.col("n").alias("n")))).alias("p"))
 
-    def step(state: Column, _: Column) -> Column:
-        weights = F.transform(state["acc"], lambda a: F.log(a / (1.0 - a)))
-        start = F.log(state["prior"] / (1.0 - state["prior"]))
-        odds = lambda x: F.aggregate(F.zip_with(x["v"], weights, lambda v, w: v * w), start, lambda a, b: a + b)
-        post = F.transform(F.col("p"), lambda x: F.struct(x["v"].alias("v"), x["n"].alias("n"), (1.0 / (1.0 + F.exp(-odds(x)))).alias("g")))
-        total = F.aggregate(F.col("p"), F.lit(0.0), lambda a, x: a + x["n"])
-        good = F.aggregate(post, F.lit(0.0), lambda a, x: a + x["n"] * x["g"])
-        right_of = lambda j: lambda a, x: a + x["n"] * F.when(x["v"][j] > 0, x["g"]).when(x["v"][j] < 0, 1.0 - x["g"]).otherwise(0.0)
-        voted_of = lambda j: lambda a, x: a + x["n"] * F.abs(x["v"][j])
-        right = [F.aggregate(post, F.lit(0.0), right_of(j)) for j in range(len(names))]
-        voted = [F.aggregate(F.col("p"), F.lit(0.0), voted_of(j)) for j in range(len(names))]
-        bound = lambda c: F.least(F.lit(HIGH), F.greatest(F.lit(LOW), c))
-        acc = F.array(*[bound((r + START) / (v + 1.0)) for r, v in zip(right, voted)])
-        return F.struct(bound((good + PRIOR) / (total + 1.0)).alias("prior"), acc.alias("acc"))
-
-    first = F.struct(F.lit(PRIOR).alias("prior"), F.array(*[F.lit(START)] * len(names)).alias("acc"))
-    return one.select(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), first, step).alias("m")).select("m.prior", "m.acc")
+    def weight(v: Column, e: Column) -> Column:
+        rest = F.log((1.0 - e["gg"] - e["gb"]) / (1.0 - e["bg"] - e["bb"]))
+        return F.when(v > 0, F.log(e["gg"] / e["bg"])).when(v < 0, F.log(e["gb"] / e["bb"])).otherwise(rest)
+
+    def expected(x: Column) -> Column:
+        """Of a pattern's documents, how many are good and how many bad."""
+        m = F.col("m")
+        odds = F.aggregate(F.zip_with(x["v"], m["rules"], weight), F.log(m["prior"] / (1.0 - m["prior"])), lambda a, b: a + b)
+        good = 1.0 / (1.0 + F.exp(-odds))
+        return F.struct(x["v"].alias("v"), (x["n"] * good).alias("g"), (x["n"] * (1.0 - good)).alias("b"))
+
+    def total(of: str) -> Column:
+        return F.aggregate("post", F.lit(0.0), lambda a, x: a + x[of])
+
+    def share(of: str, out_of: str, rule: Column, vote: int) -> Column:
+        voted = F.aggregate("post", F.lit(0.0), lambda a, x: a + F.when(F.get(x["v"], rule) == vote, x[of]).otherwise(0.0))
+        return (voted + SMOOTH) / (F.col(out_of) + 3 * SMOOTH)
+
+    def rule_of(j: Column) -> Column:
+        return F.struct(share("g", "good", j, 1).alias("gg"), share("g", "good", j, -1).alias("gb"), share("b", "bad", j, 1).alias("bg"), share("b", "bad", j, -1).alias("bb"))
+
+    start = F.array(*[F.struct(*[F.lit(x).alias(k) for k, x in START.items()])] * len(names))
+    prior = (F.col("good") + PRIOR) / (F.col("good") + F.col("bad") + 1.0)
+    one = one.select("p", F.struct(F.lit(PRIOR).alias("prior"), start.alias("rules")).alias("m"))
+    for _ in range(ROUNDS):
+        one = one.select("p", F.transform("p", expected).alias("post"))
+        one = one.select("p", "post", total("g").alias("good"), total("b").alias("bad"))
+        rules_ = F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)), rule_of)
+        one = one.select("p", F.struct(F.least(F.lit(0.99), F.greatest(F.lit(0.5), prior)).alias("prior"), rules_.alias("rules")).alias("m"))
+    return one.select("m.prior", "m.rules")
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -119,13 +138,11 @@ def quality_rules(docs: DataFrame, text_col: str = "text", carry: list[str] | No
     votes = rules()
     counted = counted.withColumns({f"vote_{k}": v for k, v in votes.items()})
     names = [f"vote_{k}" for k in votes]
-    fit = accuracies(counted, names).first()  # one row of len(votes) + 1 numbers
-    if fit is None or fit["acc"] is None:
-        fit = {"prior": PRIOR, "acc": [START] * len(names)}
-    odds = F.log(F.lit(fit["prior"]) / F.lit(1.0 - fit["prior"]))
-    for c, a in zip(names, fit["acc"]):
-        weight = F.log(F.lit(a) / F.lit(1.0 - a))
-        odds = odds + F.when(F.col(c).isNull(), 0.0).otherwise((F.col(c) * 2.0 - 1.0) * weight)
+    fit = estimates(counted, names).first()  # one row: four numbers a rule, and the prior
+    odds = F.lit(math.log(fit["prior"] / (1.0 - fit["prior"])))
+    for c, e in zip(names, fit["rules"]):
+        rest = math.log((1.0 - e["gg"] - e["gb"]) / (1.0 - e["bg"] - e["bb"]))
+        odds = odds + F.when(F.col(c) == 1, math.log(e["gg"] / e["bg"])).when(F.col(c) == 0, math.log(e["gb"] / e["bb"])).otherwise(rest)
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     out = counted.withColumn("base_failed", failed).withColumn("posterior", 1.0 / (1.0 + F.exp(-odds)))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))

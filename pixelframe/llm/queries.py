@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from .bpe import op7_bpe_encoding
+from .decontamination import op1_decontamination
+from .jaccard import op10_ngram_jaccard
+from .quality import op9_quality_rules
 from .substring_dedup import op2_substring_dedup
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op7_bpe_encoding": op7_bpe_encoding,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {}

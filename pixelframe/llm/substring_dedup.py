@@ -30,9 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import kernels as K
 from .common import NO_ID, cut, keyed, map_batches, release, text_bytes
+from .sketches import cells, key_hash, marks
 
 FLUSH_WINDOWS = 2_000_000
 RANGE_BYTES = 24 << 20  # of text: about 4 million windows for a reducer
@@ -283,8 +285,8 @@ def state_columns(q: int, ids, ths, counts, positions, h) -> tuple:
     return (q, ids[d].tobytes(), ths[d].tobytes(), counts[d].astype(np.int32).tobytes(), pa.compress(np.diff(positions, prepend=0).astype(np.int32).tobytes(), "zstd", asbytes=True), h.tobytes())
 
 
-def packed_by_group(groups: int):
-    """Rows with (id, th), dealt by group and packed: compressed columns shuffle at about a
+def packed_by_group(groups: int, answered: np.ndarray):
+    """Rows whose (id, th) is marked as answered, dealt by group and packed: compressed columns shuffle at about a
     third of the size of plain rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,12 +305,13 @@ def packed_by_group(groups: int):
 
         size = 0
         for b in batches:
+            b = b.filter(pa.array(answered[cells(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))]))
             held.append(b)
             size += b.nbytes
             if size >= PACK_BYTES:
                 yield from packs()
                 held, size = [], 0
-        if held:
+        if size:
             yield from packs()
 
     return run
@@ -328,16 +331,34 @@ def first_level(docs: DataFrame, id_col: str, text_col: str, window: int, keep_t
     size = text_bytes(docs, text_col)
     ranges, groups = max(16, -(-size // RANGE_BYTES)), max(64, -(-size // GROUP_BYTES))
     base = keyed(docs, id_col, text_col)
-    replies = exchange(map_batches(base.select("id", "th", "text"), from_text(window, ranges, groups), BLOCK), ranges, groups)
+    replies = cut(exchange(map_batches(base.select("id", "th", "text"), from_text(window, ranges, groups), BLOCK), ranges, groups))
+    release(docs.sparkSession)
+    answered = marks(replies.select("ids", "ths"), [("ids", "ths")], packed=True)
     t = F.col(text_col).cast("string")
     key = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(t).alias("th"), t.alias("text"), F.struct(*[F.col(c) for c in carry]).alias("row"))
 
-    left = map_batches(key, packed_by_group(groups), "q int, pack binary")
+    left = map_batches(key, packed_by_group(groups, answered), "q int, pack binary")
     row_type = key.schema["row"].dataType.simpleString()
     schema = f"id bigint, th bigint, row {row_type}, n_words bigint, n_removed bigint, kept string, repeated boolean, {STATE}"
     table = K.space_words()
 
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents without a repeated window keep all words."""
+        for b in batches:
+            b = b.filter(pa.array(~answered[cells(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))]))
+            buf, offsets = K.text_buffer(b.column("text"))
+            starts, ends, first = K.word_spans(buf, offsets, table)
+            kept = [left_over(buf, offsets, starts, ends, first, i, None) for i in range(b.num_rows)]
+            yield from out_table(b, np.diff(first).tolist(), [0] * b.num_rows, kept, [False] * b.num_rows, None).to_batches()
+
+    def left_over(buf, offsets, starts, ends, first, i: int, gone) -> str:
+        a, z, o = first[i], first[i + 1], offsets[i]
+        data = K.kept_bytes(buf[o : offsets[i + 1]], starts[a:z] - o, ends[a:z] - o, np.ones(z - a, bool) if gone is None else ~gone)
+        return data.decode("utf-8", "replace") if keep_text else hashlib.sha256(data).hexdigest()
+
     def settle(docs_t: pa.Table, replies_t: pa.Table) -> pa.Table:
+        if not docs_t.num_rows:  # a mark that another key has too
+            return pa.Table.from_batches([], out_schema)
         q = docs_t.column("q")[0].as_py()
         docs_t = unpacked(docs_t.column("pack"))
         n_docs = docs_t.num_rows
@@ -367,12 +388,9 @@ def first_level(docs: DataFrame, id_col: str, text_col: str, window: int, keep_t
             any_rep[np.repeat(np.arange(len(unique)), counts[unique])[rep]] = True
         for i in range(n_docs):
             u = key_of[i]
-            a, b = first[unique[u]], first[unique[u] + 1]
-            gone = hit[a:b]
-            o = offsets[i]
-            data = K.kept_bytes(buf[o : offsets[i + 1]], starts[first[i] : first[i + 1]] - o, ends[first[i] : first[i + 1]] - o, ~gone)
+            gone = hit[first[unique[u]] : first[unique[u] + 1]]
             removed.append(int(gone.sum()))
-            kept.append(data.decode("utf-8", "replace") if keep_text else hashlib.sha256(data).hexdigest())
+            kept.append(left_over(buf, offsets, starts, ends, first, i, gone))
             repeated.append(bool(any_rep[u]))
         state = None
         if levels and rep.any():
@@ -387,17 +405,18 @@ def first_level(docs: DataFrame, id_col: str, text_col: str, window: int, keep_t
         extra = [] if state is None else [state]
         pad = [None] * len(extra)
         n = docs_t.num_rows
-        arrays = [pa.chunked_array([*c.chunks, pa.nulls(len(pad), c.type)]) if pad else c for c in (docs_t.column(x) for x in ("id", "th", "row"))]
+        arrays = [pa.chunked_array([*(c.chunks if isinstance(c, pa.ChunkedArray) else [c]), pa.nulls(len(pad), c.type)]) for c in (docs_t.column(x) for x in ("id", "th", "row"))]
         cols = {"n_words": (n_words, pa.int64()), "n_removed": (removed, pa.int64()), "kept": (kept, pa.string()), "repeated": (repeated, pa.bool_())}
         arrays += [pa.array([*v, *pad], k) for v, k in cols.values()]
         for i, x in enumerate(STATE.split(", ")):
             arrays.append(pa.array([None] * n + [s[i] for s in extra], pa.int32() if x.endswith("int") else pa.binary()))
         return pa.Table.from_arrays(arrays, ["id", "th", "row", *cols, *(x.split()[0] for x in STATE.split(", "))])
 
-    out = left.groupBy("q").cogroup(replies.groupBy("q")).applyInArrow(settle, schema)
-    out = cut(out)
-    release(docs.sparkSession)
-    return out, ranges, groups
+    out_schema = to_arrow_schema(key.limit(0).select("id", "th", "row").schema)
+    for name, t_ in (("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("repeated", pa.bool_()), *((x.split()[0], pa.int32() if x.endswith("int") else pa.binary()) for x in STATE.split(", "))):
+        out_schema = out_schema.append(pa.field(name, t_))
+    touched = left.groupBy("q").cogroup(replies.groupBy("q")).applyInArrow(settle, schema)
+    return cut(touched.unionAll(map_batches(key, untouched, schema))), ranges, groups
 
 
 def next_level(state: DataFrame, length: int, ranges: int, groups: int) -> DataFrame:
@@ -433,6 +452,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     longest_repeat: the longest of the doubled window lengths at which a window of the
     document also occurs in another one (0: none)."""
     top, ranges, groups = first_level(docs, id_col, text_col, window, keep_text, carry or docs.columns, levels)
+    release(docs.sparkSession)
     names = [x.split()[0] for x in STATE.split(", ")]
     result = top.where("ids IS NULL").select("id", "th", "row", "n_words", "n_removed", "kept", "repeated")
     if not levels:
