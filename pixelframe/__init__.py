@@ -1,0 +1 @@
+"""pixelframe: land-cover mapping from multispectral rasters as Spark DataFrames."""
