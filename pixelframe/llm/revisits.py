@@ -101,7 +101,7 @@ def op5_warc_revisits(spark, sf_dir: str) -> DataFrame:
 _MADE = """WITH made AS (
 SELECT page_id AS p, url, md5(coalesce(html, '')) AS digest, '"' || substr(md5(coalesce(html, '')), 1, 8) || '"' AS tag FROM pages),
 u AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)', 2)), '^(www|m)[.]', ''), ':(80|443)$', '') || regexp_replace(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)', 3), '/+$', '') AS base,
- list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), x -> x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS q FROM made),
+ list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS q FROM made),
 c AS (SELECT *, CASE WHEN NOT regexp_matches(url, '^([A-Za-z][A-Za-z0-9+.-]*)://') THEN url WHEN len(q) > 0 THEN base || '?' || array_to_string(q, '&') ELSE base END AS canonical_url FROM u),
 r AS (SELECT p * 4 AS record_id, p * 10 AS ts, 'response' AS kind, canonical_url, tag AS etag, digest, 'day-' || p AS day FROM c
 UNION ALL SELECT p * 4 + 1, p * 10 + 3, 'revisit', canonical_url, tag, digest, 'day-' || p || 'b' FROM c
