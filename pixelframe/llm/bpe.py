@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import mmap
 import tempfile
 from collections import Counter
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, prepare, table
+from .common import cut, map_batches, prepare, table
 
 LEXICON_WORDS = 30_000
 COUNTED_WORDS = 200_000  # distinct words that a task counts before it hands them on
@@ -71,6 +72,10 @@ class Vocabulary:
         for rank, pair in enumerate(data["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks[plain(a), plain(b)] = rank
+        pairs = {(self.ids[a] << 16) | self.ids[b]: (r, self.ids[a + b]) for (a, b), r in self.ranks.items()} if max(vocab.values(), default=0) < 1 << 16 else {}
+        self.pair_key = np.array(sorted(pairs), np.uint32)
+        self.pair_rank = np.array([pairs[k][0] for k in sorted(pairs)], np.int32)
+        self.pair_id = np.array([pairs[k][1] for k in sorted(pairs)], np.int32)
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.tokens |= {i: t.encode() for t, i in self.special.items()}
 
@@ -102,6 +107,37 @@ class Vocabulary:
         return tuple(self.ids[p] for p in parts if p is not None)
 
 
+    def merge_all(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """merge() of many words at once: in each round every word joins its lowest-ranked,
+        leftmost pair."""
+        out: list = [None] * len(words)
+        short = [i for i, w in enumerate(words) if 0 < len(w) <= 48 and len(self.pair_key)]
+        for i in set(range(len(words))).difference(short):
+            out[i] = self.merge(words[i])
+        single = np.array([self.ids.get(bytes([b]), 0) for b in range(256)], np.int32)
+        short.sort(key=lambda i: len(words[i]))
+        for k in range(0, len(short), 8192):
+            part = np.array(short[k : k + 8192])
+            sizes = np.array([len(words[i]) for i in part])
+            tok = np.full((len(part), int(sizes[-1]) + 1), -1, np.int32)
+            inside = np.arange(tok.shape[1]) < sizes[:, None]
+            tok[inside] = single[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
+            while len(part):
+                key = (tok[:, :-1].astype(np.uint32) << np.uint32(16)) | (tok[:, 1:].astype(np.uint32) & np.uint32(0xFFFF))
+                at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+                rank = np.where((self.pair_key[at] == key) & (tok[:, 1:] >= 0), self.pair_rank[at], 1 << 30)
+                best = rank.argmin(axis=1)
+                row = np.arange(len(part))
+                more = rank[row, best] < 1 << 30
+                for i, ids in zip(part[~more].tolist(), tok[~more].tolist()):
+                    out[i] = tuple(ids[: ids.index(-1)])
+                part, tok, best, row = part[more], tok[more], best[more], np.arange(int(more.sum()))
+                tok[row, best] = self.pair_id[at[more, :][row, best]]
+                cols = np.arange(tok.shape[1] - 1)
+                tok = np.take_along_axis(tok, np.append(cols + (cols > best[:, None]), np.full((len(part), 1), tok.shape[1] - 1), axis=1), axis=1)
+        return out
+
+
 class Lexicon:
     """A minimal acyclic automaton of words, whose edges add up to a word's number.
 
@@ -222,39 +258,42 @@ class Coder:
         self.cut = splitter(pattern, list(vocabulary.special))
         self.lexicon = Lexicon(lexicon)
         self.known: dict[str, tuple[int, ...]] = {}
-        self.rare = 0
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
         new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self.known.clear()
+            new = list(words)
         plain = [w.encode() for w in new]
-        for w, b, n in zip(new, plain, self.lexicon.numbers(plain).tolist()):
-            self.known[w] = self.lexicon.ids_of(n) if n >= 0 else self.v.merge(b)
+        numbers = self.lexicon.numbers(plain).tolist()
+        for w, n in zip(new, numbers):
+            if n >= 0:
+                self.known[w] = self.lexicon.ids_of(n)
+        lacks = [i for i, n in enumerate(numbers) if n < 0]
+        self.known.update(zip((new[i] for i in lacks), self.v.merge_all([plain[i] for i in lacks])))
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
-        out = []
-        for text in texts:
-            ids: list[int] = []
-            for special, x in self.cut(text or ""):
-                if special:
-                    ids.append(self.v.special[x])
-                    continue
-                found = self.words(x)
-                before = len(ids)
-                try:
-                    ids += chain.from_iterable(map(self.known.__getitem__, found))
-                except KeyError:
-                    del ids[before:]
-                    self.learn(set(found))
-                    ids += chain.from_iterable(map(self.known.__getitem__, found))
-            out.append(ids)
-        return out
+        """The ids of each text. Words that no earlier batch had are learnt together."""
+        parts = [[x if special else self.words(x) for special, x in self.cut(text)] if text else [] for text in texts]
+        self.learn({w for p in parts for x in p if isinstance(x, list) for w in x})
+        get, special = self.known.__getitem__, self.v.special
+        return [list(chain.from_iterable(chain.from_iterable(map(get, x)) if isinstance(x, list) else (special[x],) for x in p)) for p in parts]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.v.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
+_coder: list = []
+
+
+def worker_coder(value: tuple[Vocabulary, bytes], pattern: str) -> Coder:
+    """The coder of this Python process, kept from task to task for the words it knows."""
+    tag = (pattern, len(value[0].ids), hashlib.sha256(value[1]).digest())
+    if not _coder or _coder[0] != tag:
+        _coder[:] = [tag, Coder(value[0], pattern, value[1])]
+    return _coder[1]
+
+
 def count_words(pattern: str, special: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -279,7 +318,17 @@ def count_words(pattern: str, special: list[str]):
 def build_lexicon(docs: DataFrame, text_col: str, vocabulary: Vocabulary, pattern: str, words: int = LEXICON_WORDS) -> bytes:
     """The compiled automaton of the most frequent words, counted over all documents."""
     counted = map_batches(docs.select(F.col(text_col).cast("string").alias("text")), count_words(pattern, list(vocabulary.special)), "word string, n bigint")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
+    counted = cut(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"))
+    # The lowest count that at most `words` words reach, from how many words have each count.
+    # Counts are bounded by powers of 1.1, so the histogram is short whatever the corpus.
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(1.1)).cast("int")
+    total, least = 0, None
+    for r in sorted(counted.groupBy(step.alias("s")).agg(F.count("*").alias("w")).collect(), reverse=True):
+        total += r["w"]
+        if total > words:
+            break
+        least = r["s"]
+    top = counted.where(step >= least) if least is not None else counted.where("false")
     return Lexicon.compile({(b := r["word"].encode()): vocabulary.merge(b) for r in top.collect()})
 
 
@@ -297,7 +346,7 @@ def bpe(docs: DataFrame, outputs: Callable[[list[int], str], tuple], schema: str
     shared = spark.sparkContext.broadcast((vocabulary, lexicon))  # bounded by the tokenizer file and LEXICON_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value[0], pattern, shared.value[1])
+        coder = worker_coder(shared.value, pattern)
         for b in batches:
             made = [outputs(ids, coder.decode(ids)) for ids in coder.encode(b.column("text").to_pylist())]
             columns = [pa.array(c, t) for c, t in zip(zip(*made) if made else [[]] * len(fields), kinds)]
@@ -315,8 +364,12 @@ def encode(docs: DataFrame, **options) -> DataFrame:
     return bpe(docs, lambda ids, text: (ids, text), "ids array<int>, decoded string", **options)
 
 
+NUMBERS = list(map(str, range(1 << 17)))
+
+
 def digest(ids: list[int], text: str) -> tuple[int, str, str]:
-    return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+    names = map(NUMBERS.__getitem__, ids) if max(ids, default=0) < len(NUMBERS) else map(str, ids)
+    return len(ids), hashlib.sha256(",".join(names).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
 
 def op7_bpe_encoding(spark, sf_dir: str) -> DataFrame:
