@@ -9,6 +9,7 @@ from .language import op3_language_id
 from .quality import op9_quality_rules
 from .revisits import OP5_SQL, op5_warc_revisits
 from .substring_dedup import op2_substring_dedup
+from .suffix_dedup import op6_suffix_dedup
 from .toxicity import op4_toxicity
 from .wordpiece import op8_token_counts
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_toxicity": op4_toxicity,
     "op5_warc_revisits": op5_warc_revisits,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_bpe_encoding": op7_bpe_encoding,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
