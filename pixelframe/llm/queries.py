@@ -6,6 +6,7 @@ from .bpe import op7_bpe_encoding
 from .decontamination import op1_decontamination
 from .jaccard import op10_ngram_jaccard
 from .language import op3_language_id
+from .oracle import SQL
 from .quality import op9_quality_rules
 from .revisits import OP5_SQL, op5_warc_revisits
 from .substring_dedup import op2_substring_dedup
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_warc_revisits": OP5_SQL}
+ORACLE_SQL: dict[str, str] = SQL | {"op5_warc_revisits": OP5_SQL}
