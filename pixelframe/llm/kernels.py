@@ -8,9 +8,23 @@ multilinear sum with fixed random odd keys. Both are finished by a bijective mix
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
+
+def return_memory() -> None:
+    """Has the C library map every array over 1 MB on its own, so that a Python worker, which
+    Spark keeps from task to task, gives large arrays back as soon as they are dropped."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD; fixes it, too
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+return_memory()
+
 SPACE = bytes([0x20, *range(0x09, 0x0E)])
 _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -36,9 +36,9 @@ from . import kernels as K
 from .common import NO_ID, cut, keyed, map_batches, release, text_bytes
 from .sketches import cells, key_hash, marks
 
-FLUSH_WINDOWS = 1_500_000
+FLUSH_WINDOWS = 1_000_000
 RANGE_BYTES = 12 << 20  # of text: about 2 million windows for a reducer
-PACK_BYTES = 48 << 20
+PACK_BYTES = 24 << 20
 GROUP_BYTES = 4 << 20  # of text for a cogroup
 BLOCK = "dest int, ids binary, ths binary, fs binary, counts binary, hashes binary, bits binary"
 REPLY = "q int, p int, ids binary, ths binary, fs binary, counts binary, rep binary, flag binary"
