@@ -93,10 +93,11 @@ def types(t: np.ndarray) -> np.ndarray:
     out = np.ones(n, bool)
     if n > 1:
         up = t[:-1] < t[1:]
-        differs = np.flatnonzero(t[:-1] != t[1:])
-        at = np.searchsorted(differs, np.arange(n - 1))
-        known = at < len(differs)
-        out[:-1][known] = up[differs[at[known]]]
+        # the next place where symbols differ decides for those before it
+        place = np.where(t[:-1] != t[1:], np.arange(n - 1, dtype=np.int32), np.int32(n))
+        place = np.minimum.accumulate(place[::-1])[::-1]
+        known = place < n
+        out[:-1][known] = up[place[known]]
     return out
 
 
@@ -300,7 +301,7 @@ def repeated(strings: list[bytes], weights: np.ndarray, length: int, limit: int
         seeds = np.concatenate([ends, seeds[t[seeds] >= m]])
     seed_lcp = np.zeros(len(seeds), np.uint8)
     seed_lcp[1:] = common(t, seeds[:-1], seeds[1:], length)
-    owner = np.searchsorted(ends, np.arange(len(t)))
+    owner = np.repeat(np.arange(m, dtype=np.int32), sizes + 1)
     hit = np.zeros(len(t), bool)
     for pos, lcp in induce(t, is_s, seeds, seed_lcp, m, m + 256, length, limit):
         head = np.flatnonzero(lcp < length)  # classes of suffixes that agree in `length` bytes

@@ -42,9 +42,9 @@ GRAM = 64
 PIECE = 1 << 19
 PLACE = np.uint64((1 << 20) - 1)
 FLUSH_SEGMENTS = 300_000
-FLUSH_TEXT = 24 << 20
-RANGE_BYTES = 6 << 20
-GROUP_BYTES = 4 << 20
+FLUSH_TEXT = 16 << 20
+RANGE_BYTES = 2 << 20
+GROUP_BYTES = 2 << 20
 MARK_BITS = 24
 I8, U8 = np.int64, np.uint64
 HASHES = "dest int, gs binary, ds binary, many binary"
