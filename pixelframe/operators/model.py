@@ -16,10 +16,12 @@ NODATA, NOCLASSIFIED = "nodata", "noclassified"
 
 
 def clean(df: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Infinite and NaN values become NULL; rows with a NULL are dropped."""
+    """Infinite and NaN values become NULL; rows with a NULL are dropped (by one condition a
+    column: a single condition on all of them makes constraint inference exponential)."""
     df = df.drop(*drop)
     numeric = [c for c, t in df.dtypes if t in ("double", "float")]
-    return df.withColumns({c: F.when((F.abs(c) != float("inf")) & ~F.isnan(c), F.col(c)) for c in numeric}).na.drop()
+    out = df.withColumns({c: F.when((F.abs(c) != float("inf")) & ~F.isnan(c), F.col(c)) for c in numeric})
+    return out.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in out.columns]))
 
 
 def feature_columns(df: DataFrame, labels: tuple[str, ...] = ("LC", "SL")) -> list[str]:

@@ -85,7 +85,7 @@ def training(prods: DataFrame, seasons: DataFrame, bands: DataFrame, masks: Data
     for season in names:
         title = products.composite_identity(chosen.where(F.col("season") == season)).select("tile", F.col("composite_title").alias(f"{season}_product_name"))
         wide = wide.join(title, "tile")
-    return wide.join(labels, ["tile", "row", "col"])
+    return stored(wide.join(labels, ["tile", "row", "col"]))
 
 
 def prediction(mode: Mode, prods: DataFrame, seasons: DataFrame, bands: DataFrame, masks: DataFrame, models: dict[str, PipelineModel], used: dict[str, list[str]], s: Settings, terrain: DataFrame | None = None, land_cover: DataFrame | None = None, done: DataFrame | None = None) -> DataFrame:
@@ -108,9 +108,9 @@ def prediction(mode: Mode, prods: DataFrame, seasons: DataFrame, bands: DataFram
 
 def train_land_cover(dataset: DataFrame, s: Settings, **options) -> tuple[PipelineModel, list[str], DataFrame]:
     """The model, its feature columns and the (pred, actual, n) table of held-out locations."""
-    df = model.clean(dataset, drop=(s.sl_property,))
+    df = stored(model.clean(dataset, drop=(s.sl_property,)))
     used = model.feature_columns(df, (s.lc_property, s.sl_property, "tile", "row", "col"))
     parts = model.safe_split(df, s.lc_property, s.train_fraction)
-    rows = model.back_join(df, parts)
+    rows = stored(model.back_join(df, parts))
     fitted = model.fit_forest(rows.where("part = 'train'"), used, s.lc_property, **options)
     return fitted, used, model.confusion(model.predict(fitted, rows.where("part = 'test'"), used), "predicted", s.lc_property)
