@@ -404,3 +404,20 @@ def test_pipeline(spark):
     assert sorted((r["doc_id"], r["decoded_sha256"]) for r in got.collect()) == want
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), d).count() == 0, name
+
+
+def test_pipeline_keeps_unlinked_texts(spark, docs, rows):
+    import corpus_pipeline
+
+    more = [(None, f"{w} {w}a {w}b {w}c {w}d {w}e", *[None] * 8) for w in ("north", "south", "east")]  # no id
+    more += [(5000, x, *[None] * 8) for x in ("red green blue white black grey", "one two three four five six")]  # one id
+    data = rows + more
+    members = defaultdict(list)
+    for r, g in zip(data, clusters([(i, r[1]) for i, r in enumerate(data)])):  # components of texts, whatever the ids
+        members[g[3]].append((r[0], r[1], g[2]))
+    got = Counter(tuple(r) for r in corpus_pipeline.ngram_jaccard(spark, docs.unionByName(spark.createDataFrame(more, SCHEMA)), SF).select("doc_id", "text").collect())
+    for rs in members.values():
+        kept = [i for i, x in got.elements() if (i, x) in {r[:2] for r in rs}]
+        assert kept == [min((r[0] for r in rs), key=lambda i: (i is None, i))]
+    assert sum(got.values()) == len(members)
+    assert all(got[r[:2]] == 1 for r in more)
