@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from pixelframe.plans.catalog import ORACLE_SQL, QUERIES
+from pixelframe.plans.proxies import GRID, PX
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,3 +39,10 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_resample_nearest_whole_grid(spark, con):
+    # The query's SQL has only rows under 100; every cell is asked for here.
+    got = QUERIES["resample_nearest"](spark, SF).select("tile", "row", "col", "v").collect()
+    want = con.sql(f"WITH {GRID} SELECT tile, row * 2 + a, col * 2 + b, round(v, 6) FROM grid, range(2) x(a), range(2) y(b)").fetchall()
+    assert len(got) == 500 * 64 * 4 and rows(map(tuple, got)) == rows(want)
