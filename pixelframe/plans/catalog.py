@@ -273,7 +273,7 @@ def _(spark, d):
 @query("crop_pad", with_(GRID) + ", s AS (SELECT tile, row - 10 AS row, col - 5 AS col, v FROM grid WHERE row BETWEEN 10 AND 59 AND col BETWEEN 5 AND 44), g AS (SELECT DISTINCT tile, row, col FROM grid WHERE row < 80 AND col < 64) SELECT tile, row, col, round(coalesce(v, 0), 6) AS v FROM g LEFT JOIN s USING (tile, row, col)")
 def _(spark, d):
     g = P.grid(spark, d)
-    return raster.onto_grid(g.where("row < 80").select("tile", "row", "col").distinct(), raster.crop(g, 10, 5, 50, 40), ["tile"], "v", 0.0).withColumn("v", r6(F.col("v")))
+    return raster.onto_grid(g.select("tile", "row", "col").distinct(), raster.crop(g, 10, 5, 50, 40), ["tile"], "v", 0.0).withColumn("v", r6(F.col("v")))
 
 
 @query("reproject_nearest", with_(GRID) + ", g AS (SELECT tile, row, col FROM grid) SELECT g.tile, g.row, g.col, round(s.v, 6) AS v FROM g LEFT JOIN grid s ON g.tile = s.tile AND s.row = CAST(floor(g.row * 0.9::DOUBLE + 2) AS BIGINT) AND s.col = CAST(floor(g.col * 1.1::DOUBLE - 3) AS BIGINT)")
@@ -286,12 +286,12 @@ def _(spark, d):
 def _(spark, d):
     ring = F.expr("array(array(9.5D, 20.0D), array(9.5D, 120.0D), array(49.5D, 120.0D))")
     y, x = F.col("row").cast("double"), F.col("col").cast("double")
-    return raster.mask_outside(P.grid(spark, d).where("row < 200").withColumn("v", r6(F.col("v"))), "v", geo.contains(ring, x, y - 1e-9)).select("tile", "row", "col", "v")
+    return raster.mask_outside(P.grid(spark, d).withColumn("v", r6(F.col("v"))), "v", geo.contains(ring, x, y - 1e-9)).select("tile", "row", "col", "v")
 
 
 @query("slope_aspect", with_(GRID) + ", w AS (SELECT a.tile, a.row, a.col, " + ", ".join(f"n{r}{c}.v AS n{r}{c}" for r in range(3) for c in range(3)) + " FROM grid a " + " ".join(f"LEFT JOIN grid n{r}{c} ON n{r}{c}.tile = a.tile AND n{r}{c}.row = a.row + {r - 1} AND n{r}{c}.col = a.col + {c - 1}" for r in range(3) for c in range(3)) + " WHERE a.row < 150), s AS (SELECT tile, row, col, ((n02 + 2*n12 + n22) - (n00 + 2*n10 + n20)) / 80.0::DOUBLE AS dx, ((n00 + 2*n01 + n02) - (n20 + 2*n21 + n22)) / 80.0::DOUBLE AS dy FROM w) SELECT tile, row, col, round(degrees(atan(sqrt(dx*dx + dy*dy))), 6) AS slope FROM s")
 def _(spark, d):
-    return raster.slope_aspect(P.grid(spark, d).where("row < 151"), ["tile"], 10.0).where("row < 150").select("tile", "row", "col", r6(F.col("slope")).alias("slope"))
+    return raster.slope_aspect(P.grid(spark, d), ["tile"], 10.0).select("tile", "row", "col", r6(F.col("slope")).alias("slope"), r6(F.col("aspect")).alias("aspect"))
 
 
 @query("nodata_pct", with_(PX) + "SELECT tile, round(sum(CASE WHEN B08 = 0 THEN 1 ELSE 0 END) * 100.0 / count(*), 6)::DOUBLE AS nodata_pct FROM px GROUP BY tile")
@@ -393,7 +393,7 @@ def _(spark, d):
 
 @query("widen_seasons", with_(GRID) + "SELECT tile, row, col % 16 AS col, " + ", ".join(f"round(max(CASE WHEN col // 16 = {i} THEN v END), 6) AS s{i}_v" for i in range(4)) + " FROM grid WHERE row < 60 GROUP BY 1, 2, 3")
 def _(spark, d):
-    g = P.grid(spark, d).where("row < 60").select("tile", "row", (F.col("col") % 16).alias("col"), F.concat(F.lit("s"), F.floor(F.col("col") / 16).cast("string")).alias("season"), F.lit("v").alias("name"), r6(F.col("v")).alias("v"))
+    g = P.grid(spark, d).select("tile", "row", (F.col("col") % 16).alias("col"), F.concat(F.lit("s"), F.floor(F.col("col") / 16).cast("string")).alias("season"), F.lit("v").alias("name"), r6(F.col("v")).alias("v"))
     return features.widen(g, ["tile"], columns=[f"s{i}_v" for i in range(4)])
 
 

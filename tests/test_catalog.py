@@ -1,6 +1,7 @@
 """Every query with a SQL form, against DuckDB on the same tables."""
 
 import glob
+import math
 import os
 
 import duckdb
@@ -46,3 +47,34 @@ def test_resample_nearest_whole_grid(spark, con):
     got = QUERIES["resample_nearest"](spark, SF).select("tile", "row", "col", "v").collect()
     want = con.sql(f"WITH {GRID} SELECT tile, row * 2 + a, col * 2 + b, round(v, 6) FROM grid, range(2) x(a), range(2) y(b)").fetchall()
     assert len(got) == 500 * 64 * 4 and rows(map(tuple, got)) == rows(want)
+
+
+# The SQL texts of these queries have only the first rows of each tile.
+WHOLE = {
+    "crop_pad": "s AS (SELECT tile, row - 10 AS row, col - 5 AS col, v FROM grid WHERE row BETWEEN 10 AND 59 AND col BETWEEN 5 AND 44) SELECT tile, row, col, round(coalesce(s.v, 0), 6) FROM grid LEFT JOIN s USING (tile, row, col)",
+    "geometry_mask": "one AS (SELECT 1) SELECT tile, row, col, CASE WHEN col >= 10 AND col < 9.5::DOUBLE + 0.4::DOUBLE * (row - 20) AND row > 20 AND row <= 120 THEN round(v, 6) END FROM grid",
+    "widen_seasons": "one AS (SELECT 1) SELECT tile, row, col % 16, " + ", ".join(f"round(max(CASE WHEN col // 16 = {i} THEN v END), 6)" for i in range(4)) + " FROM grid GROUP BY 1, 2, 3",
+}
+
+
+@pytest.mark.parametrize("name", sorted(WHOLE))
+def test_whole_grid(spark, con, name):
+    got = QUERIES[name](spark, SF)
+    keys = ["tile", "row", "col"]
+    found = got.select(*keys, *sorted(set(got.columns) - set(keys))).collect()
+    assert rows(map(tuple, found)) == rows(con.sql(f"WITH {GRID}, {WHOLE[name]}").fetchall())
+
+
+def test_slope_aspect_whole_grid(spark, con):
+    got = {r[:3]: r[3:] for r in map(tuple, QUERIES["slope_aspect"](spark, SF).select("tile", "row", "col", "slope", "aspect").collect())}
+    v = {r[:3]: r[3] for r in con.sql(f"WITH {GRID} SELECT tile, row, col, v FROM grid").fetchall()}
+    assert len(got) == len(v) == 500 * 64
+    for (t, r, c), (slope, aspect) in got.items():
+        n = {(i, j): v.get((t, r + i, c + j)) for i in (-1, 0, 1) for j in (-1, 0, 1)}
+        if None in n.values():
+            assert slope is None and aspect is None
+            continue
+        dx = ((n[-1, 1] + 2 * n[0, 1] + n[1, 1]) - (n[-1, -1] + 2 * n[0, -1] + n[1, -1])) / 80
+        dy = ((n[-1, -1] + 2 * n[-1, 0] + n[-1, 1]) - (n[1, -1] + 2 * n[1, 0] + n[1, 1])) / 80
+        assert slope == pytest.approx(math.degrees(math.atan(math.hypot(dx, dy))), abs=2e-6)
+        assert aspect == pytest.approx(math.degrees(math.atan2(-dy, -dx)) % 360, abs=2e-6)
