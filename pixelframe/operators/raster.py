@@ -102,9 +102,14 @@ def composite_blocks(blocks: DataFrame, keys: list[str]) -> DataFrame:
     return g.select(*keys, F.transform(F.sequence(F.lit(0), n - 1), lambda i: middle(pick(i))).alias("data"))
 
 
-def complete_bands(listing: DataFrame, k: int, key: str = "composite", band: str = "band", product: str = "title") -> DataFrame:
-    """Bands that all k products of a composite have."""
-    return listing.groupBy(key, band).agg(F.countDistinct(product).alias("n")).where(F.col("n") == k).select(key, band)
+def complete_bands(listing: DataFrame, k: int | None = None, key: str = "composite", band: str = "band", product: str = "title") -> DataFrame:
+    """Bands that all k products of a composite have; without k, all products that the listing
+    has of that composite."""
+    n = listing.groupBy(key, band).agg(F.countDistinct(product).alias("n"))
+    if k is not None:
+        return n.where(F.col("n") == k).select(key, band)
+    own = listing.groupBy(F.col(key).alias("_key")).agg(F.countDistinct(product).alias("_k"))
+    return n.join(own, F.col(key).eqNullSafe(F.col("_key")) & (F.col("n") == F.col("_k"))).select(key, band)
 
 
 def mirrored(pixels: DataFrame, axis: str, size: int, reach: int) -> DataFrame:

@@ -185,8 +185,8 @@ def _(spark, d):
 
 @query("band_complete", "SELECT l_returnflag AS composite, l_linenumber AS band FROM lineitem WHERE l_suppkey <= 40 GROUP BY 1, 2 HAVING count(DISTINCT l_suppkey) = 40")
 def _(spark, d):
-    q = P.table(spark, d, "lineitem").where("l_suppkey <= 40")
-    return raster.complete_bands(q.select(F.col("l_returnflag").alias("composite"), F.col("l_linenumber").alias("band"), F.col("l_suppkey").alias("title")), 40)
+    q = P.table(spark, d, "lineitem")
+    return raster.complete_bands(q.select(F.col("l_returnflag").alias("composite"), F.col("l_linenumber").alias("band"), F.col("l_suppkey").alias("title")))
 
 
 @query("raster_enumeration", with_(RASTERS) + "SELECT title, path, is_band FROM named")
@@ -400,7 +400,9 @@ def _(spark, d):
 @query("union_by_name", with_(PX) + "SELECT vec_id, B02, NULL::DOUBLE AS B03 FROM pv WHERE tile = 0 UNION ALL SELECT vec_id, NULL::DOUBLE, B03 FROM pv WHERE tile = 1")
 def _(spark, d):
     p = P.px(spark, d)
-    return features.union_tiles([p.where("tile = 0").select("vec_id", indices.valid("B02").alias("B02")), p.where("tile = 1").select("vec_id", indices.valid("B03").alias("B03"))])
+    b02, b03 = (indices.valid(b).alias(b) for b in ("B02", "B03"))
+    rest = p.where("coalesce(tile, -1) NOT IN (0, 1)").select("vec_id", b02, b03)
+    return features.union_tiles([p.where("tile = 0").select("vec_id", b02), p.where("tile = 1").select("vec_id", b03), rest])
 
 
 # ---------------------------------------------------------------- split, evaluation, prediction rules

@@ -78,3 +78,19 @@ def test_slope_aspect_whole_grid(spark, con):
         dy = ((n[-1, -1] + 2 * n[-1, 0] + n[-1, 1]) - (n[1, -1] + 2 * n[1, 0] + n[1, 1])) / 80
         assert slope == pytest.approx(math.degrees(math.atan(math.hypot(dx, dy))), abs=2e-6)
         assert aspect == pytest.approx(math.degrees(math.atan2(-dy, -dx)) % 360, abs=2e-6)
+
+
+def test_band_complete_own_products(spark, con, tmp_path):
+    got = QUERIES["band_complete"](spark, SF).select("composite", "band").collect()
+    want = "WITH k AS (SELECT l_returnflag, count(DISTINCT l_suppkey) AS k FROM lineitem GROUP BY 1) SELECT l_returnflag, l_linenumber FROM lineitem JOIN k USING (l_returnflag) GROUP BY 1, 2, k HAVING count(DISTINCT l_suppkey) = k"
+    assert rows(map(tuple, got)) == rows(con.sql(want).fetchall())
+    # Supplier 41 has band 1 only: band 2 is not complete. Composite R has products of its own.
+    listing = [("A", b, s) for s in range(1, 41) for b in (1, 2)] + [("A", 1, 41), ("R", 1, 50), ("R", 2, 50), ("R", 2, 51)]
+    spark.createDataFrame(listing, "l_returnflag string, l_linenumber int, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert sorted(map(tuple, QUERIES["band_complete"](spark, str(tmp_path)).collect())) == [("A", 1), ("R", 2)]
+
+
+def test_union_by_name_all_tiles(spark, con):
+    got = QUERIES["union_by_name"](spark, SF).select("vec_id", "B02", "B03").collect()
+    want = con.sql(f"WITH {PX} SELECT vec_id, CASE WHEN tile <> 1 THEN B02 END, CASE WHEN tile <> 0 THEN B03 END FROM pv").fetchall()
+    assert len(got) == 500 and rows(map(tuple, got)) == rows(want)
