@@ -421,3 +421,12 @@ def test_pipeline_keeps_unlinked_texts(spark, docs, rows):
         assert kept == [min((r[0] for r in rs), key=lambda i: (i is None, i))]
     assert sum(got.values()) == len(members)
     assert all(got[r[:2]] == 1 for r in more)
+
+
+def test_pipeline_runs_all_levels(docs, monkeypatch):
+    import corpus_pipeline
+
+    lengths, one = [], substring_dedup.next_level
+    monkeypatch.setattr(substring_dedup, "next_level", lambda state, length, *a: lengths.append(length) or one(state, length, *a))
+    assert corpus_pipeline.substring(docs.sparkSession, docs, SF).count() == docs.count()
+    assert lengths[:2] == [26, 52]
