@@ -8,7 +8,8 @@ documents meet in one shard. First only hashes travel and tell which anchors rep
 the texts of segments with such anchors follow, each distinct segment once a batch, with
 how often it occurs. A shard sorts all suffixes of its distinct segments by external induced
 sorting (induced.py), whose common-prefix values tell which windows occur elsewhere; its
-queues spill to disk, so a shard may exceed a worker's memory budget. Answers travel back as
+queues spill to disk, but the texts, positions and names of a shard are held in memory, so a
+shard must fit one task. Answers travel back as
 bits by document group, as in substring_dedup.
 
 Segments that occur twice in a batch are settled there, so what a third of all documents
