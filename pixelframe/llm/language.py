@@ -9,8 +9,8 @@ popcount of its bit over all n-grams, corrected for the filter's false positives
 (hits - f * n) / (1 - f), f being the language's share of set bits to the power HASHES. The
 largest corrected count decides; ties go to the first language by name.
 
-Bounds: LANGUAGES languages (the most frequent), PER_LANGUAGE n-grams of each and CELLS
-cells are collected, whatever the corpus size.
+Bounds: PER_LANGUAGE n-grams of each language, and for every SLICE languages a filter of its
+own cells, are collected, whatever the corpus size.
 
 Defined results. `und` with score 0 for null texts and texts without a letter. Texts whose
 n-grams no language has get the most frequent language and 1 / number of languages. Training
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .common import cut, map_batches, table
 
-LANGUAGES = 64
+SLICE = 64  # languages a cell
 PER_LANGUAGE = 20_000
 CELL_BITS = 18
 HASHES = 2
@@ -110,10 +110,13 @@ def count_grams(languages: list[str]):
 
 
 class Filters:
-    """A bit-sliced Bloom filter: cells of one bit a language."""
+    """A bit-sliced Bloom filter: cells of one bit a language, SLICE languages a cell; more
+    languages go to further filters."""
 
     def __init__(self, languages: list[str], members: list[np.ndarray]):
         self.languages = languages
+        self.more = Filters(languages[SLICE:], members[SLICE:]) if len(languages) > SLICE else None
+        languages, members = languages[:SLICE], members[:SLICE]
         kind = next(k for k, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(languages) <= bits)
         self.cells = np.zeros(1 << CELL_BITS, kind)
         for l, g in enumerate(members):
@@ -138,18 +141,20 @@ class Filters:
         """Corrected counts, one row a text and one column a language."""
         n = np.diff(first)
         mask = self.masks(g)
-        out = np.zeros((len(n), len(self.languages)))
-        for l in range(len(self.languages)):
+        own = min(len(self.languages), SLICE)
+        out = np.zeros((len(n), own))
+        for l in range(own):
             bit = ((mask >> mask.dtype.type(l)) & mask.dtype.type(1)).astype(np.uint8)
             sums = np.concatenate([[0], np.cumsum(bit, dtype=np.int64)])
             out[:, l] = (sums[first[1:]] - sums[first[:-1]] - self.false[l] * n) / (1.0 - self.false[l])
-        return np.maximum(out, 0.0)
+        out = np.maximum(out, 0.0)
+        return out if self.more is None else np.hstack([out, self.more.counts(g, first)])
 
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Filters:
     """The filters from all rows with a text and a language."""
     t = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    names = [r["lang"] for r in t.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
+    names = [r["lang"] for r in t.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()]
     if not names:
         return Filters([], [])
     counted = cut(map_batches(t, count_grams(names), "l int, g bigint, n bigint").groupBy("l", "g").agg(F.sum("n").alias("n")))

@@ -430,3 +430,14 @@ def test_pipeline_runs_all_levels(docs, monkeypatch):
     monkeypatch.setattr(substring_dedup, "next_level", lambda state, length, *a: lengths.append(length) or one(state, length, *a))
     assert corpus_pipeline.substring(docs.sparkSession, docs, SF).count() == docs.count()
     assert lengths[:2] == [26, 52]
+
+
+def test_more_than_64_languages(spark):
+    rng = random.Random(3)
+    words = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(12)] for _ in range(70)]
+    data = [(i, " ".join(rng.choice(w) for _ in range(40)), f"l{i:02}") for i, w in enumerate(words)]
+    d = spark.createDataFrame(data * 4, "doc_id long, text string, lang string")
+    filters = language.train(d)
+    assert len(filters.languages) == 70
+    got = language.identify(d, filters).select("row.lang", "lang_pred").collect()
+    assert all(r["lang"] == r["lang_pred"] for r in got)
