@@ -1,19 +1,26 @@
 """External induced sorting of suffixes, with common-prefix values.
 
 Suffixes are of type S if they sort before their right neighbour, else L. The order of the
-leftmost S suffixes of each run (LMS) is found by recursion on the string of their named
-substrings; from it, one ascending scan induces all L suffixes and one descending scan all
-S suffixes. A monotone priority queue keyed by first symbol holds what has been induced but
-not scanned: its buckets are runs that go to disk once QUEUE_BYTES are held, and everything
-with the smallest key is popped and handled as one wave. With each suffix travels its common
-prefix with the one before it, capped: that of two induced suffixes is one more than the
-least value between their sources in the scan (a running minimum for each bucket, and range
-minima inside a wave).
+leftmost S suffixes of each run (LMS) is found by recursion, whatever the alphabet, on the
+string of their named substrings; from it one ascending scan induces all L suffixes and one
+descending scan all S suffixes. Tuples (first symbol, position, common prefix) go through a
+monotone priority queue: as the number of tuples of each symbol is known, the queue is one
+region a symbol, filled in the order of arrival and read in the order of symbols. A scan
+takes as many symbols at once as get no further tuples from one another, in waves of
+bounded size.
+
+Common prefixes, in bytes and capped, are carried through the recursion: each name has the
+bytes it stands for and a common prefix with the name before it, so that the prefix of two
+induced suffixes is their first symbol's bytes plus the least value between their sources
+in the scan. From the recursion they are lower bounds (a substring that is the beginning of
+another one can share more than is seen there); in the text itself they are made exact by
+comparing on from the bound.
+
+All arrays that grow with the shard are held in memory only while they fit into `limit`
+bytes; the others are files mapped into memory, so a shard can be far larger than memory.
 
 Strings end in separators, the smallest symbols, all different, so no match spans two
-strings. Only `cap` symbols of order matter: suffixes that agree in as many stay in any
-order. Recursion goes on while the alphabet of names has at most ALPHABET symbols; larger
-ones are finished by prefix doubling up to the cap.
+strings. Only `cap` bytes of order matter: suffixes that agree in as many stay in any order.
 """
 
 from __future__ import annotations
@@ -22,50 +29,46 @@ import tempfile
 
 import numpy as np
 
-QUEUE_BYTES = 64 << 20
-ALPHABET = 4096
+LIMIT = 192 << 20
+STEP = 1 << 17
 I8 = np.int64
 
 
-class DiskQueue:
-    """Entries (position, common prefix) by key; first in, first out within a key."""
-
-    def __init__(self, limit: int):
-        self.limit, self.size = limit, 0
-        self.held: dict[int, list] = {}
-        self.spilled: dict[int, list[tuple[int, int]]] = {}
-        self.file = None
-
-    def push(self, key: int, pos: np.ndarray, lcp: np.ndarray) -> None:
-        self.held.setdefault(key, []).append((pos.astype(np.int32), lcp))
-        self.size += 5 * len(pos)
-        if self.size > self.limit:
-            self.spill()
-
-    def spill(self) -> None:
-        self.file = self.file or tempfile.TemporaryFile()
-        for key, parts in self.held.items():
-            self.file.seek(0, 2)
-            self.spilled.setdefault(key, []).append((self.file.tell(), sum(len(p) for p, _ in parts)))
-            self.file.write(np.concatenate([p for p, _ in parts]).tobytes() + np.concatenate([c for _, c in parts]).tobytes())
-        self.held, self.size = {}, 0
-
-    def pop(self, key: int) -> tuple[np.ndarray, np.ndarray] | None:
-        """Everything under a key, in the order in which it came."""
-        parts = []
-        for at, n in self.spilled.pop(key, []):
-            self.file.seek(at)
-            parts.append((np.frombuffer(self.file.read(4 * n), np.int32), np.frombuffer(self.file.read(n), np.uint8)))
-        own = self.held.pop(key, [])
-        self.size -= 5 * sum(len(p) for p, _ in own)
-        parts += own
-        if not parts:
-            return None
-        return np.concatenate([p for p, _ in parts]).astype(I8), np.concatenate([c for _, c in parts])
+class Scratch:
+    """Arrays in memory up to a limit in bytes, then in unlinked files mapped into memory."""
 
-    def close(self) -> None:
-        if self.file:
-            self.file.close()
+    def __init__(self, limit: int, step: int):
+        self.left, self.step, self.mapped = limit, step, 0
+
+    def empty(self, n: int, kind) -> np.ndarray:
+        size = n * np.dtype(kind).itemsize
+        if size <= self.left:
+            self.left -= size
+            return np.empty(n, kind)
+        self.mapped += size
+        with tempfile.TemporaryFile() as f:
+            f.truncate(size)
+            return np.memmap(f, kind, "r+", shape=(n,))
+
+    def full(self, n: int, value, kind) -> np.ndarray:
+        out = self.empty(n, kind)
+        out[:] = value
+        return out
+
+    def drop(self, *arrays: np.ndarray) -> None:
+        """The caller no longer uses these arrays."""
+        self.left += sum(a.nbytes for a in arrays if not isinstance(a, np.memmap))
+
+    def chunks(self, n: int):
+        return ((a, min(n, a + self.step)) for a in range(0, n, self.step))
+
+
+def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The concatenated ranges start, start + 1, ... of the given lengths."""
+    if not len(starts):
+        return np.zeros(0, I8)
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1]) + np.repeat(starts - (ends - counts), counts)
 
 
 class Minima:
@@ -81,233 +84,505 @@ class Minima:
         """Minimum of values[low .. high], both included, low <= high."""
         out = np.empty(len(low), np.uint8)
         level = np.frexp((high - low + 1).astype(np.float64))[1] - 1
-        for k in np.unique(level).tolist():
-            at = level == k
+        for k in np.flatnonzero(np.bincount(level)).tolist() if len(level) else []:
+            at = np.flatnonzero(level == k)
             out[at] = np.minimum(self.rows[k][low[at]], self.rows[k][high[at] - (1 << k) + 1])
         return out
 
 
-def types(t: np.ndarray) -> np.ndarray:
-    """True for S; the last symbol, a separator, is S."""
-    n = len(t)
-    out = np.ones(n, bool)
-    if n > 1:
-        up = t[:-1] < t[1:]
-        # the next place where symbols differ decides for those before it
-        place = np.where(t[:-1] != t[1:], np.arange(n - 1, dtype=np.int32), np.int32(n))
-        place = np.minimum.accumulate(place[::-1])[::-1]
-        known = place < n
-        out[:-1][known] = up[place[known]]
-    return out
-
-
-def common(t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefixes of suffix pairs, up to cap, compared symbol by symbol."""
-    out = np.zeros(len(a), np.uint8)
-    live = np.flatnonzero((a >= 0) & (b >= 0))
-    a, b = a[live], b[live]
-    last = len(t) - 1
-    for k in range(cap):
-        same = (t[np.minimum(a + k, last)] == t[np.minimum(b + k, last)]) & (np.maximum(a, b) + k <= last)
-        live, a, b = live[same], a[same], b[same]
-        if not len(live):
-            break
-        out[live] = k + 1
-    return out
-
+def least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Minimum of values[low .. high] of each pair of bounds, both included."""
+    if not len(low):
+        return np.zeros(0, np.uint8)
+    if int((high - low).sum()) > 24 * len(values):
+        return Minima(values).over(low, high)
+    bounds = np.empty(2 * len(low), I8)
+    bounds[::2], bounds[1::2] = low, high + 1
+    return np.minimum.reduceat(np.append(values, np.uint8(255)), bounds)[::2]  # no bound may be the end
+
+
+class Level:
+    """A string of one level of the recursion.
+
+    t: symbols; the first `uniq` symbols occur once each, in ascending order, and the last
+    symbol is one of them. weight: bytes of each symbol and edge: common prefix of each
+    symbol with the one before it, or both None in the text itself. origin: where in the
+    text each symbol starts (None: the text itself).
+    """
+
+    def __init__(self, t, uniq: int, size: int, weight, edge, origin, cap: int, scratch: Scratch):
+        self.t, self.uniq, self.size, self.weight, self.edge, self.origin = t, uniq, size, weight, edge, origin
+        self.cap, self.scratch, self.n = cap, scratch, len(t)
+        self.place = np.int32 if self.n < 2**31 else I8
+        self.ranges = Minima(edge) if edge is not None and len(edge) * 20 <= max(scratch.left, 1 << 20) else None
+        self.is_s = self.types()
+        self.counts()
+
+    def types(self) -> np.ndarray:
+        """True for S; the last symbol, a separator, is S."""
+        t, n, out = self.t, self.n, self.scratch.empty(self.n, bool)
+        out[n - 1] = True
+        for b in range(n - 1, 0, -self.scratch.step):
+            a = max(0, b - self.scratch.step)
+            x = np.asarray(t[a : b + 1])
+            # the next place where symbols differ decides for those before it
+            place = np.where(x[:-1] == x[1:], b - a, np.arange(b - a))
+            place = np.minimum.accumulate(place[::-1])[::-1]
+            out[a:b] = np.append(x[:-1] < x[1:], out[b])[place]
+        return out
 
-def grouped(keys: np.ndarray):
-    """Stable order by key, and the bounds of each key in it."""
-    order = np.argsort(keys.astype(np.uint16) if keys.max(initial=0) < 65536 else keys, kind="stable")
-    k = keys[order]
-    at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, I8)
-    return order, k, at, np.append(at[1:], len(k))
+    def counts(self) -> None:
+        """Where the bucket of each symbol starts, and how many L suffixes it has."""
+        self.large, total = (self.scratch.full(self.size, 0, I8) for _ in range(2))
+        for a, b in self.scratch.chunks(self.n):
+            x = np.asarray(self.t[a:b])
+            for to, of in ((total, x), (self.large, x[~self.is_s[a:b]])):
+                if self.size <= 4 * self.scratch.step:
+                    to += np.bincount(of, minlength=self.size)
+                else:
+                    u, c = np.unique(of, return_counts=True)
+                    to[u] += c
+        self.starts = self.scratch.empty(self.size + 1, I8)
+        self.starts[0] = 0
+        np.cumsum(total, out=self.starts[1:])
+        self.scratch.drop(total)
+
+    def between(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Common prefix of two different symbols, low < high, by the names between them."""
+        if self.edge is None or self.ranges is None:
+            return np.zeros(len(low), np.uint8)
+        return self.ranges.over(low + 1, high)
+
+    def shared(self, a: np.ndarray, b: np.ndarray, most: np.ndarray | None = None, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Common prefixes in bytes of suffix pairs, from `start` bytes that are known in the
+        text on; and which pairs agree in `most` symbols."""
+        out = np.zeros(len(a), np.int16) if start is None else start.astype(np.int16)
+        whole = np.zeros(len(a), bool)
+        live, k = np.flatnonzero(out < self.cap), 0
+        x, y = (z[live].astype(I8) + (0 if start is None else start[live]) for z in (a, b))
+        while len(live):
+            if most is not None:
+                full = most[live] <= k
+                whole[live[full]] = True
+                live, x, y = live[~full], x[~full], y[~full]
+            p, q = self.t[x], self.t[y]
+            same = p == q
+            if self.edge is not None:
+                d = ~same
+                out[live[d]] += self.between(np.minimum(p[d], q[d]).astype(I8), np.maximum(p[d], q[d]).astype(I8))
+            live, x, y = live[same], x[same] + 1, y[same] + 1
+            out[live] += 1 if self.weight is None else self.weight[p[same]]
+            k += 1
+            short = out[live] < self.cap
+            whole[live[~short]] = True  # equal as far as it matters
+            live, x, y = live[short], x[short], y[short]
+        return np.minimum(out, self.cap).astype(np.uint8), whole
 
 
 class Scan:
     """One direction of induction: pushes predecessors, with their common prefixes."""
 
-    def __init__(self, t, is_s, uniq: int, size: int, cap: int, want_s: bool, queue: DiskQueue):
-        self.t, self.is_s, self.uniq, self.cap, self.want_s, self.queue = t, is_s, uniq, cap, want_s, queue
-        self.least = np.zeros(size if cap else 0, np.uint8)  # 0 before a bucket's first entry
+    def __init__(self, level: Level, queue: np.ndarray, lcp: np.ndarray | None, want_s: bool):
+        self.v, self.queue, self.lcp, self.want_s = level, queue, lcp, want_s
+        own = level.scratch
+        self.next = own.empty(level.size, I8)  # the next free place of each region
+        self.next[:] = level.starts[1:] if want_s else level.starts[:-1]
+        self.stamp = own.full(level.size if lcp is not None else 0, -1, np.int32)  # wave of the last push
+        self.rest = own.full(level.size if lcp is not None else 0, 0, np.uint8)  # least value in that wave since
+        self.turn, self.at, self.low = 0, [], []  # least values of later waves: a stack that ascends
 
-    def wave(self, pos: np.ndarray, lcp: np.ndarray) -> None:
-        if not len(pos):
-            return
+    def close(self) -> None:
+        self.v.scratch.drop(self.next, self.stamp, self.rest)
+
+    def predecessors(self, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which entries push their left neighbour; that neighbour, and its symbol."""
         src = np.flatnonzero(pos > 0)
         before = pos[src] - 1
-        ok = (self.is_s[before] == self.want_s) & (self.t[before] >= self.uniq)
-        src, before = src[ok], before[ok]
-        if not len(src):
-            self.least = np.minimum(self.least, lcp.min())
+        key = self.v.t[before]
+        ok = (self.v.is_s[before] == self.want_s) & (key >= self.v.uniq)
+        return src[ok], before[ok], key[ok]
+
+    def wave(self, pos: np.ndarray, lcp: np.ndarray | None, pushed=None) -> None:
+        if not len(pos):
             return
-        order, key, low, high = grouped(self.t[before])
-        src, before = src[order], before[order]
-        values = np.zeros(len(src), np.uint8)
-        if self.cap:
-            ranges = Minima(lcp)
-            from_ = np.empty(len(src), I8)
-            from_[1:] = src[:-1] + 1
-            from_[low] = 0
-            values = ranges.over(from_, src)
+        src, before, key = pushed or self.predecessors(pos)
+        if len(src):
+            k = key - self.v.uniq
+            order = np.argsort(k.astype(np.uint8 if self.v.size - self.v.uniq <= 256 else np.uint16) if self.v.size - self.v.uniq <= 65536 else k, kind="stable")
+            src, before, key = src[order], before[order], key[order].astype(I8)
+            low = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            sizes = np.diff(np.append(low, len(key)))
             buckets = key[low]
-            values[low] = np.minimum(values[low], self.least[buckets])
-            fresh = self.seen_first(buckets)
-            values = np.minimum(values.astype(np.int16) + 1, self.cap).astype(np.uint8)
-            values[low[fresh]] = 0
-            self.least = np.minimum(self.least, lcp.min())
-            tail = src[high - 1] + 1
-            rest = np.full(len(buckets), 255, np.uint8)
-            some = tail < len(lcp)
-            rest[some] = ranges.over(tail[some], np.full(int(some.sum()), len(lcp) - 1))
-            self.least[buckets] = rest
-        for c, i, j in zip(key[low].tolist(), low.tolist(), high.tolist()):
-            self.queue.push(c, before[i:j], values[i:j])
-
-    def seen_first(self, buckets: np.ndarray) -> np.ndarray:
-        if not hasattr(self, "seen"):
-            self.seen = np.zeros(len(self.least), bool)
-        fresh = ~self.seen[buckets]
-        self.seen[buckets] = True
-        return fresh
-
-
-def induce(t: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, seed_lcp: np.ndarray, uniq: int, size: int, cap: int, limit: int):
-    """Yields, bucket by bucket from the last, (positions, common prefixes) of all suffixes in
-    ascending order. seeds: the LMS suffixes in order. cap 0: common prefixes are not kept."""
-    queue, sorted_l = DiskQueue(limit), DiskQueue(limit)
-    scan = Scan(t, is_s, uniq, size, cap, False, queue)
-    first = t[seeds]
-    edges = np.searchsorted(first, np.arange(size + 1))
-    a, b = edges[0], edges[uniq]
-    scan.wave(seeds[a:b], np.zeros(b - a, np.uint8))
-    for c in range(uniq, size):
-        last = -1
-        while (entry := queue.pop(c)) is not None:
-            pos, lcp = entry
-            sorted_l.push(c, pos, lcp)
-            scan.wave(pos, lcp)
-            last = int(pos[-1])
-        s = seeds[edges[c] : edges[c + 1]]
+            rank = np.arange(len(key)) - np.repeat(low, sizes)
+            at = np.repeat(self.next[buckets], sizes)
+            at = at - 1 - rank if self.want_s else at + rank
+            self.queue[at] = before
+            self.next[buckets] += -sizes if self.want_s else sizes
+        if lcp is None:
+            return
+        prefix = np.minimum.accumulate(lcp)
+        if len(src):
+            values = np.empty(len(src), np.uint8)
+            stamp = self.stamp[buckets]
+            stack = np.append(np.array(self.low, np.uint8), np.uint8(255))
+            since = stack[np.searchsorted(np.array(self.at, I8), stamp, "right")]
+            values[low] = np.minimum(np.minimum(prefix[src[low]], since), self.rest[buckets])
+            more = np.ones(len(src), bool)
+            more[low] = False
+            more = np.flatnonzero(more)
+            values[more] = least_between(lcp, src[more - 1] + 1, src[more])
+            weight = 1 if self.v.weight is None else self.v.weight[key].astype(np.int16)
+            values = np.minimum(values.astype(np.int16) + weight, self.v.cap).astype(np.uint8)
+            self.lcp[at] = values
+            suffix = np.append(np.minimum.accumulate(lcp[::-1])[::-1], np.uint8(255))
+            self.stamp[buckets] = self.turn
+            self.rest[buckets] = suffix[src[low + sizes - 1] + 1]
+        m = int(prefix[-1])
+        while self.low and self.low[-1] >= m:
+            self.low.pop()
+            self.at.pop()
+        self.at.append(self.turn)
+        self.low.append(m)
+        self.turn += 1
+
+
+def induce(v: Level, seeds: np.ndarray, seed_lcp: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """All suffixes in order, and their common prefixes with the ones before them.
+
+    seeds: the suffixes with unique symbols, then the LMS suffixes, in order. Without
+    seed_lcp common prefixes are not kept.
+    """
+    own, starts, large, keep = v.scratch, v.starts, v.large, seed_lcp is not None
+    order = own.empty(v.n, v.place)
+    lcp = own.full(v.n, 0, np.uint8) if keep else None
+    order[: v.uniq] = seeds[: v.uniq]
+    first = own.empty(v.size + 1, I8)  # where the seeds of each symbol start
+    symbols = own.empty(len(seeds), np.int32)
+    for a, b in own.chunks(len(seeds)):
+        symbols[a:b] = v.t[seeds[a:b]]
+    for a, b in own.chunks(v.size + 1):
+        first[a:b] = np.searchsorted(symbols, np.arange(a, b))
+    own.drop(symbols)
+
+    def crossing(symbols: np.ndarray, last: int) -> np.ndarray:
+        """Common prefix of the first entries of scanned symbols with the symbols scanned before."""
+        out = np.zeros(len(symbols), np.uint8)
+        if v.edge is not None and len(symbols):
+            before = np.concatenate([[last if last >= 0 else symbols[0]], symbols[:-1]])
+            ok = before != symbols
+            out[ok] = v.between(np.minimum(before, symbols)[ok], np.maximum(before, symbols)[ok])
+        return out
+
+    def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return v.shared(a.astype(I8), b.astype(I8))[0]
+
+    # L suffixes, ascending
+    scan = Scan(v, order, lcp, False)
+    for a in range(0, v.uniq, own.step):
+        pos = np.asarray(seeds[a : min(v.uniq, a + own.step)], I8)
+        scan.wave(pos, np.zeros(len(pos), np.uint8) if keep else None)
+    c, last, target = v.uniq, -1, 1024
+    while c < v.size:
+        hi = max(c + 1, int(np.searchsorted(starts, starts[c] + target, "right")) - 1)
+        if hi > c + 1:
+            n_l, n_s = scan.next[c:hi] - starts[c:hi], np.diff(first[c : hi + 1])
+            total = n_l + n_s
+            o = np.cumsum(total) - total
+            pos = np.empty(int(total.sum()), I8)
+            to_l, from_l, to_s = spans(o, n_l), spans(starts[c:hi], n_l), spans(o + n_l, n_s)
+            pos[to_l], pos[to_s] = order[from_l], seeds[first[c] : first[hi]]
+            pushed = scan.predecessors(pos)
+            least = int(pushed[2].min()) if len(pushed[0]) else hi
+            if least == c:
+                hi = c + 1
+                target = 256
+            else:
+                if least < hi:
+                    n = int(o[least - c])
+                    keep_src = int(np.searchsorted(pushed[0], n))
+                    pushed = tuple(x[:keep_src] for x in pushed)
+                    hi, pos, n_l, n_s, total, o = least, pos[:n], *(x[: least - c] for x in (n_l, n_s, total, o))
+                    to_l, from_l, to_s = spans(o, n_l), spans(starts[c:hi], n_l), spans(o + n_l, n_s)
+                    target = max(256, 2 * n)
+                else:
+                    target = min(2 * target, own.step)
+                values = None
+                some = np.flatnonzero(total)
+                if keep:
+                    values = np.empty(len(pos), np.uint8)
+                    values[to_l], values[to_s] = lcp[from_l], seed_lcp[first[c] : first[hi]]
+                    meet = np.flatnonzero((n_l > 0) & (n_s > 0))
+                    edge = o[meet] + n_l[meet]
+                    values[edge] = both(pos[edge - 1], pos[edge])
+                    values[o[some]] = crossing(some + c, last)
+                scan.wave(pos, values, pushed)
+                last = int(some[-1]) + c if len(some) else last
+                c = hi
+                continue
+        done, at, any_l = int(starts[c]), int(starts[c]), False
+        while done < scan.next[c]:
+            end = min(int(scan.next[c]), done + own.step)
+            pos = order[done:end].astype(I8)
+            values = np.array(lcp[done:end]) if keep else None
+            if keep and done == at:
+                values[0] = crossing(np.array([c]), last)[0]
+            scan.wave(pos, values)
+            done, any_l = end, True
+        for a in range(int(first[c]), int(first[c + 1]), own.step):
+            b = min(int(first[c + 1]), a + own.step)
+            pos = np.asarray(seeds[a:b], I8)
+            values = np.array(seed_lcp[a:b]) if keep else None
+            if keep and a == first[c]:
+                values[0] = both(order[done - 1 : done], pos[:1])[0] if any_l else crossing(np.array([c]), last)[0]
+            scan.wave(pos, values)
+        if any_l or first[c + 1] > first[c]:
+            last = c
+        c += 1
+    scan.close()
+    own.drop(first)
+    # S suffixes, descending
+    scan = Scan(v, order, lcp, True)
+    hi, last, target = v.size, -1, 1024
+    while hi > v.uniq:
+        lo = min(hi - 1, max(v.uniq, int(np.searchsorted(starts, starts[hi] - target, "left"))))
+        if lo < hi - 1:
+            sym = np.arange(hi - 1, lo - 1, -1)
+            ends, tails, mids, begins = starts[sym + 1], scan.next[sym], starts[sym] + large[sym], starts[sym]
+            n_s, n_l = ends - tails, mids - begins
+            total = n_s + n_l
+            o = np.cumsum(total) - total
+            at = np.empty(int(total.sum()), I8)  # places in the order, descending in each symbol
+            to_s, to_l = spans(o, n_s), spans(o + n_s, n_l)
+            at[to_s] = np.repeat(ends - 1 + o, n_s) - to_s
+            at[to_l] = np.repeat(mids - 1 + o + n_s, n_l) - to_l
+            pos = order[at].astype(I8)
+            pushed = scan.predecessors(pos)
+            most = int(pushed[2].max()) if len(pushed[0]) else lo - 1
+            if most == hi - 1:
+                lo = hi - 1
+                target = 256
+            else:
+                if most >= lo:  # only the symbols above it are complete
+                    m = hi - 1 - most
+                    n = int(o[m])
+                    keep_src = int(np.searchsorted(pushed[0], n))
+                    pushed = tuple(x[:keep_src] for x in pushed)
+                    lo, at, pos = most + 1, at[:n], pos[:n]
+                    sym, ends, tails, mids, begins, n_s, n_l, total, o = (x[:m] for x in (sym, ends, tails, mids, begins, n_s, n_l, total, o))
+                    target = max(256, 2 * n)
+                else:
+                    target = min(2 * target, own.step)
+                values = None
+                some = np.flatnonzero(total)
+                if keep:
+                    to_s, to_l = spans(o, n_s), spans(o + n_s, n_l)
+                    values = np.empty(len(pos), np.uint8)
+                    values[to_s] = lcp[at[to_s]]
+                    values[to_l] = lcp[np.minimum(at[to_l] + 1, v.n - 1)]
+                    meet = np.flatnonzero((n_s > 0) & (n_l > 0))
+                    edge = o[meet] + n_s[meet]
+                    joint = both(pos[edge], pos[edge - 1])
+                    values[edge] = joint
+                    values[o[some]] = crossing(sym[some], last)
+                    # S entries hold the prefix with their larger neighbour: shift it to the larger one
+                    up = np.flatnonzero(n_s > 1)
+                    to = spans(tails[up] + 1, n_s[up] - 1)
+                    lcp[to] = lcp[to - 1]
+                    lcp[tails[meet]] = joint
+                    lcp[begins[some]] = 0 if v.edge is None else v.edge[sym[some]]
+                scan.wave(pos, values, pushed)
+                last = int(sym[some[-1]]) if len(some) else last
+                hi = lo
+                continue
+        c = hi - 1
+        begin, mid, end = int(starts[c]), int(starts[c] + large[c]), int(starts[c + 1])
+        done = end
+        while done > scan.next[c]:
+            a = max(int(scan.next[c]), done - own.step)
+            pos = order[a:done][::-1].astype(I8)
+            values = np.array(lcp[a:done][::-1]) if keep else None
+            if keep and done == end:
+                values[0] = crossing(np.array([c]), last)[0]
+            scan.wave(pos, values)
+            done = a
+        joint = 0
+        if keep and mid > begin:
+            joint = both(order[mid - 1 : mid], order[mid : mid + 1])[0] if end > mid else crossing(np.array([c]), last)[0]
+        for b in range(mid, begin, -own.step):
+            a = max(begin, b - own.step)
+            pos = order[a:b][::-1].astype(I8)
+            values = None
+            if keep:
+                values = np.empty(b - a, np.uint8)
+                values[1:] = lcp[a + 1 : b][::-1]
+                values[0] = joint if b == mid else lcp[b]
+            scan.wave(pos, values)
+        if keep and end > begin:
+            for b in range(end, mid, -own.step):
+                a = max(mid + 1, b - own.step)
+                if a < b:
+                    lcp[a:b] = np.array(lcp[a - 1 : b - 1])
+            if begin < mid < end:
+                lcp[mid] = joint
+            lcp[begin] = 0 if v.edge is None else v.edge[c]
+        if end > begin:
+            last = c
+        hi = c
+    scan.close()
+    return order, lcp
+
+
+def collect(own: Scratch, n: int, chosen, kind) -> np.ndarray:
+    """The concatenated results of chosen(a, b) over the chunks of n positions."""
+    total = sum(len(chosen(a, b)) for a, b in own.chunks(n))
+    out, k = own.empty(total, kind), 0
+    for a, b in own.chunks(n):
+        x = chosen(a, b)
+        out[k : k + len(x)] = x
+        k += len(x)
+    return out
+
+
+def sorted_suffixes(v: Level) -> tuple[np.ndarray, np.ndarray]:
+    """All suffixes in order (by cap bytes) and their common prefixes with the ones before."""
+    own = v.scratch
+    star = own.empty(v.n, bool)
+    star[0] = False
+    for a, b in own.chunks(v.n - 1):
+        star[a + 1 : b + 1] = v.is_s[a + 1 : b + 1] & ~v.is_s[a:b]
+    lms = collect(own, v.n, lambda a, b: np.flatnonzero(star[a:b]) + a, v.place)
+    heads = collect(own, v.n, lambda a, b: np.flatnonzero(v.t[a:b] < v.uniq) + a, v.place)
+    seeds, seed_lcp = order_of_lms(v, star, lms, heads)
+    own.drop(star, lms, heads)
+    if v.origin is None:  # exact from here on
+        for a, b in own.chunks(len(seeds) - 1):
+            seed_lcp[a + 1 : b + 1] = v.shared(seeds[a:b], seeds[a + 1 : b + 1], start=seed_lcp[a + 1 : b + 1])[0]
+    out = induce(v, seeds, seed_lcp)
+    own.drop(seeds, seed_lcp, v.is_s, v.large, v.starts)
+    return out
+
+
+def order_of_lms(v: Level, star: np.ndarray, lms: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes with unique symbols, then the other LMS suffixes in order; prefixes."""
+    own, n = v.scratch, len(lms)
+    # by first symbol: a counting sort through the regions of the symbols
+    by_first = own.empty(v.uniq + n, v.place)
+    by_first[: v.uniq] = heads
+    number = own.full(v.size, 0, I8)
+    for a, b in own.chunks(n):
+        np.add.at(number, v.t[lms[a:b]], 1)
+    number[: v.uniq] = 0
+    place = own.empty(v.size, I8)
+    np.cumsum(number, out=place)
+    place[:] = place - number + v.uniq
+    for a, b in own.chunks(n):
+        x = np.asarray(lms[a:b])
+        s = v.t[x]
+        order = np.argsort(s, kind="stable")
+        order = order[s[order] >= v.uniq]
+        s = s[order].astype(I8)
         if len(s):
-            lcp = seed_lcp[edges[c] : edges[c + 1]].copy()
-            if cap:
-                lcp[0] = common(t, np.array([last]), s[:1], cap)[0]
-            scan.wave(s, lcp)
-    queue.close()
-    queue = DiskQueue(limit)
-    scan = Scan(t, is_s, uniq, size, cap, True, queue)
-    for c in range(size - 1, uniq - 1, -1):
-        parts = []
-        while (entry := queue.pop(c)) is not None:  # larger ones first; each with its larger neighbour's prefix
-            parts.append(entry)
-            scan.wave(*entry)
-        large = sorted_l.pop(c)
-        low, values = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, I8), np.zeros(0, np.uint8))
-        pos, lcp = low[::-1], np.zeros(len(low), np.uint8)
-        lcp[1:] = values[:0:-1]
-        if large is not None:
-            edge = common(t, large[0][-1:], pos[:1], cap) if cap and len(pos) else np.zeros(min(1, len(pos)), np.uint8)
-            back = np.concatenate([edge if len(edge) else np.zeros(1, np.uint8), large[1][:0:-1]])
-            scan.wave(large[0][::-1], back)
-            if len(pos):
-                lcp[0] = edge[0]
-            pos, lcp = np.concatenate([large[0], pos]), np.concatenate([large[1], lcp])
-        if len(pos):
-            yield pos, lcp
-    queue.close()
-    sorted_l.close()
-
-
-def doubling(r: np.ndarray, cap: int) -> np.ndarray:
-    """Ranks of the suffixes of r by their first cap symbols or more."""
-    rank, k = np.unique(r, return_inverse=True)[1].astype(I8), 1
-    while k < cap and rank.max() + 1 < len(rank):
-        nxt = np.zeros(len(rank), I8)
-        nxt[:-k or None] = rank[k:] + 1
-        key = rank * (int(rank.max()) + 2) + nxt
-        rank = np.unique(key, return_inverse=True)[1].astype(I8)
-        k *= 2
-    return rank
-
-
-def ordered_lms(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, uniq: int, size: int, cap: int, limit: int, level: int) -> np.ndarray:
-    """The LMS suffixes in order."""
-    by_first = lms[np.argsort(t[lms], kind="stable")]
-    star = np.zeros(len(t), bool)
-    star[lms] = True
-    parts = [pos[star[pos]] for pos, _ in induce(t, is_s, by_first, np.zeros(len(lms), np.uint8), uniq, size, 0, limit)]
-    singles = by_first[t[by_first] < uniq]
-    subs = np.concatenate([singles, *parts[::-1]])  # sorted by LMS substring
-    end = np.append(lms[1:], len(t) - 1)
-    place = np.zeros(len(t), I8)
-    place[lms] = np.arange(len(lms))
-    sizes = end[place[subs]] - subs + 1
-    same = sizes[1:] == sizes[:-1]
-    a, b, n = subs[:-1].copy(), subs[1:].copy(), sizes[1:].copy()
-    live = np.flatnonzero(same)
-    equal = np.zeros(len(same), bool)
-    k = 0
-    while len(live):
-        done = n[live] <= k
-        equal[live[done]] = True
-        live = live[~done]
-        live = live[t[a[live] + k] == t[b[live] + k]]
-        k += 1
-    name = np.concatenate([[0], np.cumsum(~equal)]) if len(subs) else np.zeros(0, I8)
-    r = np.empty(len(lms), I8)
-    r[place[subs]] = name
-    names = int(name[-1]) + 1
-    if names == len(lms):
-        return lms[np.argsort(r)]
-    if names <= ALPHABET and level < 4:
-        return lms[suffix_order(r, int((t[lms] < uniq).sum()), names, cap, limit, level + 1)]
-    return lms[np.argsort(doubling(r, cap), kind="stable")]
-
-
-def suffix_order(t: np.ndarray, uniq: int, size: int, cap: int, limit: int, level: int) -> np.ndarray:
-    """All suffix positions in order (by cap symbols). The first uniq symbols occur once each
-    and the last symbol is one of them."""
-    is_s = types(t)
-    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    heads = np.flatnonzero(t < uniq)
-    heads = heads[np.argsort(t[heads])]
-    seeds = ordered_lms(t, is_s, lms, uniq, size, cap, limit, level) if len(lms) else lms
-    extra = heads[~np.isin(heads, seeds)]
-    if len(extra):  # separators that are not LMS still start the scan
-        seeds = np.concatenate([heads, seeds[t[seeds] >= uniq]])
-    parts = [pos for pos, _ in induce(t, is_s, seeds, np.zeros(len(seeds), np.uint8), uniq, size, 0, limit)]
-    return np.concatenate([heads, *parts[::-1]])
-
-
-def repeated(strings: list[bytes], weights: np.ndarray, length: int, limit: int = QUEUE_BYTES) -> list[np.ndarray]:
-    """For each string, which of its `length`-byte substrings occur elsewhere in the strings.
-    weights: how often each string occurs; length at most 254."""
-    m = len(strings)
-    sizes = np.fromiter(map(len, strings), I8, m)
-    ends = np.cumsum(sizes + 1) - 1
-    t = np.empty(int(ends[-1]) + 1, np.int32) if m else np.zeros(0, np.int32)
-    inside = np.ones(len(t), bool)
-    inside[ends] = False
-    t[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int32) + m
-    t[ends] = np.arange(m)
+            low = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+            sizes = np.diff(np.append(low, len(s)))
+            by_first[np.repeat(place[s[low]] - low, sizes) + np.arange(len(s))] = x[order]
+            place[s[low]] += sizes
+    used = v.uniq + int(number.sum())
+    own.drop(number, place)
+    rough, _ = induce(v, by_first[:used], None)
+    own.drop(by_first)
+    singles = heads[star[heads]]
+    subs = own.empty(n, v.place)
+    subs[: len(singles)] = singles
+    rest = collect(own, v.n - v.uniq, lambda a, b: (lambda x: x[star[x]])(rough[a + v.uniq : b + v.uniq]), v.place)
+    subs[len(singles) :] = rest
+    own.drop(rough, rest)
+    # names: LMS substrings in order, equal ones alike
+    r, fresh, near = own.empty(n, np.int32 if n < 2**31 else I8), own.full(n, True, bool), own.full(n, 0, np.uint8)
+
+    def sizes_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(lms, x)
+        ends = np.where(at + 1 < n, lms[np.minimum(at + 1, n - 1)], v.n - 1)
+        return at, ends.astype(I8)
+
+    for a, b in own.chunks(n - 1):
+        x, y = (np.asarray(subs[i:j], I8) for i, j in ((a, b), (a + 1, b + 1)))
+        m, k = (sizes_of(z)[1] - z + 1 for z in (x, y))
+        near[a + 1 : b + 1], whole = v.shared(x, y, np.minimum(m, k))
+        fresh[a + 1 : b + 1] = ~(whole & ((m == k) | (near[a + 1 : b + 1] >= v.cap)))
+    names = 0
+    total = int(fresh.sum())
+    weight, edge = own.empty(total, np.uint8), own.empty(total, np.uint8)
+    for a, b in own.chunks(n):
+        x, new = np.asarray(subs[a:b], I8), fresh[a:b]
+        at, ends = sizes_of(x)
+        name = names + np.cumsum(new)
+        r[at] = name - 1
+        span = ends - x if v.origin is None else v.origin[ends] - v.origin[x]
+        weight[name[new] - 1] = np.clip(span[new], 1, v.cap)
+        edge[name[new] - 1] = near[a:b][new]
+        names = int(name[-1])
+    edge[0] = 0
+    own.drop(fresh)
+    if names == n:
+        order, lcp = subs, near
+    else:
+        origin = own.empty(n, v.place)
+        for a, b in own.chunks(n):
+            origin[a:b] = lms[a:b] if v.origin is None else v.origin[lms[a:b]]
+        order, lcp = sorted_suffixes(Level(r, len(singles), names, weight, edge, origin, v.cap, own))
+        for a, b in own.chunks(n):
+            order[a:b] = lms[order[a:b]]
+        own.drop(origin, subs, near)
+    own.drop(r, weight, edge)
+    seeds, seed_lcp = own.empty(v.uniq + n - len(singles), v.place), own.full(v.uniq + n - len(singles), 0, np.uint8)
+    seeds[: v.uniq] = heads
+    seeds[v.uniq :], seed_lcp[v.uniq :] = order[len(singles) :], lcp[len(singles) :]
+    if len(seeds) > v.uniq:
+        seed_lcp[v.uniq] = 0
+    own.drop(order, lcp)
+    return seeds, seed_lcp
+
+
+def repeated(data: np.ndarray, sizes: np.ndarray, weights: np.ndarray, length: int, limit: int = LIMIT, step: int = STEP) -> np.ndarray:
+    """For each string the positions at which a substring of `length` bytes starts that occurs
+    elsewhere in the strings: one value a byte (and one more a string, its end).
+
+    data: the bytes of all strings; sizes: of each, 1 at least; weights: how often each string
+    occurs; length at most 254. Strings are taken as different places even if equal.
+    """
+    m = len(sizes)
     if not m:
-        return []
-    is_s = types(t)
-    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    seeds = ordered_lms(t, is_s, lms, m, m + 256, length, limit, 0)
-    missing = ends[~np.isin(ends, seeds)]
-    if len(missing):
-        seeds = np.concatenate([ends, seeds[t[seeds] >= m]])
-    seed_lcp = np.zeros(len(seeds), np.uint8)
-    seed_lcp[1:] = common(t, seeds[:-1], seeds[1:], length)
-    owner = np.repeat(np.arange(m, dtype=np.int32), sizes + 1)
-    hit = np.zeros(len(t), bool)
-    for pos, lcp in induce(t, is_s, seeds, seed_lcp, m, m + 256, length, limit):
-        head = np.flatnonzero(lcp < length)  # classes of suffixes that agree in `length` bytes
-        head = head if len(head) and head[0] == 0 else np.append(0, head)
-        total = np.add.reduceat(weights[owner[pos]], head)
-        many = np.repeat(total > 1, np.diff(np.append(head, len(pos))))
-        hit[pos[many]] = True
-    starts = ends - sizes
-    return [hit[a : max(a, b - length + 1)] for a, b in zip(starts.tolist(), ends.tolist())]
+        return np.zeros(0, bool)
+    own = Scratch(limit, step)
+    ends = np.cumsum(sizes + 1) - 1
+    n = int(ends[-1]) + 1
+    t = own.empty(n, np.int32)
+    for a, b in own.chunks(n):
+        i, j = np.searchsorted(ends, [a, b])  # separators inside
+        inside = np.ones(b - a, bool)
+        inside[ends[i:j] - a] = False
+        x = np.empty(b - a, np.int32)
+        x[inside] = data[a - i : b - j].astype(np.int32) + m
+        x[~inside] = np.arange(i, j)
+        t[a:b] = x
+    order, lcp = sorted_suffixes(Level(t, m, m + 256, None, None, None, length, own))
+    own.drop(t)
+    hit = own.empty(n, bool)
+    hit[:] = False
+    # classes of suffixes that agree in `length` bytes; one may go on in the next chunk
+    total, waiting = 0, []
+    for a, b in own.chunks(n):
+        pos, head = np.asarray(order[a:b], I8), np.flatnonzero(lcp[a:b] < length)
+        w = weights[np.searchsorted(ends, pos)]
+        first = int(head[0]) if len(head) else len(pos)
+        total += int(w[:first].sum())
+        waiting.append(pos[:first])
+        if total > 1:
+            for x in waiting:
+                hit[x] = True
+            waiting = []
+        if len(head):
+            sums = np.add.reduceat(w, head)
+            hit[pos[first:][np.repeat(sums > 1, np.diff(np.append(head, len(pos))))]] = True
+            total, waiting = int(sums[-1]), [pos[head[-1] :]]
+    return hit
