@@ -9,8 +9,9 @@ import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructField, StructType
 
 NO_ID = (1 << 63) - 1  # a null id orders after every other
 ROWS_PER_BATCH = 1000
@@ -26,7 +27,10 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "pixelframe-checkpoints"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "pixelframe-checkpoints"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,22 +52,51 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.2)
 
 
+def column(name: str) -> Column:
+    """A column by its whole name, dots, spaces and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def carried(docs: DataFrame, carry: list[str] | None) -> Column:
+    """The carried columns (all unless given) in one struct, so their names can't clash."""
+    return F.struct(*[column(c).alias(c) for c in (docs.columns if carry is None else carry)]).alias("row")
+
+
+def fields(df: DataFrame, names: list[str], more: str = "") -> StructType:
+    """Columns of df, then those of a DDL string."""
+    return StructType([StructField(n, df.schema[n].dataType) for n in names] + (list(StructType.fromDDL(more)) if more else []))
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     """Bytes of all texts: what block counts are derived from."""
-    return docs.select(F.sum(F.octet_length(F.col(text_col).cast("string"))).alias("n")).first()["n"] or 0
+    return docs.select(F.sum(F.octet_length(column(text_col).cast("string"))).alias("n")).first()["n"] or 0
+
+
+def id_order(docs: DataFrame, id_col: str, to: str) -> DataFrame:
+    """docs with a long column that orders as the ids do, nulls last: the id itself if it is a
+    whole number, else its rank among the distinct ids (counted by ordered partition)."""
+    if isinstance(docs.schema[id_col].dataType, IntegralType):
+        return docs.withColumn(to, F.coalesce(column(id_col).cast("long"), F.lit(NO_ID)))
+    ids = docs.select(column(id_col).alias("k")).where("k IS NOT NULL").distinct().orderBy("k")
+    kind = StructType([StructField("k", docs.schema[id_col].dataType), StructField(to, StructType.fromDDL("r bigint")[0].dataType)])
+    ranks = cut(docs.sparkSession.createDataFrame(ids.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1])), kind))
+    return docs.join(ranks, column(id_col) == ranks["k"], "left").withColumn(to, F.coalesce(column(to), F.lit(NO_ID))).drop(ranks["k"])
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id (null last), xxhash64 of the text and the text.
+def keyed(docs: DataFrame, id_col: str, text_col: str, carry: list[str] | None = None) -> DataFrame:
+    """id (a long that orders as the ids do, null last), xxhash64 of the text, the text, and row.
 
     (id, th) is the key of a row: rows that agree in both have the same result, so repeated
     rows and repeated ids need no row numbers.
     """
-    t = F.col(text_col).cast("string")
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(t).alias("th"), t.alias("text"))
+    carry, key = docs.columns if carry is None else carry, "id"
+    while key in docs.columns:
+        key += "_"
+    t = column(text_col).cast("string")
+    return id_order(docs, id_col, key).select(column(key).alias("id"), F.xxhash64(t).alias("th"), t.alias("text"), carried(docs, carry))
 
 
-def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     prepare(df.sparkSession)
     return df.mapInArrow(f, schema)
 

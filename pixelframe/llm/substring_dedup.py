@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import kernels as K
-from .common import NO_ID, cut, keyed, map_batches, release, text_bytes
-from .sketches import cells, key_hash, marks
+from .common import cut, fields, keyed, map_batches, release, text_bytes
+from .sketches import Bitmap, bit_count, bitmap, key_hash, longs
 
 FLUSH_WINDOWS = 1_000_000
 RANGE_BYTES = 12 << 20  # of text: about 2 million windows for a reducer
@@ -285,7 +285,7 @@ def state_columns(q: int, ids, ths, counts, positions, h) -> tuple:
     return (q, ids[d].tobytes(), ths[d].tobytes(), counts[d].astype(np.int32).tobytes(), pa.compress(np.diff(positions, prepend=0).astype(np.int32).tobytes(), "zstd", asbytes=True), h.tobytes())
 
 
-def packed_by_group(groups: int, answered: np.ndarray):
+def packed_by_group(groups: int, answered: Bitmap):
     """Rows whose (id, th) is marked as answered, dealt by group and packed: compressed columns shuffle at about a
     third of the size of plain rows."""
 
@@ -305,7 +305,7 @@ def packed_by_group(groups: int, answered: np.ndarray):
 
         size = 0
         for b in batches:
-            b = b.filter(pa.array(answered[cells(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))]))
+            b = b.filter(pa.array(answered.marked(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))))
             held.append(b)
             size += b.nbytes
             if size >= PACK_BYTES:
@@ -322,7 +322,7 @@ def unpacked(column: pa.ChunkedArray) -> pa.Table:
 
 
 def exchange(blocks: DataFrame, ranges: int, groups: int) -> DataFrame:
-    return blocks.groupBy("dest").applyInArrow(answer(ranges, groups), REPLY)
+    return blocks.repartition(ranges + groups, "dest").groupBy("dest").applyInArrow(answer(ranges, groups), REPLY)
 
 
 def first_level(docs: DataFrame, id_col: str, text_col: str, window: int, keep_text: bool, carry: list[str], levels: bool) -> tuple[DataFrame, int, int]:
@@ -330,22 +330,18 @@ def first_level(docs: DataFrame, id_col: str, text_col: str, window: int, keep_t
     sha256, whether a window is repeated) and, for later levels, rows with the candidates."""
     size = text_bytes(docs, text_col)
     ranges, groups = max(16, -(-size // RANGE_BYTES)), max(64, -(-size // GROUP_BYTES))
-    base = keyed(docs, id_col, text_col)
-    replies = cut(exchange(map_batches(base.select("id", "th", "text"), from_text(window, ranges, groups), BLOCK), ranges, groups))
+    key = keyed(docs, id_col, text_col, carry)
+    replies = cut(exchange(map_batches(key.select("id", "th", "text"), from_text(window, ranges, groups), BLOCK), ranges, groups))
     release(docs.sparkSession)
-    answered = marks(replies.select("ids", "ths"), [("ids", "ths")], packed=True)
-    t = F.col(text_col).cast("string")
-    key = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(t).alias("th"), t.alias("text"), F.struct(*[F.col(c) for c in carry]).alias("row"))
-
+    answered = bitmap(replies.select("ids", "ths"), lambda b: key_hash(longs(b, "ids"), longs(b, "ths")), bit_count(size // 64))
     left = map_batches(key, packed_by_group(groups, answered), "q int, pack binary")
-    row_type = key.schema["row"].dataType.simpleString()
-    schema = f"id bigint, th bigint, row {row_type}, n_words bigint, n_removed bigint, kept string, repeated boolean, {STATE}"
+    schema = fields(key, ["id", "th", "row"], f"n_words bigint, n_removed bigint, kept string, repeated boolean, {STATE}")
     table = K.space_words()
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents without a repeated window keep all words."""
         for b in batches:
-            b = b.filter(pa.array(~answered[cells(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))]))
+            b = b.filter(pa.array(~answered.marked(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))))
             buf, offsets = K.text_buffer(b.column("text"))
             starts, ends, first = K.word_spans(buf, offsets, table)
             kept = [left_over(buf, offsets, starts, ends, first, i, None) for i in range(b.num_rows)]
@@ -412,10 +408,8 @@ def first_level(docs: DataFrame, id_col: str, text_col: str, window: int, keep_t
             arrays.append(pa.array([None] * n + [s[i] for s in extra], pa.int32() if x.endswith("int") else pa.binary()))
         return pa.Table.from_arrays(arrays, ["id", "th", "row", *cols, *(x.split()[0] for x in STATE.split(", "))])
 
-    out_schema = to_arrow_schema(key.limit(0).select("id", "th", "row").schema)
-    for name, t_ in (("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("repeated", pa.bool_()), *((x.split()[0], pa.int32() if x.endswith("int") else pa.binary()) for x in STATE.split(", "))):
-        out_schema = out_schema.append(pa.field(name, t_))
-    touched = left.groupBy("q").cogroup(replies.groupBy("q")).applyInArrow(settle, schema)
+    out_schema = to_arrow_schema(schema)
+    touched = left.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, schema)
     return cut(touched.unionAll(map_batches(key, untouched, schema))), ranges, groups
 
 
@@ -443,7 +437,7 @@ def next_level(state: DataFrame, length: int, ranges: int, groups: int) -> DataF
             arrays.append(pa.array([None] * n + [s[i] for s in out], pa.int32() if x.endswith("int") else pa.binary()))
         return pa.Table.from_arrays(arrays, ["id", "th", *(x.split()[0] for x in STATE.split(", "))])
 
-    return cut(state.groupBy("q").cogroup(replies.groupBy("q")).applyInArrow(settle, f"id bigint, th bigint, {STATE}"))
+    return cut(state.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, f"id bigint, th bigint, {STATE}"))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, keep_text: bool = True, levels: bool = True, carry: list[str] | None = None) -> DataFrame:

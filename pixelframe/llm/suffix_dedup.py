@@ -1,30 +1,38 @@
 """Suffix-array dedup: bytes covered by a `length`-byte string that also starts elsewhere.
 
-Every window of `length` bytes has an anchor: of its GRAM-byte substrings the one with the
-smallest hash (the leftmost of equal ones). Equal windows have equal anchors, so a window
-can only repeat if its anchor's substring does. Consecutive windows with one anchor form a
-segment. Segments are dealt by their anchor's hash, hence equal windows of any two
-documents meet in one shard. First only hashes travel and tell which anchors repeat; then
-the texts of segments with such anchors follow, each distinct segment once a batch, with
-how often it occurs. A shard sorts all suffixes of its distinct segments by external induced
-sorting (induced.py), whose common-prefix values tell which windows occur elsewhere; its
-queues spill to disk, but the texts, positions and names of a shard are held in memory, so a
-shard must fit one task. Answers travel back as
-bits by document group, as in substring_dedup.
+Every window of `length` bytes has an anchor: of its substrings of gram_of(length) bytes that
+follow white space (of all, if none does) the one with the smallest hash, the leftmost of
+equal ones.
+Equal windows have equal anchors, so a window can only repeat if its anchor does.
+Consecutive windows with one anchor form a segment. Segments are dealt by their anchor's
+hash, mixed once more (a smallest hash is itself always low), hence equal windows of any two
+documents meet in one shard.
+
+First only anchor hashes travel, each once a batch with the number of its contents, and tell
+which anchors repeat and which are hot: of more than hot_contents contents. Segments of hot anchors
+are cut into single windows that are dealt by their own hash, after a second count has told
+which of those repeat, so a passage that very many documents hold in different contexts is
+spread over all shards. Then the texts of what repeats follow, each distinct one once a
+batch. A shard writes them to a file and sorts all their suffixes by external induced sorting
+(induced.py), whose common-prefix values tell which windows occur elsewhere; of what grows
+with the shard's bytes only `limit` bytes are in memory, the rest in mapped files. Answers
+travel back as bits by document group, as in substring_dedup.
 
 Segments that occur twice in a batch are settled there, so what a third of all documents
 share is sent once a batch. Shard and group counts follow the input size.
 
 Defined results. Null texts are empty; texts shorter than a window keep all bytes. Rows that
-repeat a document count as elsewhere for each other. Empty tables give empty results. The
-kept text of the operator is decoded with replacement, as a cut may split a character; the
-digest is over the bytes. Carried columns travel in a struct. Equality of segments rests on
-two 64-bit hashes, of windows on the sorted bytes.
+repeat a document count as elsewhere for each other; ids may be null, repeated or of any
+type. Empty tables give empty results. The kept text of the operator is decoded with
+replacement, as a cut may split a character; the digest is over the bytes. Carried columns
+travel in a struct. Equality of segments within an anchor rests on a 64-bit hash more, of
+windows on the sorted bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,22 +42,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import kernels as K
-from .common import NO_ID, cut, keyed, map_batches, release, text_bytes
-from .induced import repeated
-from .sketches import cells, key_hash, marks
+from .common import carried, column, cut, fields, map_batches, release, text_bytes
+from .induced import LIMIT, Scratch, repeated
+from .sketches import Bitmap, bit_count, bitmap, key_hash, longs
 from .substring_dedup import REPLY, bits, decide, group_of, packed_by_group, part, rows, spans, unbits, unpacked
 
-GRAM = 64
 PIECE = 1 << 19
 PLACE = np.uint64((1 << 20) - 1)
+HOT = 4096
 FLUSH_SEGMENTS = 300_000
-FLUSH_TEXT = 16 << 20
-RANGE_BYTES = 2 << 20
+FLUSH_TEXT = 8 << 20
+FLUSH_WINDOWS = 4_000_000
+RANGE_BYTES = 8 << 20
 GROUP_BYTES = 2 << 20
-MARK_BITS = 24
 I8, U8 = np.int64, np.uint64
-HASHES = "dest int, gs binary, ds binary, many binary"
-BLOCK = "dest int, ids binary, ths binary, fs binary, counts binary, segs binary, ds binary, gs binary, sizes binary, twice binary, texts binary, bits binary"
+COUNTS = "dest int, keys binary, contents binary, many binary"
+FOUND = "repeated binary, hot binary"
+BLOCK = "dest int, ids binary, ths binary, fs binary, counts binary, segs binary, keys binary, ds binary, sizes binary, twice binary, texts binary, bits binary"
+WHITE = ~K.space_words()
 
 
 def stretches(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -70,67 +80,116 @@ def stretches(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.n
         i += 1
 
 
-def segments(buf: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """In order: each segment's text, first byte, windows, anchor hash and content hash."""
+def gram_of(length: int) -> int:
+    return min(64, length // 2)
+
+
+def candidates(x: np.ndarray, first: np.ndarray, down: np.ndarray, gram: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places at which an anchor can start, their hashes, and what orders them: after white
+    space, and everywhere in stretches where none of those is within reach of a window."""
+    last = len(x) - gram + 1
+    white = WHITE[x[:last]]
+    p = np.flatnonzero(white[:-1] & ~white[1:]) + 1
+    edges = np.concatenate([[0], p, [last]])
+    wide = np.diff(edges) > reach
+    extra = spans(edges[:-1][wide] + 1, np.diff(edges)[wide] - 1)
+    pos = np.concatenate([p, extra])
+    late = np.zeros(len(pos), bool)
+    late[len(p) :] = True
+    order = np.argsort(pos, kind="stable")
+    pos, late = pos[order], late[order]
+    h = K.mix((first[pos + gram] - first[pos]) * down[pos])
+    return pos, h, (((h >> U8(1)) | (late.astype(U8) << U8(63))) & ~PLACE) | np.arange(len(pos), dtype=U8)
+
+
+def least_of(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Minimum of values[low .. high - 1]."""
+    out, rows_, k = np.empty(len(low), values.dtype), values, 0
+    level = np.frexp((high - low).astype(np.float64))[1] - 1
+    for k in range(int(level.max(initial=-1)) + 1):
+        at = np.flatnonzero(level == k)
+        out[at] = np.minimum(rows_[low[at]], rows_[high[at] - (1 << k)])
+        rows_ = np.minimum(rows_[: -(1 << k)], rows_[1 << k :]) if len(rows_) > 1 << k else rows_
+    return out
+
+
+def segments(buf: np.ndarray, offsets: np.ndarray, length: int, hot: Bitmap | None = None) -> tuple[np.ndarray, ...]:
+    """In order: each segment's text, first byte, windows, key and content hash. Segments with
+    a hot anchor are cut into single windows."""
     out: list[tuple] = []
-    w = length - GRAM + 1
-    other = K.mix(K.BYTE_VALUES * K.KEYS[30])
+    gram = gram_of(length)
+    reach = length - gram
     for lo, hi, bounds in stretches(offsets, length):
         x = buf[lo:hi]
         n = len(x)
         if n < length:
             continue
         up, down = K.powers(PIECE + length)
-        first = np.concatenate([np.zeros(1, U8), np.cumsum(K.BYTE_VALUES[x] * up[:n])])
-        h = K.mix((first[GRAM:] - first[:-GRAM]) * down[: n - GRAM + 1])
-        low = (h & ~PLACE) | np.arange(len(h), dtype=U8)
-        span = 1
-        while span * 2 <= w:
-            low = np.minimum(low[:-span], low[span:])
-            span *= 2
-        if span < w:
-            low = np.minimum(low[: len(low) - (w - span)], low[w - span :])
-        valid = np.zeros(n - length + 2, I8)
-        whole = np.diff(bounds) >= length
-        np.add.at(valid, bounds[:-1][whole], 1)
-        np.add.at(valid, bounds[1:][whole] - length + 1, -1)
-        j = np.flatnonzero(np.cumsum(valid[:-1]))
-        if not len(j):
+        first = np.empty(n + 1, U8)
+        first[0] = 0
+        np.cumsum(K.BYTE_VALUES[x] * up[:n], out=first[1:])
+        pos, h, value = candidates(x, first, down, gram, reach)
+        cuts = np.unique(np.concatenate([bounds[:-1], bounds[1:] - length + 1, pos, pos - reach]))
+        cuts = cuts[(cuts >= 0) & (cuts <= n - length)]
+        text = np.searchsorted(bounds, cuts, "right") - 1
+        cuts = cuts[cuts + length <= bounds[text + 1]]
+        # every window that fits into its text has a candidate; runs of windows between two
+        # cuts have the same ones
+        a = (least_of(value, np.searchsorted(pos, cuts, "right"), np.searchsorted(pos, cuts + reach, "right")) & PLACE).astype(I8)
+        text = np.searchsorted(bounds, cuts, "right") - 1
+        end = np.minimum(np.append(cuts[1:], n), bounds[text + 1] - length + 1)
+        at = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, I8)
+        if not len(at):
             continue
-        a = (low[j] & PLACE).astype(I8)
-        at = np.flatnonzero(np.concatenate([[True], (j[1:] != j[:-1] + 1) | (a[1:] != a[:-1])]))
-        c = np.diff(np.append(at, len(j)))
-        s = j[at]
+        s = cuts[at]
+        c = end[np.append(at[1:], len(a)) - 1] - s
+        g = K.mix(h[a[at]] * K.KEYS[34])
+        split = np.zeros(len(s), bool) if hot is None else hot.marked(g)
+        if split.any():
+            many = np.where(split, c, 1)
+            g, split = np.repeat(g, many), np.repeat(split, many)
+            s, c = spans(s, many), np.where(split, 1, np.repeat(c, many))
         e = s + c + length - 1
-        second = np.concatenate([np.zeros(1, U8), np.cumsum(other[x] * up[:n])])
-        d = K.mix((second[e] - second[s]) * down[s] + c.astype(U8))
-        out.append((lo + s, c, h[a[at]], d))
+        mid = (s + e) >> 1
+        whole, half = (first[e] - first[s]) * down[s], (first[mid] - first[s]) * down[s]
+        d = K.mix(whole * K.KEYS[30] + K.mix(half * K.KEYS[32]) + c.astype(U8))
+        out.append((lo + s, c, np.where(split, K.mix(whole * K.KEYS[33]), g), d))
     if not out:
         return (np.zeros(0, I8),) * 3 + (np.zeros(0, U8),) * 2
-    s, c, g, d = map(np.concatenate, zip(*out))
-    return np.searchsorted(offsets, s, "right") - 1, s, c, g, d
+    s, c, k, d = map(np.concatenate, zip(*out))
+    return np.searchsorted(offsets, s, "right") - 1, s, c, k, d
 
 
-def anchor_blocks(length: int, ranges: int):
+def key_counts(length: int, ranges: int, hot: Bitmap | None):
+    """Keys of a batch's segments: in how many contents each is, and whether it occurs twice.
+    With hot anchors, those of their windows only."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            g, d = map(np.concatenate, zip(*held))
-            order = np.lexsort((d, g))
-            g, d = g[order], d[order]
-            at = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (d[1:] != d[:-1])]))
-            many = np.diff(np.append(at, len(g))) > 1
-            g, d = g[at], d[at]
-            edges = np.searchsorted(part(g, ranges), np.arange(ranges + 1))
-            return rows(HASHES, [(p, g[i:j].tobytes(), d[i:j].tobytes(), bits(many[i:j])) for p, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if i < j])
+            k, d = map(np.concatenate, zip(*held))
+            order = np.lexsort((d, k))
+            k, d = k[order], d[order]
+            new = np.concatenate([[True], k[1:] != k[:-1]])
+            at = np.flatnonzero(new)
+            contents = np.add.reduceat(np.concatenate([[True], (d[1:] != d[:-1])]) | new, at).astype(np.int32)
+            many = np.diff(np.append(at, len(k))) > 1
+            k = k[at]
+            edges = np.searchsorted(part(k, ranges), np.arange(ranges + 1))
+            return rows(COUNTS, [(p, k[i:j].tobytes(), contents[i:j].tobytes(), bits(many[i:j])) for p, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if i < j])
 
         for b in batches:
-            _, _, _, g, d = segments(*K.text_buffer(b.column("text")), length)
-            held.append((g, d))
-            size += len(g)
-            if size >= FLUSH_SEGMENTS * 4:
+            buf, offsets = K.text_buffer(b.column("text"))
+            _, _, c, k, d = segments(buf, offsets, length, hot)
+            if hot is not None:
+                _, _, c0, g, _ = segments(buf, offsets, length)
+                single = np.repeat(hot.marked(g), np.where(hot.marked(g), c0, 1))
+                k, d = k[single], d[single]
+            held.append((k, d))
+            size += len(k)
+            if size >= FLUSH_SEGMENTS * 2:
                 yield flush()
                 held, size = [], 0
         if size:
@@ -139,67 +198,38 @@ def anchor_blocks(length: int, ranges: int):
     return run
 
 
-def needed(t: pa.Table) -> pa.Table:
-    """The content hashes of segments whose anchor occurs twice or more."""
-    g, d = (np.frombuffer(b"".join(t.column(c).to_pylist()), U8) for c in ("gs", "ds"))
-    many = np.concatenate([unbits(m, len(x) // 8) for m, x in zip(t.column("many").to_pylist(), t.column("gs").to_pylist())])
-    order = np.argsort(g, kind="stable")
-    at = np.flatnonzero(np.concatenate([[True], g[order][1:] != g[order][:-1]]))
-    weight = np.add.reduceat(1 + many[order].astype(I8), at)
-    keep = order[np.repeat(weight > 1, np.diff(np.append(at, len(g))))]
-    return pa.table({"ds": pa.array([np.unique(d[keep]).tobytes()], pa.binary())})
-
-
-def place(d: np.ndarray) -> np.ndarray:
-    return (K.mix(d * K.KEYS[31]) >> U8(64 - MARK_BITS)).astype(I8)
-
-
-def bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size of all hashes; parts are joined in a tree."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(1 << MARK_BITS, bool)
-        for b in batches:
-            for x in b.column("ds").to_pylist():
-                found[place(np.frombuffer(x, U8))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([pa.compress(bits(found), "zstd", asbytes=True)], pa.binary())], ["m"])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(1 << (MARK_BITS - 3), np.uint8)
-        for b in batches:
-            for x in b.column("m").to_pylist():
-                found |= np.frombuffer(pa.decompress(x, len(found), "zstd", asbytes=True), np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([pa.compress(found.tobytes(), "zstd", asbytes=True)], pa.binary())], ["m"])
-
-    maps = map_batches(hashes, mark, "m binary")
-    while (n := maps.rdd.getNumPartitions()) > 16:
-        maps = cut(map_batches(maps.coalesce(-(-n // 16)), join, "m binary"))
-    found = np.zeros(1 << (MARK_BITS - 3), np.uint8)
-    for r in maps.collect():
-        found |= np.frombuffer(pa.decompress(bytes(r["m"]), len(found), "zstd", asbytes=True), np.uint8)
-    return found
+def repeats(hot_contents: int):
+    """The keys that occur twice or more, and those of more contents than hot_contents."""
 
+    def run(t: pa.Table) -> pa.Table:
+        k = np.frombuffer(b"".join(t.column("keys").to_pylist()), U8)
+        contents = np.frombuffer(b"".join(t.column("contents").to_pylist()), np.int32).astype(I8)
+        many = np.concatenate([unbits(m, len(x) // 8) for m, x in zip(t.column("many").to_pylist(), t.column("keys").to_pylist())])
+        order = np.argsort(k, kind="stable")
+        at = np.flatnonzero(np.concatenate([[True], k[order][1:] != k[order][:-1]]))
+        again = np.add.reduceat(1 + many[order].astype(I8), at) > 1
+        hot = np.add.reduceat(contents[order], at) > hot_contents
+        k = k[order][at]
+        return pa.table({"repeated": pa.array([k[again].tobytes()], pa.binary()), "hot": pa.array([k[hot].tobytes()], pa.binary())})
 
-def marked(found: np.ndarray, d: np.ndarray) -> np.ndarray:
-    at = place(d)
-    return (found[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return run
 
 
-def flush(ids, ths, doc, c, g, d, s, buf, length: int, ranges: int, groups: int) -> pa.RecordBatch:
+def flush(ids, ths, doc, c, k, d, s, buf, length: int, ranges: int, groups: int) -> pa.RecordBatch:
     """Blocks of a batch: its segments in document order, texts of the distinct ones."""
     n_docs = len(ids)
     with np.errstate(over="ignore"):
         f = (ids.view(U8) * K.KEYS[2] + ths.view(U8) * K.KEYS[3]).sum(dtype=U8).astype(U8).view(I8)
-    order = np.lexsort((d, g))
-    head = np.concatenate([[True], (g[order][1:] != g[order][:-1]) | (d[order][1:] != d[order][:-1])])
+    order = np.lexsort((d, k))
+    head = np.concatenate([[True], (k[order][1:] != k[order][:-1]) | (d[order][1:] != d[order][:-1])])
     at = np.flatnonzero(head)
     number = np.empty(len(d), I8)
     number[order] = np.cumsum(head) - 1
     times = np.diff(np.append(at, len(d)))
     settled = times[number] > 1
-    one = order[at]  # a segment of each distinct content, by anchor hash
+    one = order[at]  # a segment of each distinct content, by key
     out = []
-    dest, own = part(g, ranges), part(g[one], ranges)
+    dest, own = part(k, ranges), part(k[one], ranges)
     edges = np.searchsorted(own, np.arange(ranges + 1))
     sent = np.flatnonzero(~settled)
     sent = sent[np.argsort(dest[sent], kind="stable")]
@@ -208,36 +238,35 @@ def flush(ids, ths, doc, c, g, d, s, buf, length: int, ranges: int, groups: int)
         u = one[edges[p] : edges[p + 1]]
         x = sent[cuts[p] : cuts[p + 1]]
         per = np.bincount(doc[x], weights=c[x], minlength=n_docs).astype(I8)
-        segs = np.bincount(doc[x], minlength=n_docs)
-        k = np.flatnonzero(segs)
+        has = np.flatnonzero(per)
         sizes = c[u] + length - 1
         text = buf[spans(s[u], sizes)].tobytes()
-        out.append((p, ids[k].tobytes(), ths[k].tobytes(), np.full(len(k), f).tobytes(), per[k].astype(np.int32).tobytes(), d[x].tobytes(), d[u].tobytes(), g[u].tobytes(), sizes.astype(np.int32).tobytes(), bits(times[edges[p] : edges[p + 1]] > 1), pa.compress(text, "zstd", asbytes=True), segs[k].astype(np.int32).tobytes()))
+        out.append((p, ids[has].tobytes(), ths[has].tobytes(), np.full(len(has), f).tobytes(), per[has].astype(np.int32).tobytes(), (number[x] - edges[p]).astype(np.int32).tobytes(), k[u].tobytes(), d[u].tobytes(), sizes.astype(np.int32).tobytes(), bits(times[edges[p] : edges[p + 1]] > 1), pa.compress(text, "zstd", asbytes=True), b""))
     total = np.bincount(doc, weights=c, minlength=n_docs).astype(I8)
     have = np.flatnonzero(np.bincount(doc[settled], minlength=n_docs))
     q = group_of(ids[have], ths[have], groups)
     late = np.repeat(settled, c)
     first = np.cumsum(total) - total
     for w in np.unique(q).tolist():
-        k = have[q == w]
-        out.append((ranges + w, ids[k].tobytes(), ths[k].tobytes(), np.full(len(k), f).tobytes(), total[k].astype(np.int32).tobytes(), b"", b"", b"", b"", b"", b"", bits(late[spans(first[k], total[k])])))
+        has = have[q == w]
+        out.append((ranges + w, ids[has].tobytes(), ths[has].tobytes(), np.full(len(has), f).tobytes(), total[has].astype(np.int32).tobytes(), b"", b"", b"", b"", b"", b"", bits(late[spans(first[has], total[has])])))
     return rows(BLOCK, out)
 
 
-def segment_blocks(length: int, ranges: int, groups: int, found: np.ndarray):
+def segment_blocks(length: int, ranges: int, groups: int, found: Bitmap, hot: Bitmap | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         docs = size = text = 0
 
         def join() -> pa.RecordBatch:
-            ids, ths, doc, c, g, d, s, data = map(np.concatenate, zip(*held))
-            return flush(ids, ths, doc, c, g, d, s, data, length, ranges, groups)
+            ids, ths, doc, c, k, d, s, data = map(np.concatenate, zip(*held))
+            return flush(ids, ths, doc, c, k, d, s, data, length, ranges, groups)
 
         for b in batches:
             buf, offsets = K.text_buffer(b.column("text"))
-            doc, s, c, g, d = segments(buf, offsets, length)
-            keep = marked(found, d)
-            doc, s, c, g, d = (x[keep] for x in (doc, s, c, g, d))
+            doc, s, c, k, d = segments(buf, offsets, length, hot)
+            keep = found.marked(k)
+            doc, s, c, k, d = (x[keep] for x in (doc, s, c, k, d))
             if not len(d):
                 continue
             some = np.unique(doc)
@@ -245,7 +274,7 @@ def segment_blocks(length: int, ranges: int, groups: int, found: np.ndarray):
             base = np.cumsum(np.diff(offsets)[some]) - np.diff(offsets)[some]
             at = np.searchsorted(some, doc)
             ids, ths = (np.asarray(b.column(x), I8)[some] for x in ("id", "th"))
-            held.append((ids, ths, at + docs, c, g, d, s - offsets[doc] + base[at] + text, buf[part_of]))
+            held.append((ids, ths, at + docs, c, k, d, s - offsets[doc] + base[at] + text, buf[part_of]))
             docs, size, text = docs + len(some), size + len(d), text + len(part_of)
             if size >= FLUSH_SEGMENTS or text >= FLUSH_TEXT:
                 yield join()
@@ -256,72 +285,109 @@ def segment_blocks(length: int, ranges: int, groups: int, found: np.ndarray):
     return run
 
 
-def sort_shard(length: int, ranges: int, groups: int):
-    def run(t: pa.Table) -> pa.Table:
-        dest = t.column("dest")[0].as_py()
-        blocks = [dict(zip(t.column_names, v)) for v in zip(*(c.to_pylist() for c in t.columns))]
-        del t
-        if dest >= ranges:
-            return pa.Table.from_batches([rows(REPLY, [(dest - ranges, -1, b["ids"], b["ths"], b["fs"], b["counts"], b["bits"], b["bits"]) for b in blocks])])
-        texts: dict[int, bytes] = {}
-        weight: dict[int, int] = {}
-        anchors: dict[int, int] = {}
-        load: dict[int, int] = {}
-        for b in blocks:
-            ds, gs, sizes = np.frombuffer(b["ds"], I8), np.frombuffer(b["gs"], I8), np.frombuffer(b["sizes"], np.int32).astype(I8)
-            twice = unbits(b["twice"], len(ds))
-            data, at = pa.decompress(b.pop("texts"), int(sizes.sum()), "zstd", asbytes=True), 0
-            for x, g, n, two in zip(ds.tolist(), gs.tolist(), sizes.tolist(), twice.tolist()):
-                if x not in texts:
-                    texts[x], anchors[x] = data[at : at + n], g
-                at += n
-                weight[x] = weight.get(x, 0) + 1 + two
-                load[g] = load.get(g, 0) + 1 + two
-        chosen = [x for x in texts if load[anchors[x]] > 1]
-        hits = repeated([texts[x] for x in chosen], np.array([weight[x] for x in chosen], I8), length)
-        none = {x: np.zeros(len(v) - length + 1, bool) for x, v in texts.items() if load[anchors[x]] < 2}
-        hit = dict(zip(chosen, hits)) | none
-        del texts
-        ids, ths, fs = (np.concatenate([np.frombuffer(b[c], I8) for b in blocks]) for c in ("ids", "ths", "fs"))
-        counts = np.concatenate([np.frombuffer(b["counts"], np.int32) for b in blocks]).astype(I8)
-        segs = [x for b in blocks for x in np.frombuffer(b["segs"], I8).tolist()]
-        if not segs:
-            return pa.Table.from_batches([rows(REPLY, [])])
-        rep = np.concatenate([hit[x] for x in segs])
-        first = np.cumsum(counts) - counts
-        some = np.flatnonzero(np.add.reduceat(rep, first) > 0)
-        q = group_of(ids[some], ths[some], groups)
-        out = []
-        for w in np.unique(q).tolist():
-            k = some[q == w]
-            got = bits(rep[spans(first[k], counts[k])])
-            out.append((w, dest, ids[k].tobytes(), ths[k].tobytes(), fs[k].tobytes(), counts[k].astype(np.int32).tobytes(), got, got))
-        return pa.Table.from_batches([rows(REPLY, out)])
+def sort_shard(length: int, ranges: int, groups: int, limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spool, blocks, dest = tempfile.TemporaryFile(), [], 0
+        for b in batches:
+            dest = b.column("dest")[0].as_py()
+            for i in range(b.num_rows):
+                r = {n: b.column(n)[i].as_py() for n in b.schema.names}
+                if dest >= ranges:
+                    yield rows(REPLY, [(dest - ranges, -1, r["ids"], r["ths"], r["fs"], r["counts"], r["bits"], r["bits"])])
+                    continue
+                sizes = np.frombuffer(r["sizes"], np.int32).astype(I8)
+                spool.write(pa.decompress(r.pop("texts"), int(sizes.sum()), "zstd", asbytes=True))
+                blocks.append((r, np.frombuffer(r["keys"], U8), np.frombuffer(r["ds"], U8), sizes, unbits(r["twice"], len(sizes))))
+        if not blocks:
+            return
+        spool.flush()
+        _, k, d, sizes, twice = (x if i == 0 else np.concatenate(x) for i, x in enumerate(zip(*blocks)))
+        order = np.lexsort((d, k))
+        new_k = np.concatenate([[True], k[order][1:] != k[order][:-1]])
+        new = new_k | np.concatenate([[True], d[order][1:] != d[order][:-1]])
+        content = np.empty(len(k), I8)  # the distinct content of each entry
+        content[order] = np.cumsum(new) - 1
+        at = np.flatnonzero(new)
+        one, weight = order[at], np.add.reduceat((1 + twice[order].astype(I8)), at)
+        key_at = np.flatnonzero(new_k[at])
+        load = np.repeat(np.add.reduceat(weight, key_at), np.diff(np.append(key_at, len(at))))
+        chosen = np.flatnonzero(load > 1)
+        chosen = chosen[np.argsort(one[chosen])]  # in the order of the file
+        scratch = Scratch(limit, 1 << 16)
+        sizes_of = sizes[one[chosen]]
+        data = scratch.empty(int(sizes_of.sum()), np.uint8)
+        from_, to = (np.cumsum(sizes) - sizes)[one[chosen]], np.cumsum(sizes_of) - sizes_of
+        raw = np.memmap(spool, np.uint8, "r") if len(chosen) else data
+        for a, b_ in scratch.chunks(len(chosen)):
+            data[to[a] : to[b_ - 1] + sizes_of[b_ - 1]] = raw[spans(from_[a:b_], sizes_of[a:b_])]
+        hit = repeated(data, sizes_of, weight[chosen], length, limit)
+        start = np.full(len(at), -1, I8)
+        start[chosen] = to + np.arange(len(chosen))  # a separator follows each string
+        base, held, windows = 0, [], 0
+
+        def replies() -> pa.RecordBatch:
+            ids, ths, fs, counts, rep = map(np.concatenate, zip(*held))
+            first = np.cumsum(counts) - counts
+            some = np.flatnonzero(np.add.reduceat(rep, first) > 0)
+            q = group_of(ids[some], ths[some], groups)
+            out = []
+            for w in np.unique(q).tolist():
+                x = some[q == w]
+                got = bits(rep[spans(first[x], counts[x])])
+                out.append((w, dest, ids[x].tobytes(), ths[x].tobytes(), fs[x].tobytes(), counts[x].astype(np.int32).tobytes(), got, got))
+            return rows(REPLY, out)
+
+        for r, keys, *_ in blocks:
+            entry = content[base + np.frombuffer(r["segs"], np.int32)]
+            n = sizes[one[entry]] - length + 1
+            known = np.repeat(start[entry] >= 0, n)
+            rep = np.zeros(len(known), bool)
+            rep[known] = hit[spans(start[entry], n)[known]] if len(known) else False
+            base += len(keys)
+            if len(rep):
+                held.append((*(np.frombuffer(r[c], I8) for c in ("ids", "ths", "fs")), np.frombuffer(r["counts"], np.int32).astype(I8), rep))
+                windows += len(rep)
+            if windows >= FLUSH_WINDOWS:
+                yield replies()
+                held, windows = [], 0
+        if held:
+            yield replies()
 
     return run
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, keep_text: bool = True, carry: list[str] | None = None) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, keep_text: bool = True, carry: list[str] | None = None, limit: int = LIMIT, hot_contents: int = HOT) -> DataFrame:
     """One row a document: row (struct of `carry`, all columns unless given), n_bytes,
     n_removed, n_spans (maximal removed runs) and kept (the text left, or the sha256 of its
-    bytes unless keep_text). length: at least GRAM, at most 254."""
+    bytes unless keep_text). length: 16 to 254. limit: bytes that a shard's arrays may take
+    in memory. hot_contents: contents of an anchor from which its windows are dealt one by one."""
+    if not 16 <= length <= 254:
+        raise ValueError(f"length must be 16 to 254, not {length}")
     spark = docs.sparkSession
     size = text_bytes(docs, text_col)
-    ranges, groups = max(16, -(-size // RANGE_BYTES)), max(64, -(-size // GROUP_BYTES))
-    base = keyed(docs, id_col, text_col)
-    wanted = map_batches(base.select("text"), anchor_blocks(length, ranges), HASHES).groupBy("dest").applyInArrow(needed, "ds binary")
-    found = bitmap(cut(wanted))
+    ranges, groups, n_bits = max(16, -(-size // RANGE_BYTES)), max(64, -(-size // GROUP_BYTES)), bit_count(size // 64)
+    t = column(text_col).cast("string")
+    # rows that agree in the hashes of id and text have equal results
+    key = docs.select(F.xxhash64(column(id_col).cast("string")).alias("id"), F.xxhash64(t).alias("th"), t.alias("text"), carried(docs, carry))
+    base = key.select("id", "th", "text")
+
+    def counted(hot: Bitmap | None) -> DataFrame:
+        blocks = map_batches(base.select("text"), key_counts(length, ranges, hot), COUNTS)
+        return cut(blocks.repartition(ranges, "dest").groupBy("dest").applyInArrow(repeats(hot_contents), FOUND))
+
+    keys = counted(None)
+    found = bitmap(keys.select("repeated"), lambda b: longs(b, "repeated").view(U8), n_bits)
+    hot = bitmap(keys.select("hot"), lambda b: longs(b, "hot").view(U8), n_bits) if keys.where("octet_length(hot) > 0").take(1) else None
+    if hot is not None:
+        found = found | bitmap(counted(hot).select("repeated"), lambda b: longs(b, "repeated").view(U8), n_bits)
     release(spark)
-    replies = cut(map_batches(base, segment_blocks(length, ranges, groups, found), BLOCK).groupBy("dest").applyInArrow(sort_shard(length, ranges, groups), REPLY))
+    blocks = map_batches(base, segment_blocks(length, ranges, groups, found, hot), BLOCK)
+    replies = cut(blocks.repartition(ranges + groups, "dest").groupBy("dest").applyInArrow(sort_shard(length, ranges, groups, limit), REPLY))
     release(spark)
-    answered = marks(replies.select("ids", "ths"), [("ids", "ths")], packed=True)
-    t = F.col(text_col).cast("string")
-    key = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(t).alias("th"), t.alias("text"), F.struct(*[F.col(c) for c in (carry or docs.columns)]).alias("row"))
+    answered = bitmap(replies.select("ids", "ths"), lambda b: key_hash(longs(b, "ids"), longs(b, "ths")), n_bits)
     left = map_batches(key, packed_by_group(groups, answered), "q int, pack binary")
-    schema = f"row {key.schema['row'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept string"
-    empty = to_arrow_schema(key.select("row").schema)
-    for name, kind in (("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string())):
-        empty = empty.append(pa.field(name, kind))
+    schema = fields(key, ["row"], "n_bytes bigint, n_removed bigint, n_spans bigint, kept string")
+    empty = to_arrow_schema(schema)
 
     def ended(x: bytes) -> str:
         return x.decode("utf-8", "replace") if keep_text else hashlib.sha256(x).hexdigest()
@@ -337,11 +403,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         key_of = np.empty(len(ids), I8)
         key_of[order] = np.cumsum(new) - 1
         buf, offsets = K.text_buffer(docs_t.column("text").take(pa.array(one)))
-        doc, s, c, g, d = segments(buf, offsets, length)
-        keep = marked(found, d)
-        doc, s, c, g = (x[keep] for x in (doc, s, c, g))
+        doc, s, c, k, d = segments(buf, offsets, length, hot)
+        keep = found.marked(k)
+        doc, s, c, k = (x[keep] for x in (doc, s, c, k))
         total = np.bincount(doc, weights=c, minlength=len(one)).astype(I8)
-        rep, _ = decide(ids[one], ths[one], total, np.repeat(g, c), replies_t, ranges)
+        rep, _ = decide(ids[one], ths[one], total, np.repeat(k, c), replies_t, ranges)
         gone = K.covered(spans(s, c)[rep], length, len(buf)) if rep.any() else np.zeros(len(buf), bool)
         made = []
         for i in range(len(one)):
@@ -352,12 +418,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            b = b.filter(pa.array(~answered[cells(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))]))
+            b = b.filter(pa.array(~answered.marked(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))))
             texts = [(x or "").encode() for x in b.column("text").to_pylist()]
             n = b.num_rows
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([len(x) for x in texts], pa.int64()), *(pa.array(np.zeros(n, I8)) for _ in range(2)), pa.array([ended(x) for x in texts], pa.string())], empty.names)
 
-    touched = left.groupBy("q").cogroup(replies.groupBy("q")).applyInArrow(settle, schema)
+    touched = left.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, schema)
     return touched.unionAll(map_batches(key, untouched, schema))
 
 

@@ -121,8 +121,11 @@ def test_induced_sorting():
         for s, w in zip(strings, weights.tolist()):
             for i in range(len(s) - length + 1):
                 seen[s[i : i + length]] += w
-        got = induced.repeated(strings, weights, length, limit=rng.choice([64, 1 << 20]))  # 64: all goes to disk
-        assert [g.tolist() for g in got] == [[seen[s[i : i + length]] > 1 for i in range(len(s) - length + 1)] for s in strings]
+        sizes = np.array([len(x) for x in strings])
+        # a limit of 0: all arrays are files; small steps: waves and buckets of many chunks
+        hit = induced.repeated(np.frombuffer(b"".join(strings), np.uint8), sizes, weights, length, limit=rng.choice([0, 500, 1 << 20]), step=rng.choice([3, 16, 1 << 10]))
+        ends = np.cumsum(sizes + 1) - 1
+        assert [hit[a : max(a, b - length + 1)].tolist() for a, b in zip(ends - sizes, ends)] == [[seen[s[i : i + length]] > 1 for i in range(len(s) - length + 1)] for s in strings]
 
 
 def clusters(rows):
