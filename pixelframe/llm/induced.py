@@ -276,6 +276,29 @@ def induce(v: Level, seeds: np.ndarray, seed_lcp: np.ndarray | None) -> tuple[np
     def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return v.shared(a.astype(I8), b.astype(I8))[0]
 
+    def with_runs(pos: np.ndarray, values: np.ndarray | None, symbol: np.ndarray, down: bool) -> tuple:
+        """The entries of some buckets with those that they push into their own bucket: runs of
+        one symbol. Prefixes across the ends of runs are lower bounds."""
+        turns = [(pos, values, symbol)]
+        while len(pos):
+            src = np.flatnonzero(pos > 0)
+            src = src[v.t[pos[src] - 1] == symbol[src]]
+            if not len(src):
+                break
+            pos, symbol = pos[src] - 1, symbol[src]
+            if keep:
+                again = np.flatnonzero(symbol[1:] == symbol[:-1]) + 1
+                least = np.zeros(len(src), np.int16)
+                least[again] = least_between(values, src[again - 1] + 1, src[again])
+                values = np.minimum(least + v.weight[symbol], v.cap).astype(np.uint8)
+            turns.append((pos, values, symbol))
+        if len(turns) == 1:
+            return turns[0]
+        turn = np.repeat(np.arange(len(turns)), [len(x[0]) for x in turns])
+        pos, symbol = (np.concatenate([x[i] for x in turns]) for i in (0, 2))
+        order_ = np.lexsort((turn, -symbol if down else symbol))
+        return pos[order_], np.concatenate([x[1] for x in turns])[order_] if keep else None, symbol[order_]
+
     # L suffixes, ascending
     scan = Scan(v, order, lcp, False)
     for a in range(0, v.uniq, own.step):
@@ -284,33 +307,44 @@ def induce(v: Level, seeds: np.ndarray, seed_lcp: np.ndarray | None) -> tuple[np
     c, last, target = v.uniq, -1, 1024
     while c < v.size:
         hi = max(c + 1, int(np.searchsorted(starts, starts[c] + target, "right")) - 1)
-        if hi > c + 1:
+        if hi > c + 1 or (v.edge is not None and starts[hi] - starts[c] <= own.step):
             n_l, n_s = scan.next[c:hi] - starts[c:hi], np.diff(first[c : hi + 1])
+            from_l = spans(starts[c:hi], n_l)
+            large_, values_ = order[from_l].astype(I8), lcp[from_l] if keep else None
+            if v.edge is not None:
+                large_, values_, symbol = with_runs(large_, values_, np.repeat(np.arange(c, hi), n_l), False)
+                n_l = np.bincount(symbol - c, minlength=hi - c)
             total = n_l + n_s
             o = np.cumsum(total) - total
             pos = np.empty(int(total.sum()), I8)
-            to_l, from_l, to_s = spans(o, n_l), spans(starts[c:hi], n_l), spans(o + n_l, n_s)
-            pos[to_l], pos[to_s] = order[from_l], seeds[first[c] : first[hi]]
+            to_l, to_s = spans(o, n_l), spans(o + n_l, n_s)
+            pos[to_l], pos[to_s] = large_, seeds[first[c] : first[hi]]
             pushed = scan.predecessors(pos)
+            if v.edge is not None:  # runs are there already
+                other = pushed[2] != np.repeat(np.arange(c, hi), total)[pushed[0]]
+                pushed = tuple(x[other] for x in pushed)
             least = int(pushed[2].min()) if len(pushed[0]) else hi
-            if least == c:
-                hi = c + 1
-                target = 256
-            else:
+            if least > c:
                 if least < hi:
                     n = int(o[least - c])
                     keep_src = int(np.searchsorted(pushed[0], n))
                     pushed = tuple(x[:keep_src] for x in pushed)
                     hi, pos, n_l, n_s, total, o = least, pos[:n], *(x[: least - c] for x in (n_l, n_s, total, o))
-                    to_l, from_l, to_s = spans(o, n_l), spans(starts[c:hi], n_l), spans(o + n_l, n_s)
+                    to_l, to_s = spans(o, n_l), spans(o + n_l, n_s)
                     target = max(256, 2 * n)
                 else:
                     target = min(2 * target, own.step)
+                if v.edge is not None:
+                    from_l = spans(starts[c:hi], n_l)
+                    order[from_l] = large_[: len(from_l)]
+                    scan.next[c:hi] = starts[c:hi] + n_l
+                    if keep:
+                        lcp[from_l] = values_[: len(from_l)]
                 values = None
                 some = np.flatnonzero(total)
                 if keep:
                     values = np.empty(len(pos), np.uint8)
-                    values[to_l], values[to_s] = lcp[from_l], seed_lcp[first[c] : first[hi]]
+                    values[to_l], values[to_s] = values_[: len(to_l)], seed_lcp[first[c] : first[hi]]
                     meet = np.flatnonzero((n_l > 0) & (n_s > 0))
                     edge = o[meet] + n_l[meet]
                     values[edge] = both(pos[edge - 1], pos[edge])
@@ -319,6 +353,7 @@ def induce(v: Level, seeds: np.ndarray, seed_lcp: np.ndarray | None) -> tuple[np
                 last = int(some[-1]) + c if len(some) else last
                 c = hi
                 continue
+            hi, target = c + 1, 256
         done, at, any_l = int(starts[c]), int(starts[c]), False
         while done < scan.next[c]:
             end = min(int(scan.next[c]), done + own.step)
@@ -345,39 +380,52 @@ def induce(v: Level, seeds: np.ndarray, seed_lcp: np.ndarray | None) -> tuple[np
     hi, last, target = v.size, -1, 1024
     while hi > v.uniq:
         lo = min(hi - 1, max(v.uniq, int(np.searchsorted(starts, starts[hi] - target, "left"))))
-        if lo < hi - 1:
+        if lo < hi - 1 or (v.edge is not None and starts[hi] - starts[lo] <= own.step):
             sym = np.arange(hi - 1, lo - 1, -1)
-            ends, tails, mids, begins = starts[sym + 1], scan.next[sym], starts[sym] + large[sym], starts[sym]
-            n_s, n_l = ends - tails, mids - begins
+            ends, mids, begins = starts[sym + 1], starts[sym] + large[sym], starts[sym]
+            n_s, n_l = ends - scan.next[sym], mids - begins
+            so = np.cumsum(n_s) - n_s
+            from_s = np.repeat(ends - 1 + so, n_s) - np.arange(int(n_s.sum()))
+            small, values_ = order[from_s].astype(I8), lcp[from_s] if keep else None
+            if v.edge is not None:
+                small, values_, symbol = with_runs(small, values_, np.repeat(sym, n_s), True)
+                n_s = np.bincount(hi - 1 - symbol, minlength=len(sym))
             total = n_s + n_l
             o = np.cumsum(total) - total
             at = np.empty(int(total.sum()), I8)  # places in the order, descending in each symbol
             to_s, to_l = spans(o, n_s), spans(o + n_s, n_l)
             at[to_s] = np.repeat(ends - 1 + o, n_s) - to_s
             at[to_l] = np.repeat(mids - 1 + o + n_s, n_l) - to_l
-            pos = order[at].astype(I8)
+            pos = np.empty(len(at), I8)
+            pos[to_s], pos[to_l] = small, order[at[to_l]]
             pushed = scan.predecessors(pos)
+            if v.edge is not None:
+                other = pushed[2] != np.repeat(sym, total)[pushed[0]]
+                pushed = tuple(x[other] for x in pushed)
             most = int(pushed[2].max()) if len(pushed[0]) else lo - 1
-            if most == hi - 1:
-                lo = hi - 1
-                target = 256
-            else:
+            if most < hi - 1:
                 if most >= lo:  # only the symbols above it are complete
                     m = hi - 1 - most
                     n = int(o[m])
                     keep_src = int(np.searchsorted(pushed[0], n))
                     pushed = tuple(x[:keep_src] for x in pushed)
                     lo, at, pos = most + 1, at[:n], pos[:n]
-                    sym, ends, tails, mids, begins, n_s, n_l, total, o = (x[:m] for x in (sym, ends, tails, mids, begins, n_s, n_l, total, o))
+                    sym, ends, mids, begins, n_s, n_l, total, o = (x[:m] for x in (sym, ends, mids, begins, n_s, n_l, total, o))
+                    to_s, to_l = spans(o, n_s), spans(o + n_s, n_l)
                     target = max(256, 2 * n)
                 else:
                     target = min(2 * target, own.step)
+                tails = ends - n_s
+                if v.edge is not None:
+                    order[at[to_s]] = pos[to_s]
+                    scan.next[sym] = tails
+                    if keep:
+                        lcp[at[to_s]] = values_[: len(to_s)]
                 values = None
                 some = np.flatnonzero(total)
                 if keep:
-                    to_s, to_l = spans(o, n_s), spans(o + n_s, n_l)
                     values = np.empty(len(pos), np.uint8)
-                    values[to_s] = lcp[at[to_s]]
+                    values[to_s] = values_[: len(to_s)]
                     values[to_l] = lcp[np.minimum(at[to_l] + 1, v.n - 1)]
                     meet = np.flatnonzero((n_s > 0) & (n_l > 0))
                     edge = o[meet] + n_s[meet]
@@ -394,6 +442,7 @@ def induce(v: Level, seeds: np.ndarray, seed_lcp: np.ndarray | None) -> tuple[np
                 last = int(sym[some[-1]]) if len(some) else last
                 hi = lo
                 continue
+            lo, target = hi - 1, 256
         c = hi - 1
         begin, mid, end = int(starts[c]), int(starts[c] + large[c]), int(starts[c + 1])
         done = end

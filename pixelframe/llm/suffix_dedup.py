@@ -14,7 +14,8 @@ are cut into single windows that are dealt by their own hash, after a second cou
 which of those repeat, so a passage that very many documents hold in different contexts is
 spread over all shards. Then the texts of what repeats follow, each distinct one once a
 batch. A shard writes them to a file and sorts all their suffixes by external induced sorting
-(induced.py), whose common-prefix values tell which windows occur elsewhere; of what grows
+(induced.py), whose common-prefix values tell which windows occur elsewhere (a segment whose anchor has
+no other content is sorted with nothing: it is repeated if it came twice); of what grows
 with the shard's bytes only `limit` bytes are in memory, the rest in mapped files. Answers
 travel back as bits by document group, as in substring_dedup.
 
@@ -53,7 +54,7 @@ HOT = 4096
 FLUSH_SEGMENTS = 300_000
 FLUSH_TEXT = 8 << 20
 FLUSH_WINDOWS = 4_000_000
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 20 << 20
 GROUP_BYTES = 2 << 20
 I8, U8 = np.int64, np.uint64
 COUNTS = "dest int, keys binary, contents binary, many binary"
@@ -81,7 +82,7 @@ def stretches(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.n
 
 
 def gram_of(length: int) -> int:
-    return min(64, length // 2)
+    return length // 2
 
 
 def candidates(x: np.ndarray, first: np.ndarray, down: np.ndarray, gram: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -309,9 +310,10 @@ def sort_shard(length: int, ranges: int, groups: int, limit: int):
         content[order] = np.cumsum(new) - 1
         at = np.flatnonzero(new)
         one, weight = order[at], np.add.reduceat((1 + twice[order].astype(I8)), at)
+        # an anchor of one content: its windows are repeated if it is; the others are sorted
         key_at = np.flatnonzero(new_k[at])
-        load = np.repeat(np.add.reduceat(weight, key_at), np.diff(np.append(key_at, len(at))))
-        chosen = np.flatnonzero(load > 1)
+        contents = np.repeat(np.diff(np.append(key_at, len(at))), np.diff(np.append(key_at, len(at))))
+        chosen = np.flatnonzero(contents > 1)
         chosen = chosen[np.argsort(one[chosen])]  # in the order of the file
         scratch = Scratch(limit, 1 << 16)
         sizes_of = sizes[one[chosen]]
@@ -321,7 +323,7 @@ def sort_shard(length: int, ranges: int, groups: int, limit: int):
         for a, b_ in scratch.chunks(len(chosen)):
             data[to[a] : to[b_ - 1] + sizes_of[b_ - 1]] = raw[spans(from_[a:b_], sizes_of[a:b_])]
         hit = repeated(data, sizes_of, weight[chosen], length, limit)
-        start = np.full(len(at), -1, I8)
+        start = np.where(weight > 1, -2, -1)  # not sorted: -2 if repeated as a whole
         start[chosen] = to + np.arange(len(chosen))  # a separator follows each string
         base, held, windows = 0, [], 0
 
@@ -340,9 +342,9 @@ def sort_shard(length: int, ranges: int, groups: int, limit: int):
         for r, keys, *_ in blocks:
             entry = content[base + np.frombuffer(r["segs"], np.int32)]
             n = sizes[one[entry]] - length + 1
-            known = np.repeat(start[entry] >= 0, n)
-            rep = np.zeros(len(known), bool)
-            rep[known] = hit[spans(start[entry], n)[known]] if len(known) else False
+            rep = np.repeat(start[entry] == -2, n)
+            of = np.flatnonzero(start[entry] >= 0)
+            rep[np.repeat(start[entry] >= 0, n)] = hit[spans(start[entry[of]], n[of])]
             base += len(keys)
             if len(rep):
                 held.append((*(np.frombuffer(r[c], I8) for c in ("ids", "ths", "fs")), np.frombuffer(r["counts"], np.int32).astype(I8), rep))
