@@ -115,6 +115,7 @@ class Level:
         self.cap, self.scratch, self.n = cap, scratch, len(t)
         self.place = np.int32 if self.n < 2**31 else I8
         self.ranges = Minima(edge) if edge is not None and len(edge) * 20 <= max(scratch.left, 1 << 20) else None
+        self.run = self.runs() if edge is not None else None
         self.is_s = self.types()
         self.counts()
 
@@ -131,6 +132,20 @@ class Level:
             out[a:b] = np.append(x[:-1] < x[1:], out[b])[place]
         return out
 
+    def runs(self) -> np.ndarray:
+        """How many symbols like its own directly precede each symbol."""
+        out, before = self.scratch.empty(self.n, self.place), 0
+        for a, b in self.scratch.chunks(self.n):
+            at = np.arange(a, b)
+            new = np.ones(b - a, bool)
+            new[1:] = self.t[a + 1 : b] != self.t[a : b - 1]
+            if a:
+                new[0] = self.t[a] != self.t[a - 1]
+            start = np.maximum.accumulate(np.where(new, at, before))
+            out[a:b] = at - start
+            before = int(start[-1])
+        return out
+
     def counts(self) -> None:
         """Where the bucket of each symbol starts, and how many L suffixes it has."""
         self.large, total = (self.scratch.full(self.size, 0, I8) for _ in range(2))
@@ -279,25 +294,18 @@ def induce(v: Level, seeds: np.ndarray, seed_lcp: np.ndarray | None) -> tuple[np
     def with_runs(pos: np.ndarray, values: np.ndarray | None, symbol: np.ndarray, down: bool) -> tuple:
         """The entries of some buckets with those that they push into their own bucket: runs of
         one symbol. Prefixes across the ends of runs are lower bounds."""
-        turns = [(pos, values, symbol)]
-        while len(pos):
-            src = np.flatnonzero(pos > 0)
-            src = src[v.t[pos[src] - 1] == symbol[src]]
-            if not len(src):
-                break
-            pos, symbol = pos[src] - 1, symbol[src]
-            if keep:
-                again = np.flatnonzero(symbol[1:] == symbol[:-1]) + 1
-                least = np.zeros(len(src), np.int16)
-                least[again] = least_between(values, src[again - 1] + 1, src[again])
-                values = np.minimum(least + v.weight[symbol], v.cap).astype(np.uint8)
-            turns.append((pos, values, symbol))
-        if len(turns) == 1:
-            return turns[0]
-        turn = np.repeat(np.arange(len(turns)), [len(x[0]) for x in turns])
-        pos, symbol = (np.concatenate([x[i] for x in turns]) for i in (0, 2))
+        many = v.run[pos] + 1
+        if len(pos) == 0 or many.max() == 1:
+            return pos, values, symbol
+        src = np.repeat(np.arange(len(pos)), many)
+        turn = np.arange(len(src)) - np.repeat(np.cumsum(many) - many, many)
+        symbol = symbol[src]
         order_ = np.lexsort((turn, -symbol if down else symbol))
-        return pos[order_], np.concatenate([x[1] for x in turns])[order_] if keep else None, symbol[order_]
+        src, turn, symbol = src[order_], turn[order_], symbol[order_]
+        if keep:  # a neighbour in the run's turn shares one symbol more than turns, the last one of the turn before as many
+            first = np.concatenate([[True], (turn[1:] != turn[:-1]) | (symbol[1:] != symbol[:-1])])
+            values = np.where(turn == 0, values[src], np.minimum((turn + 1 - first) * v.weight[symbol].astype(I8), v.cap)).astype(np.uint8)
+        return pos[src] - turn, values, symbol
 
     # L suffixes, ascending
     scan = Scan(v, order, lcp, False)
@@ -508,6 +516,8 @@ def sorted_suffixes(v: Level) -> tuple[np.ndarray, np.ndarray]:
             seed_lcp[a + 1 : b + 1] = v.shared(seeds[a:b], seeds[a + 1 : b + 1], start=seed_lcp[a + 1 : b + 1])[0]
     out = induce(v, seeds, seed_lcp)
     own.drop(seeds, seed_lcp, v.is_s, v.large, v.starts)
+    if v.run is not None:
+        own.drop(v.run)
     return out
 
 

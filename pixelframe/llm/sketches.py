@@ -71,8 +71,10 @@ class Bitmap:
         return Bitmap(self.data | other.data)
 
     def add(self, h: np.ndarray) -> None:
-        at = np.unique(self.places(h))
-        byte, first = np.unique(at >> 3, return_index=True)
+        at = np.sort(self.places(h))
+        byte = at >> 3
+        first = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]])) if len(at) else at
+        byte = byte[first]
         if len(at):
             self.data[byte] |= np.bitwise_or.reduceat((128 >> (at & 7)).astype(np.uint8), first)
 

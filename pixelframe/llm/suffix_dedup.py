@@ -130,14 +130,19 @@ def segments(buf: np.ndarray, offsets: np.ndarray, length: int, hot: Bitmap | No
         first[0] = 0
         np.cumsum(K.BYTE_VALUES[x] * up[:n], out=first[1:])
         pos, h, value = candidates(x, first, down, gram, reach)
-        cuts = np.unique(np.concatenate([bounds[:-1], bounds[1:] - length + 1, pos, pos - reach]))
-        cuts = cuts[(cuts >= 0) & (cuts <= n - length)]
+        edge = np.zeros(n + 1, bool)
+        for x_ in (bounds[:-1], bounds[1:] - length + 1, pos, pos - reach):
+            edge[x_[x_ >= 0]] = True
+        cuts = np.flatnonzero(edge[: n - length + 1])
+        upto = np.zeros(n + 1, np.int32)
+        upto[pos] = 1
+        np.cumsum(upto, out=upto)  # candidates at or before each place
         text = np.searchsorted(bounds, cuts, "right") - 1
-        cuts = cuts[cuts + length <= bounds[text + 1]]
+        fits = cuts + length <= bounds[text + 1]
+        cuts, text = cuts[fits], text[fits]
         # every window that fits into its text has a candidate; runs of windows between two
         # cuts have the same ones
-        a = (least_of(value, np.searchsorted(pos, cuts, "right"), np.searchsorted(pos, cuts + reach, "right")) & PLACE).astype(I8)
-        text = np.searchsorted(bounds, cuts, "right") - 1
+        a = (least_of(value, upto[cuts], upto[cuts + reach]) & PLACE).astype(I8)
         end = np.minimum(np.append(cuts[1:], n), bounds[text + 1] - length + 1)
         at = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, I8)
         if not len(at):
