@@ -113,9 +113,10 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """64-bit hash of every word's bytes, A-Z folded first if asked."""
-    values = BYTE_VALUES[lower_table()] if lower else BYTE_VALUES
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool, other: bool = False) -> np.ndarray:
+    """64-bit hash of every word's bytes, A-Z folded first if asked; other: a second, independent one."""
+    values = mix(BYTE_VALUES * KEYS[41]) if other else BYTE_VALUES
+    values = values[lower_table()] if lower else values
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):

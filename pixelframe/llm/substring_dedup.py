@@ -1,24 +1,28 @@
 """Substring dedup by level-wise doubling of repeated word windows.
 
-Level 1 hashes every window of `window` words. Windows whose hash another document has
-too are repeated; at each later level two adjacent repeated windows are joined to one of
-twice the length, which again is compared over the whole corpus, until no candidate is
-left. A word is removed if a window of level 1 that covers it also starts in a document
-with a smaller id.
+The first level takes windows of half the window (7 words of 13). A window of the wanted
+length is a candidate only if the two halves that make it up (the first 7 and the last 7
+words) are repeated: another document has them too. Candidates are compared over the whole
+corpus, and a word is removed if a repeated window that covers it also starts in a document
+with a smaller id. From then on two adjacent repeated windows are joined to one of twice the
+length, which again is compared over the whole corpus, until no candidate survives.
 
 Data flow. Windows never travel as rows. A mapper gathers some million windows, settles
 those that an earlier document of the same batch has (so a passage that a third of all
 documents share is sent once a batch, not once a document), and sends the other hashes in
 packed blocks, dealt by hash range. Reducers sort a range in numpy and answer with two
 bits a window, packed by document group; the order of a document's windows within a range
-tells which is which, so no positions travel. Documents meet their answers in a cogroup.
+tells which is which, so no positions travel. Documents meet the answers of the first level
+in a cogroup that yields candidates only; candidates meet their answers without the texts;
+at the end the texts of documents with a repeated window are cut in one more cogroup.
 Block counts follow the input size, so that a range and a group fit one Python worker.
 
-Defined results. Null and empty texts have no words. A null id orders after all others.
-Rows with equal ids never remove words from one another; repeated rows get equal results.
-Texts shorter than a window keep all words. Empty tables give empty results. Other columns
-travel in a struct, so their names can't clash. Windows count as equal if their 64-bit
-multilinear hashes agree (see README for the chance of a false match).
+Defined results. Null and empty texts have no words. A null id orders after all others; ids
+may be of any type that has an order. Rows with equal ids never remove words from one
+another; repeated rows get equal results. Texts shorter than a window keep all words. Empty
+tables give empty results. Other columns travel in a struct, so their names can't clash.
+Candidates count as equal if two independent 64-bit hashes of their words agree; the 64-bit
+hashes of the first level only choose candidates.
 """
 
 from __future__ import annotations
@@ -40,9 +44,10 @@ FLUSH_WINDOWS = 1_000_000
 RANGE_BYTES = 12 << 20  # of text: about 2 million windows for a reducer
 PACK_BYTES = 24 << 20
 GROUP_BYTES = 4 << 20  # of text for a cogroup
-BLOCK = "dest int, ids binary, ths binary, fs binary, counts binary, hashes binary, bits binary"
+BLOCK = "dest int, ids binary, ths binary, fs binary, counts binary, hashes binary, checks binary, bits binary"
 REPLY = "q int, p int, ids binary, ths binary, fs binary, counts binary, rep binary, flag binary"
-STATE = "q int, ids binary, ths binary, counts binary, positions binary, hashes binary"
+DONE = "q int, id bigint, th bigint, length bigint, flagged binary"
+STATE = "q int, ids binary, ths binary, counts binary, positions binary, hashes binary, checks binary"
 I8, U8 = np.int64, np.uint64
 
 
@@ -73,28 +78,42 @@ def unbits(data: bytes, n: int) -> np.ndarray:
 
 def rows(schema: str, out: list[tuple]) -> pa.RecordBatch:
     names = [x.split() for x in schema.split(", ")]
-    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*out) if out else [[]] * len(names), names)], [n for n, _ in names])
 
 
-def flush(ids: np.ndarray, ths: np.ndarray, counts: np.ndarray, h: np.ndarray, ranges: int, groups: int) -> pa.RecordBatch:
+def by_value(h: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """Stable order of hashes, with their checks if there are any."""
+    return np.lexsort((check, h)) if len(check) else np.argsort(h, kind="stable")
+
+
+def heads(h: np.ndarray, check: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin in that order."""
+    new = np.ones(len(h), bool)
+    new[1:] = h[order][1:] != h[order][:-1]
+    if len(check):
+        new[1:] |= check[order][1:] != check[order][:-1]
+    return np.flatnonzero(new)
+
+
+def flush(ids: np.ndarray, ths: np.ndarray, counts: np.ndarray, h: np.ndarray, check: np.ndarray, ranges: int, groups: int) -> pa.RecordBatch:
     """Blocks of a batch of documents: their windows' hashes, and what the batch itself settles.
 
-    ids, ths and counts have one value a document; h has their windows in that order.
+    ids, ths and counts have one value a document; h and check (a second hash, or empty) have
+    their windows in that order.
     """
     order = np.lexsort((ths, ids))
     new = np.ones(len(order), bool)
     new[1:] = (ids[order][1:] != ids[order][:-1]) | (ths[order][1:] != ths[order][:-1])
     order = order[new]
-    h = h[spans((np.cumsum(counts) - counts)[order], counts[order])]
+    of = spans((np.cumsum(counts) - counts)[order], counts[order])
+    h, check = h[of], check[of] if len(check) else check
     ids, ths, counts = ids[order], ths[order], counts[order]
     with np.errstate(over="ignore"):
         f = (ids.view(U8) * K.KEYS[2] + ths.view(U8) * K.KEYS[3]).sum(dtype=U8).astype(U8).view(I8)
     doc = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
-    order = np.argsort(h, kind="stable")
-    new = np.ones(len(h), bool)
-    new[1:] = h[order][1:] != h[order][:-1]
-    at = np.flatnonzero(new)
+    order = by_value(h, check)
+    at = heads(h, check, order)
     sizes = np.diff(np.append(at, len(h)))
     who = ids[doc[order]]
     later_sorted = who != np.repeat(who[at], sizes) if len(h) else np.zeros(0, bool)
@@ -112,14 +131,14 @@ def flush(ids: np.ndarray, ths: np.ndarray, counts: np.ndarray, h: np.ndarray, r
         x = sent[edges[p] : edges[p + 1]]
         n = np.bincount(doc[x], minlength=len(ids))
         d = np.flatnonzero(n)
-        out.append((int(p), ids[d].tobytes(), ths[d].tobytes(), np.full(len(d), f).tobytes(), n[d].astype(np.int32).tobytes(), h[x].tobytes(), bits(again[x])))
+        out.append((int(p), ids[d].tobytes(), ths[d].tobytes(), np.full(len(d), f).tobytes(), n[d].astype(np.int32).tobytes(), h[x].tobytes(), check[x].tobytes() if len(check) else b"", bits(again[x])))
     own = np.flatnonzero(np.bincount(doc[later], minlength=len(ids)))
     q = group_of(ids[own], ths[own], groups)
     first = np.cumsum(counts) - counts
     for g in np.unique(q):
         d = own[q == g]
         x = spans(first[d], counts[d])
-        out.append((ranges + int(g), ids[d].tobytes(), ths[d].tobytes(), np.full(len(d), f).tobytes(), counts[d].astype(np.int32).tobytes(), b"", bits(later[x])))
+        out.append((ranges + int(g), ids[d].tobytes(), ths[d].tobytes(), np.full(len(d), f).tobytes(), counts[d].astype(np.int32).tobytes(), b"", b"", bits(later[x])))
     return rows(BLOCK, out)
 
 
@@ -141,7 +160,7 @@ def from_text(window: int, ranges: int, groups: int):
         size = 0
         for b in batches:
             counts, h = text_windows(b.column("text"), window, table, False)
-            held.append((np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8), counts, h))
+            held.append((np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8), counts, h, np.zeros(0, U8)))
             size += len(h)
             if size >= FLUSH_WINDOWS:
                 yield flush(*map(np.concatenate, zip(*held)), ranges, groups)
@@ -157,8 +176,8 @@ def from_state(ranges: int, groups: int):
         held: list[tuple] = []
         size = 0
         for b in batches:
-            for ids, ths, counts, h in zip(*(b.column(c).to_pylist() for c in ("ids", "ths", "counts", "hashes"))):
-                held.append((np.frombuffer(ids, I8), np.frombuffer(ths, I8), np.frombuffer(counts, np.int32).astype(I8), np.frombuffer(h, U8)))
+            for ids, ths, counts, h, check in zip(*(b.column(c).to_pylist() for c in ("ids", "ths", "counts", "hashes", "checks"))):
+                held.append((np.frombuffer(ids, I8), np.frombuffer(ths, I8), np.frombuffer(counts, np.int32).astype(I8), np.frombuffer(h, U8), np.frombuffer(check, U8)))
                 size += len(held[-1][3])
                 if size >= FLUSH_WINDOWS:
                     yield flush(*map(np.concatenate, zip(*held)), ranges, groups)
@@ -184,14 +203,11 @@ def answer(ranges: int, groups: int):
         ids, ths, fs = (join_column(t, n, I8) for n in ("ids", "ths", "fs"))
         counts, h = join_column(t, "counts", np.int32).astype(I8), join_column(t, "hashes", U8)
         again = np.concatenate([unbits(b, len(x) // 8) for b, x in zip(t.column("bits").to_pylist(), t.column("hashes").to_pylist())])
+        check = join_column(t, "checks", U8)
         del t
-        order = np.argsort(h)
-        hs = h[order]
-        del h
-        new = np.ones(len(hs), bool)
-        new[1:] = hs[1:] != hs[:-1]
-        del hs
-        at = np.flatnonzero(new)
+        order = by_value(h, check)
+        at = heads(h, check, order)
+        del h, check
         sizes = np.diff(np.append(at, len(order)))
         who = np.repeat(ids, counts)[order]
         low = np.minimum.reduceat(who, at)
@@ -268,21 +284,20 @@ def decide(ids: np.ndarray, ths: np.ndarray, counts: np.ndarray, h: np.ndarray,
     return rep, flag
 
 
-def doubled(length: int, counts: np.ndarray, positions: np.ndarray, h: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates of twice the length: counts a document, positions and hashes."""
+def doubled(length: int, counts: np.ndarray, positions: np.ndarray, h: np.ndarray, check: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Candidates of twice the length: counts a document, positions, hashes and checks."""
     doc = np.repeat(np.arange(len(counts)), counts)
     wide = int(positions.max(initial=0)) + 2 * length + 1
     flat = doc[rep] * wide + positions[rep]
-    hs = h[rep]
     at = np.searchsorted(flat, flat + length)
     ok = np.flatnonzero((at < len(flat)) & (flat[np.minimum(at, len(flat) - 1)] == flat + length)) if len(flat) else np.zeros(0, I8)
-    new = K.mix(hs[ok] * K.KEYS[4] + hs[at[ok]] * K.KEYS[5] + U8(length))
-    return np.bincount(flat[ok] // wide, minlength=len(counts)), flat[ok] % wide, new
+    made = [K.mix(x[rep][ok] * K.KEYS[a] + x[rep][at[ok]] * K.KEYS[b] + U8(length)) for x, a, b in ((h, 4, 5), (check, 8, 9))]
+    return np.bincount(flat[ok] // wide, minlength=len(counts)), flat[ok] % wide, *made
 
 
-def state_columns(q: int, ids, ths, counts, positions, h) -> tuple:
+def state_columns(q: int, ids, ths, counts, positions, h, check) -> tuple:
     d = np.flatnonzero(counts)
-    return (q, ids[d].tobytes(), ths[d].tobytes(), counts[d].astype(np.int32).tobytes(), pa.compress(np.diff(positions, prepend=0).astype(np.int32).tobytes(), "zstd", asbytes=True), h.tobytes())
+    return (q, ids[d].tobytes(), ths[d].tobytes(), counts[d].astype(np.int32).tobytes(), pa.compress(np.diff(positions, prepend=0).astype(np.int32).tobytes(), "zstd", asbytes=True), h.tobytes(), check.tobytes())
 
 
 def packed_by_group(groups: int, answered: Bitmap):
@@ -325,150 +340,152 @@ def exchange(blocks: DataFrame, ranges: int, groups: int) -> DataFrame:
     return blocks.repartition(ranges + groups, "dest").groupBy("dest").applyInArrow(answer(ranges, groups), REPLY)
 
 
-def first_level(docs: DataFrame, id_col: str, text_col: str, window: int, keep_text: bool, carry: list[str], levels: bool) -> tuple[DataFrame, int, int]:
-    """The cut table of level 1: one row a document (row, n_words, n_removed, kept or its
-    sha256, whether a window is repeated) and, for later levels, rows with the candidates."""
-    size = text_bytes(docs, text_col)
-    ranges, groups = max(16, -(-size // RANGE_BYTES)), max(64, -(-size // GROUP_BYTES))
-    key = keyed(docs, id_col, text_col, carry)
-    replies = cut(exchange(map_batches(key.select("id", "th", "text"), from_text(window, ranges, groups), BLOCK), ranges, groups))
-    release(docs.sparkSession)
-    answered = bitmap(replies.select("ids", "ths"), lambda b: key_hash(longs(b, "ids"), longs(b, "ths")), bit_count(size // 64))
-    left = map_batches(key, packed_by_group(groups, answered), "q int, pack binary")
-    schema = fields(key, ["id", "th", "row"], f"n_words bigint, n_removed bigint, kept string, repeated boolean, {STATE}")
-    table = K.space_words()
+def distinct_keys(docs_t: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of a group's rows: ids and text hashes, a row of each distinct key, and each row's key."""
+    ids, ths = (docs_t.column(c).to_numpy().astype(I8) for c in ("id", "th"))
+    order = np.lexsort((ths, ids))
+    new = np.ones(len(order), bool)
+    new[1:] = (ids[order][1:] != ids[order][:-1]) | (ths[order][1:] != ths[order][:-1])
+    key_of = np.empty(len(order), I8)
+    key_of[order] = np.cumsum(new) - 1
+    return ids, ths, order[new], key_of
 
-    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents without a repeated window keep all words."""
-        for b in batches:
-            b = b.filter(pa.array(~answered.marked(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))))
-            buf, offsets = K.text_buffer(b.column("text"))
-            starts, ends, first = K.word_spans(buf, offsets, table)
-            kept = [left_over(buf, offsets, starts, ends, first, i, None) for i in range(b.num_rows)]
-            yield from out_table(b, np.diff(first).tolist(), [0] * b.num_rows, kept, [False] * b.num_rows, None).to_batches()
 
-    def left_over(buf, offsets, starts, ends, first, i: int, gone) -> str:
-        a, z, o = first[i], first[i + 1], offsets[i]
-        data = K.kept_bytes(buf[o : offsets[i + 1]], starts[a:z] - o, ends[a:z] - o, np.ones(z - a, bool) if gone is None else ~gone)
-        return data.decode("utf-8", "replace") if keep_text else hashlib.sha256(data).hexdigest()
+def candidates(key: DataFrame, window: int, ranges: int, groups: int, n_bits: int) -> DataFrame:
+    """The candidates of `window` words: both halves are repeated in another document."""
+    half = (window + 1) // 2
+    table = K.space_words()
+    replies = cut(exchange(map_batches(key.select("id", "th", "text"), from_text(half, ranges, groups), BLOCK), ranges, groups))
+    release(key.sparkSession)
+    answered = bitmap(replies.select("ids", "ths"), lambda b: key_hash(longs(b, "ids"), longs(b, "ths")), n_bits)
+    left = map_batches(key.select("id", "th", "text"), packed_by_group(groups, answered), "q int, pack binary")
 
     def settle(docs_t: pa.Table, replies_t: pa.Table) -> pa.Table:
-        if not docs_t.num_rows:  # a mark that another key has too
-            return pa.Table.from_batches([], out_schema)
+        if not docs_t.num_rows or not replies_t.num_rows:  # a mark that another key has too
+            return pa.Table.from_batches([rows(STATE, [])])
         q = docs_t.column("q")[0].as_py()
         docs_t = unpacked(docs_t.column("pack"))
-        n_docs = docs_t.num_rows
-        ids, ths = (docs_t.column(c).to_numpy().astype(I8) for c in ("id", "th"))
-        buf, offsets = K.text_buffer(docs_t.column("text"))
+        ids, ths, one, _ = distinct_keys(docs_t)
+        buf, offsets = K.text_buffer(docs_t.column("text").take(pa.array(one)))
         starts, ends, first = K.word_spans(buf, offsets, table)
-        h_all = K.window_hashes(K.word_hashes(buf, starts, ends, False), window)
-        counts = np.maximum(np.diff(first) - window + 1, 0)
-        order = np.lexsort((ths, ids))
-        new = np.ones(n_docs, bool)
-        new[1:] = (ids[order][1:] != ids[order][:-1]) | (ths[order][1:] != ths[order][:-1])
-        unique = order[new]
-        pos = spans(first[:-1][unique], counts[unique])
-        h = h_all[pos]
-        rep, flag = decide(ids[unique], ths[unique], counts[unique], h, replies_t, ranges)
-        hit = np.zeros(len(starts), bool)
-        hit_at = pos[flag]
-        if len(hit_at):
-            hit = K.covered(hit_at, window, len(starts))
-        copy = np.cumsum(new) - 1  # the distinct key of each row in order
-        key_of = np.empty(n_docs, I8)
-        key_of[order] = copy
-        removed, kept, repeated = [], [], []
-        u_first = np.cumsum(counts[unique]) - counts[unique]
-        any_rep = np.zeros(len(unique), bool)
-        if len(rep):
-            any_rep[np.repeat(np.arange(len(unique)), counts[unique])[rep]] = True
-        for i in range(n_docs):
-            u = key_of[i]
-            gone = hit[first[unique[u]] : first[unique[u] + 1]]
-            removed.append(int(gone.sum()))
-            kept.append(left_over(buf, offsets, starts, ends, first, i, gone))
-            repeated.append(bool(any_rep[u]))
-        state = None
-        if levels and rep.any():
-            n = counts[unique]
-            positions = spans(np.zeros(len(n), I8), n)
-            n2, p2, h2 = doubled(window, n, positions, h, rep)
-            if len(p2):
-                state = state_columns(q, ids[unique], ths[unique], n2, p2, h2)
-        return out_table(docs_t, np.diff(first).tolist(), removed, kept, repeated, state)
-
-    def out_table(docs_t, n_words, removed, kept, repeated, state):
-        extra = [] if state is None else [state]
-        pad = [None] * len(extra)
-        n = docs_t.num_rows
-        arrays = [pa.chunked_array([*(c.chunks if isinstance(c, pa.ChunkedArray) else [c]), pa.nulls(len(pad), c.type)]) for c in (docs_t.column(x) for x in ("id", "th", "row"))]
-        cols = {"n_words": (n_words, pa.int64()), "n_removed": (removed, pa.int64()), "kept": (kept, pa.string()), "repeated": (repeated, pa.bool_())}
-        arrays += [pa.array([*v, *pad], k) for v, k in cols.values()]
-        for i, x in enumerate(STATE.split(", ")):
-            arrays.append(pa.array([None] * n + [s[i] for s in extra], pa.int32() if x.endswith("int") else pa.binary()))
-        return pa.Table.from_arrays(arrays, ["id", "th", "row", *cols, *(x.split()[0] for x in STATE.split(", "))])
-
-    out_schema = to_arrow_schema(schema)
-    touched = left.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, schema)
-    return cut(touched.unionAll(map_batches(key, untouched, schema))), ranges, groups
-
-
-def next_level(state: DataFrame, length: int, ranges: int, groups: int) -> DataFrame:
-    """Rows (id, th) of documents with a repeated window of this length, and the next candidates."""
+        words = K.word_hashes(buf, starts, ends, False)
+        n = np.diff(first)
+        counts = np.maximum(n - half + 1, 0)
+        pos = spans(first[:-1], counts)
+        rep, _ = decide(ids[one], ths[one], counts, K.window_hashes(words, half)[pos], replies_t, ranges)
+        known = np.zeros(len(words) + window, bool)
+        known[pos[rep]] = True
+        wide = np.maximum(n - window + 1, 0)
+        at = spans(first[:-1], wide)
+        at = at[known[at] & known[at + window - half]]
+        doc = K.owner(first, at)
+        if not len(at):
+            return pa.Table.from_batches([rows(STATE, [])])
+        check = K.window_hashes(K.word_hashes(buf, starts, ends, False, other=True), window, 1)[at]
+        state = state_columns(q, ids[one], ths[one], np.bincount(doc, minlength=len(one)), at - first[doc], K.window_hashes(words, window)[at], check)
+        return pa.Table.from_batches([rows(STATE, [state])])
+
+    return cut(left.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, STATE))
+
+
+def next_level(state: DataFrame, length: int, ranges: int, groups: int, flags: bool = False) -> DataFrame:
+    """Rows (q, id, th, length, and with flags the windows that an earlier document has) of
+    documents with a repeated window of this length, and the candidates of twice the length."""
     replies = exchange(map_batches(state, from_state(ranges, groups), BLOCK), ranges, groups)
+    names = [x.split()[0] for x in f"{DONE}, {STATE}".replace("q int, ids", "to int, ids").split(", ")]
 
     def settle(state_t: pa.Table, replies_t: pa.Table) -> pa.Table:
         done: list[tuple] = []
         out: list[tuple] = []
-        for q, *r in zip(*(state_t.column(c).to_pylist() for c in ("q", "ids", "ths", "counts", "positions", "hashes"))):
-            ids, ths, counts, h = (np.frombuffer(x, k) for x, k in zip((r[0], r[1], r[2], r[4]), (I8, I8, np.int32, U8)))
+        for q, *r in zip(*(state_t.column(c).to_pylist() for c in ("q", "ids", "ths", "counts", "positions", "hashes", "checks"))):
+            ids, ths, counts, h, check = (np.frombuffer(x, k) for x, k in zip((r[0], r[1], r[2], r[4], r[5]), (I8, I8, np.int32, U8, U8)))
             counts = counts.astype(I8)
             positions = np.cumsum(np.frombuffer(pa.decompress(r[3], 4 * len(h), "zstd", asbytes=True), np.int32), dtype=I8)
-            rep, _ = decide(ids, ths, counts, h, replies_t, ranges)
+            rep, flag = decide(ids, ths, counts, h, replies_t, ranges)
             if rep.any():
-                d = np.unique(np.repeat(np.arange(len(ids)), counts)[rep])
-                done += zip(ids[d].tolist(), ths[d].tolist())
-                n2, p2, h2 = doubled(length, counts, positions, h, rep)
+                first = np.cumsum(counts) - counts
+                for d in np.flatnonzero(np.add.reduceat(rep, first)).tolist():
+                    x = slice(first[d], first[d] + counts[d])
+                    done.append((q, int(ids[d]), int(ths[d]), length, positions[x][flag[x]].astype(np.int32).tobytes() if flags else None))
+                n2, p2, *more = doubled(length, counts, positions, h, check, rep)
                 if len(p2):
-                    out.append(state_columns(q, ids, ths, n2, p2, h2))
-        n, m = len(done), len(out)
-        arrays = [pa.array([x[i] for x in done] + [None] * m, pa.int64()) for i in (0, 1)]
-        for i, x in enumerate(STATE.split(", ")):
-            arrays.append(pa.array([None] * n + [s[i] for s in out], pa.int32() if x.endswith("int") else pa.binary()))
-        return pa.Table.from_arrays(arrays, ["id", "th", *(x.split()[0] for x in STATE.split(", "))])
+                    out.append(state_columns(q, ids, ths, n2, p2, *more))
+        a, b = rows(DONE, done), rows(STATE, out)
+        columns = [pa.concat_arrays([c, pa.nulls(len(out), c.type)]) for c in a.columns] + [pa.concat_arrays([pa.nulls(len(done), c.type), c]) for c in b.columns]
+        return pa.Table.from_arrays(columns, names)
+
+    schema = f"{DONE}, {STATE}".replace("q int, ids", "to int, ids")
+    return cut(state.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, schema))
 
-    return cut(state.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, f"id bigint, th bigint, {STATE}"))
 
+def cut_texts(key: DataFrame, done: DataFrame, window: int, keep_text: bool, groups: int, n_bits: int) -> DataFrame:
+    """One row a document: row, n_words, n_removed, kept (or its sha256) and longest_repeat."""
+    touched = bitmap(done.select("id", "th"), lambda b: key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)), n_bits)
+    left = map_batches(key, packed_by_group(groups, touched), "q int, pack binary")
+    schema = fields(key, ["row"], "n_words bigint, n_removed bigint, kept string, longest_repeat bigint")
+    empty, table = to_arrow_schema(schema), K.space_words()
+
+    def left_over(buf, offsets, starts, ends, first, i: int, gone) -> str:
+        a, z, o = first[i], first[i + 1], offsets[i]
+        data = K.kept_bytes(buf[o : offsets[i + 1]], starts[a:z] - o, ends[a:z] - o, np.ones(z - a, bool) if gone is None else ~gone)
+        return data.decode("utf-8", "replace") if keep_text else hashlib.sha256(data).hexdigest()
+
+    def out(row, *columns) -> list:
+        return [row, *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.int64())))]
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, keep_text: bool = True, levels: bool = True, carry: list[str] | None = None) -> DataFrame:
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents without a repeated window keep all words."""
+        for b in batches:
+            b = b.filter(pa.array(~touched.marked(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))))
+            buf, offsets = K.text_buffer(b.column("text"))
+            starts, ends, first = K.word_spans(buf, offsets, table)
+            kept = [left_over(buf, offsets, starts, ends, first, i, None) for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays(out(b.column("row"), np.diff(first), np.zeros(b.num_rows, I8), kept, np.zeros(b.num_rows, I8)), empty.names)
+
+    def settle(docs_t: pa.Table, done_t: pa.Table) -> pa.Table:
+        if not docs_t.num_rows:
+            return pa.Table.from_batches([], empty)
+        docs_t = unpacked(docs_t.column("pack"))
+        ids, ths, one, key_of = distinct_keys(docs_t)
+        found: dict[tuple[int, int], tuple[int, bytes]] = {}
+        for i, t, n, x in zip(*(done_t.column(c).to_pylist() for c in ("id", "th", "length", "flagged"))):
+            old = found.get((i, t), (0, b""))
+            found[i, t] = (max(n, old[0]), x or old[1])
+        buf, offsets = K.text_buffer(docs_t.column("text").take(pa.array(one)))
+        starts, ends, first = K.word_spans(buf, offsets, table)
+        made = []
+        for u, k in enumerate(one.tolist()):
+            n = int(first[u + 1] - first[u])
+            longest, at = found.get((int(ids[k]), int(ths[k])), (0, b""))
+            gone = K.covered(np.frombuffer(at, np.int32).astype(I8), window, n) if at else None
+            made.append((n, 0 if gone is None else int(gone.sum()), left_over(buf, offsets, starts, ends, first, u, gone), longest))
+        return pa.Table.from_arrays(out(docs_t.column("row"), *zip(*[made[u] for u in key_of.tolist()])), empty.names)
+
+    cogrouped = left.repartition(groups, "q").groupBy("q").cogroup(done.repartition(groups, "q").groupBy("q"))
+    return cogrouped.applyInArrow(settle, schema).unionAll(map_batches(key, untouched, schema))
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, keep_text: bool = True, carry: list[str] | None = None) -> DataFrame:
     """One row a document: row (struct of `carry`, all columns unless given), n_words,
-    n_removed, kept (the words left, or their sha256 unless keep_text) and, with levels,
-    longest_repeat: the longest of the doubled window lengths at which a window of the
-    document also occurs in another one (0: none)."""
-    top, ranges, groups = first_level(docs, id_col, text_col, window, keep_text, carry or docs.columns, levels)
-    release(docs.sparkSession)
+    n_removed, kept (the words left, or their sha256 unless keep_text) and longest_repeat:
+    the longest of the doubled window lengths at which a window of the document also occurs
+    in another one (0: none). window: 2 words at least."""
+    if window < 2:
+        raise ValueError(f"window must be 2 or more words, not {window}")
+    size = text_bytes(docs, text_col)
+    ranges, groups, n_bits = max(16, -(-size // RANGE_BYTES)), max(64, -(-size // GROUP_BYTES)), bit_count(size // 64)
+    key = keyed(docs, id_col, text_col, carry)
+    state, length, found = candidates(key, window, ranges, groups, n_bits), window, []
     names = [x.split()[0] for x in STATE.split(", ")]
-    result = top.where("ids IS NULL").select("id", "th", "row", "n_words", "n_removed", "kept", "repeated")
-    if not levels:
-        return result.drop("id", "th", "repeated")
-    state, length, found = top.where("ids IS NOT NULL").select(names), window, []
     while not state.isEmpty():
-        length *= 2
-        level = next_level(state, length, ranges, groups)
-        found.append(level.where("ids IS NULL").select("id", "th", F.lit(length).cast("long").alias("length")))
-        state = level.where("ids IS NOT NULL").select(names)
+        level = next_level(state, length, ranges, groups, length == window)
+        found.append(level.where("ids IS NULL").select([x.split()[0] for x in DONE.split(", ")]))
+        state, length = level.where("ids IS NOT NULL").select(F.col("to").alias("q"), *names[1:]), 2 * length
         release(docs.sparkSession)
-    if not found:
-        return result.withColumn("longest_repeat", F.when(F.col("repeated"), F.lit(window)).otherwise(F.lit(0)).cast("long")).drop("id", "th", "repeated")
-    longest = found[0]
+    done = docs.sparkSession.createDataFrame([], DONE) if not found else found[0]
     for x in found[1:]:
-        longest = longest.unionAll(x)
-    longest = longest.groupBy("id", "th").agg(F.max("length").alias("length"))
-    return (
-        result.join(longest, ["id", "th"], "left")
-        .withColumn("longest_repeat", F.coalesce("length", F.when(F.col("repeated"), F.lit(window)).otherwise(F.lit(0))).cast("long"))
-        .drop("id", "th", "repeated", "length")
-    )
+        done = done.unionAll(x)
+    return cut_texts(key, done, window, keep_text, groups, n_bits)
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:

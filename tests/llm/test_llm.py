@@ -432,7 +432,7 @@ def test_pipeline_runs_all_levels(docs, monkeypatch):
     lengths, one = [], substring_dedup.next_level
     monkeypatch.setattr(substring_dedup, "next_level", lambda state, length, *a: lengths.append(length) or one(state, length, *a))
     assert corpus_pipeline.substring(docs.sparkSession, docs, SF).count() == docs.count()
-    assert lengths[:2] == [26, 52]
+    assert lengths[:3] == [13, 26, 52]
 
 
 def test_more_than_64_languages(spark):
