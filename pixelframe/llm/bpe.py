@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, prepare, table
+from .common import carried, column, cut, fields, map_batches, prepare, table
 
 LEXICON_WORDS = 30_000
 COUNTED_WORDS = 200_000  # distinct words that a task counts before it hands them on
@@ -63,6 +63,10 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
+        model, before = data["model"], data.get("pre_tokenizer") or {}
+        odd = [k for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+        if model.get("type", "BPE") != "BPE" or odd or data.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+            raise ValueError(f"{path} is no plain byte-level BPE file: its normalizer, pre-tokenizer or model options ({', '.join(odd) or 'see the file'}) would be ignored")
         to_byte = {c: bytes([b]) for b, c in enumerate(byte_characters())}
         plain = lambda token: b"".join(to_byte[c] for c in token)
         vocab = data["model"]["vocab"]
@@ -317,7 +321,7 @@ def count_words(pattern: str, special: list[str]):
 
 def build_lexicon(docs: DataFrame, text_col: str, vocabulary: Vocabulary, pattern: str, words: int = LEXICON_WORDS) -> bytes:
     """The compiled automaton of the most frequent words, counted over all documents."""
-    counted = map_batches(docs.select(F.col(text_col).cast("string").alias("text")), count_words(pattern, list(vocabulary.special)), "word string, n bigint")
+    counted = map_batches(docs.select(column(text_col).cast("string").alias("text")), count_words(pattern, list(vocabulary.special)), "word string, n bigint")
     counted = cut(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"))
     # The lowest count that at most `words` words reach, from how many words have each count.
     # Counts are bounded by powers of 1.1, so the histogram is short whatever the corpus.
@@ -349,14 +353,13 @@ def bpe(docs: DataFrame, outputs: Callable[[list[int], str], tuple], schema: str
         coder = worker_coder(shared.value, pattern)
         for b in batches:
             made = [outputs(ids, coder.decode(ids)) for ids in coder.encode(b.column("text").to_pylist())]
-            columns = [pa.array(c, t) for c, t in zip(zip(*made) if made else [[]] * len(fields), kinds)]
-            yield pa.RecordBatch.from_arrays([b.column("row"), *columns], ["row", *fields])
+            columns = [pa.array(c, t) for c, t in zip(zip(*made) if made else [[]] * len(names), kinds)]
+            yield pa.RecordBatch.from_arrays([b.column("row"), *columns], ["row", *names])
 
-    fields = [x.split()[0] for x in schema.split(", ")]
+    names = [x.split()[0] for x in schema.split(", ")]
     kinds = [{"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}[x.split()[1]] for x in schema.split(", ")]
-    row = F.struct(*[F.col(c) for c in (carry or docs.columns)]).alias("row")
-    kind = docs.select(row).schema["row"].dataType.simpleString()
-    return map_batches(docs.select(row, F.col(text_col).cast("string").alias("text")), run, f"row {kind}, {schema}")
+    row = carried(docs, carry)
+    return map_batches(docs.select(row, column(text_col).cast("string").alias("text")), run, fields(docs.select(row), ["row"], schema))
 
 
 def encode(docs: DataFrame, **options) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import cut, map_batches, prepare
+from .common import carried, column, cut, fields, map_batches, prepare
 
 SHINGLE = 4
 SLICE_BYTES = 16 << 20
@@ -174,20 +174,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     runs (word positions [start, end) that windows cover) and items (their ids as strings)."""
     spark = docs.sparkSession
     prepare(spark)
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    items = benchmark.select(F.coalesce(column(item_col).cast("string"), F.lit("null")).alias("item"), column(item_text_col).cast("string").alias("text")).where("text IS NOT NULL")
     size = items.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     slices = -(-max(size, 1) // SLICE_BYTES)
-    t = F.col(text_col).cast("string").alias("text")
-    row = F.struct(*[F.col(c) for c in (carry or docs.columns)]).alias("row")
-    kind = docs.select(row).schema["row"].dataType.simpleString()
-    schema = f"row {kind}, th bigint, n_words bigint, n_hit bigint, runs array<struct<start:bigint,end:bigint>>, items array<string>"
+    t = column(text_col).cast("string").alias("text")
+    row = carried(docs, carry)
+    schema = fields(docs.select(row), ["row"], "th bigint, n_words bigint, n_hit bigint, runs array<struct<start:bigint,end:bigint>>, items array<string>")
     found = None
     for i in range(slices):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == i) if slices > 1 else items
         windows = Windows([(r["item"], r["text"]) for r in part.orderBy("item", "text").collect()], window)
         counts = {(r["k"], r["h"] & (2**64 - 1)): r["n"] for r in map_batches(docs.select(t), count_shingles(windows.shingles), "k int, h bigint, n bigint").groupBy("k", "h").agg(F.sum("n").alias("n")).collect()} if windows.shingles else {}
         chosen = windows.chosen(counts)
-        hit = map_batches(docs.select(row, t, F.xxhash64(F.col(text_col).cast("string")).alias("th")), match(chosen, windows.texts, np.array(windows.sizes, np.int64), [sorted(x) for x in windows.items]), schema)
+        hit = map_batches(docs.select(row, t, F.xxhash64(column(text_col).cast("string")).alias("th")), match(chosen, windows.texts, np.array(windows.sizes, np.int64), [sorted(x) for x in windows.items]), schema)
         found = hit if found is None else found.unionAll(hit)
     if slices == 1:
         return found.drop("th")

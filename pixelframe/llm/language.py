@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import cut, map_batches, table
+from .common import carried, column, cut, fields, map_batches, table
 
 SLICE = 64  # languages a cell
 PER_LANGUAGE = 20_000
@@ -153,7 +153,7 @@ class Filters:
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Filters:
     """The filters from all rows with a text and a language."""
-    t = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    t = rows.select(column(text_col).cast("string").alias("text"), column(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     names = [r["lang"] for r in t.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()]
     if not names:
         return Filters([], [])
@@ -195,9 +195,8 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text", carry: l
                         pred[rows.start + i], score[rows.start + i] = filters.languages[0], 1.0 / len(filters.languages)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(pred, pa.string()), pa.array(score)], ["row", "lang_pred", "score"])
 
-    row = F.struct(*[F.col(c) for c in (carry or docs.columns)]).alias("row")
-    kind = docs.select(row).schema["row"].dataType.simpleString()
-    return map_batches(docs.select(row, F.col(text_col).cast("string").alias("text")), run, f"row {kind}, lang_pred string, score double")
+    row = carried(docs, carry)
+    return map_batches(docs.select(row, column(text_col).cast("string").alias("text")), run, fields(docs.select(row), ["row"], "lang_pred string, score double"))
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:

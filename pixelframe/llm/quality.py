@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import carried, column, cut, table
 
 SPACES = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
@@ -61,8 +61,8 @@ def rules() -> dict[str, Column]:
 def features(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """row, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the other counts
     that rules read. One projection after another, no exchange."""
-    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    d = docs.select(F.struct(*[F.col(c) for c in (carry or docs.columns)]).alias("row"), t.alias("t"))
+    t = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    d = docs.select(carried(docs, carry), t.alias("t"))
     blank = F.translate("t", SPACES[:-1], " " * (len(SPACES) - 1))
     d = d.select(
         "row", F.array_remove(F.split(blank, " "), "").alias("w"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import CACHED_WORDS, Vocabulary, default_path
-from .common import map_batches, prepare, table
+from .common import carried, column, fields, map_batches, prepare, table
 
 
 class Automaton:
@@ -128,9 +128,8 @@ def token_counts(docs: DataFrame, text_col: str = "text", path: str | None = Non
                 pieces.append(n)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(words, pa.int64()), pa.array(pieces, pa.int64())], ["row", "n_words", "n_pieces"])
 
-    row = F.struct(*[F.col(c) for c in (carry or docs.columns)]).alias("row")
-    kind = docs.select(row).schema["row"].dataType.simpleString()
-    return map_batches(docs.select(row, F.col(text_col).cast("string").alias("text")), run, f"row {kind}, n_words bigint, n_pieces bigint")
+    row = carried(docs, carry)
+    return map_batches(docs.select(row, column(text_col).cast("string").alias("text")), run, fields(docs.select(row), ["row"], "n_words bigint, n_pieces bigint"))
 
 
 def op8_token_counts(spark, sf_dir: str) -> DataFrame:
