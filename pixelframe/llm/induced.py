@@ -98,7 +98,9 @@ def least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
         return Minima(values).over(low, high)
     bounds = np.empty(2 * len(low), I8)
     bounds[::2], bounds[1::2] = low, high + 1
-    return np.minimum.reduceat(np.append(values, np.uint8(255)), bounds)[::2]  # no bound may be the end
+    if int(high.max()) + 1 == len(values):  # no bound may be the end
+        values = np.append(values, np.uint8(255))
+    return np.minimum.reduceat(values, bounds)[::2]
 
 
 class Level:
@@ -225,14 +227,22 @@ class Scan:
             k = key - self.v.uniq
             order = np.argsort(k.astype(np.uint8 if self.v.size - self.v.uniq <= 256 else np.uint16) if self.v.size - self.v.uniq <= 65536 else k, kind="stable")
             src, before, key = src[order], before[order], key[order].astype(I8)
-            low = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            sizes = np.diff(np.append(low, len(key)))
-            buckets = key[low]
-            rank = np.arange(len(key)) - np.repeat(low, sizes)
-            at = np.repeat(self.next[buckets], sizes)
-            at = at - 1 - rank if self.want_s else at + rank
+            new = np.empty(len(key), bool)
+            new[0] = True
+            np.not_equal(key[1:], key[:-1], out=new[1:])
+            low = np.flatnonzero(new)
+            if len(low) == len(key):  # one a region
+                buckets, last, at = key, src, self.next[key]
+                self.next[key] = at - 1 if self.want_s else at + 1
+                at = at - 1 if self.want_s else at
+            else:
+                sizes = np.diff(low, append=len(key))
+                buckets, last = key[low], src[low + sizes - 1]
+                rank = np.arange(len(key)) - np.repeat(low, sizes)
+                at = np.repeat(self.next[buckets], sizes)
+                at = at - 1 - rank if self.want_s else at + rank
+                self.next[buckets] += -sizes if self.want_s else sizes
             self.queue[at] = before
-            self.next[buckets] += -sizes if self.want_s else sizes
         if lcp is None:
             return
         prefix = np.minimum.accumulate(lcp)
@@ -242,16 +252,15 @@ class Scan:
             stack = np.append(np.array(self.low, np.uint8), np.uint8(255))
             since = stack[np.searchsorted(np.array(self.at, I8), stamp, "right")]
             values[low] = np.minimum(np.minimum(prefix[src[low]], since), self.rest[buckets])
-            more = np.ones(len(src), bool)
-            more[low] = False
-            more = np.flatnonzero(more)
-            values[more] = least_between(lcp, src[more - 1] + 1, src[more])
+            if len(low) < len(key):
+                more = np.flatnonzero(~new)
+                values[more] = least_between(lcp, src[more - 1] + 1, src[more])
             weight = 1 if self.v.weight is None else self.v.weight[key].astype(np.int16)
             values = np.minimum(values.astype(np.int16) + weight, self.v.cap).astype(np.uint8)
             self.lcp[at] = values
             suffix = np.append(np.minimum.accumulate(lcp[::-1])[::-1], np.uint8(255))
             self.stamp[buckets] = self.turn
-            self.rest[buckets] = suffix[src[low + sizes - 1] + 1]
+            self.rest[buckets] = suffix[last + 1]
         m = int(prefix[-1])
         while self.low and self.low[-1] >= m:
             self.low.pop()
@@ -558,30 +567,28 @@ def order_of_lms(v: Level, star: np.ndarray, lms: np.ndarray, heads: np.ndarray)
     # names: LMS substrings in order, equal ones alike
     r, fresh, near = own.empty(n, np.int32 if n < 2**31 else I8), own.full(n, True, bool), own.full(n, 0, np.uint8)
 
-    def sizes_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(lms, x)
-        ends = np.where(at + 1 < n, lms[np.minimum(at + 1, n - 1)], v.n - 1)
-        return at, ends.astype(I8)
-
+    rank, stop = own.empty(n, np.int32 if n < 2**31 else I8), own.empty(n, v.place)
+    for a, b in own.chunks(n):
+        rank[a:b] = at = np.searchsorted(lms, subs[a:b])
+        stop[a:b] = np.where(at + 1 < n, lms[np.minimum(at + 1, n - 1)], v.n - 1)
     for a, b in own.chunks(n - 1):
         x, y = (np.asarray(subs[i:j], I8) for i, j in ((a, b), (a + 1, b + 1)))
-        m, k = (sizes_of(z)[1] - z + 1 for z in (x, y))
+        m, k = stop[a:b] - x + 1, stop[a + 1 : b + 1] - y + 1
         near[a + 1 : b + 1], whole = v.shared(x, y, np.minimum(m, k))
         fresh[a + 1 : b + 1] = ~(whole & ((m == k) | (near[a + 1 : b + 1] >= v.cap)))
     names = 0
     total = int(fresh.sum())
     weight, edge = own.empty(total, np.uint8), own.empty(total, np.uint8)
     for a, b in own.chunks(n):
-        x, new = np.asarray(subs[a:b], I8), fresh[a:b]
-        at, ends = sizes_of(x)
+        x, new, ends = np.asarray(subs[a:b], I8), fresh[a:b], stop[a:b]
         name = names + np.cumsum(new)
-        r[at] = name - 1
+        r[rank[a:b]] = name - 1
         span = ends - x if v.origin is None else v.origin[ends] - v.origin[x]
         weight[name[new] - 1] = np.clip(span[new], 1, v.cap)
         edge[name[new] - 1] = near[a:b][new]
         names = int(name[-1])
     edge[0] = 0
-    own.drop(fresh)
+    own.drop(fresh, rank, stop)
     if names == n:
         order, lcp = subs, near
     else:
