@@ -142,3 +142,19 @@ def parse_cell(name: Column) -> tuple[Column, Column]:
 
 def cell_name(lat: Column, lon: Column) -> Column:
     return F.format_string("%s%02d%s%03d", F.when(lat < 0, "S").otherwise("N"), F.abs(lat).cast("int"), F.when(lon < 0, "W").otherwise("E"), F.abs(lon).cast("int"))
+
+
+def outer_ring(kind: Column, point: Column, polygon: Column, multi: Column) -> Column:
+    """The ring that bounds a geometry: of a point the point itself, of a polygon its outer
+    ring, of several polygons that of the first."""
+    return F.when(kind == "Point", F.array(point)).when(kind == "Polygon", polygon[0]).when(kind == "MultiPolygon", multi[0][0])
+
+
+def raster_corners(x0: Column, y0: Column, res: Column, height: Column, width: Column, zone: Column) -> Column:
+    """Latitude and longitude of a raster's corner pixels, as a closed ring of [lon, lat]."""
+    def at(row, col):
+        lat, lon = geographic(x0 + col * res, y0 - row * res, zone)
+        return F.array(lon, lat)
+
+    first, h, w = F.lit(0), height - 1, width - 1
+    return F.array(at(first, first), at(first, w), at(h, w), at(h, first), at(first, first))

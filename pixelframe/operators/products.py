@@ -33,15 +33,61 @@ def useful_only(products: DataFrame, minimum: float = 0.0) -> DataFrame:
     return with_useful(products).where(F.col("useful") > minimum)
 
 
+#: The bands whose shape tells whether a product arrived whole, and pixels a side.
+CHECKED_BANDS = ("SCL_20m", "SCL_60m", "B01_10m", "B01_20m", "B01_60m")
+SIDES = {10: 10980, 20: 5490, 60: 1830}
+
+
 def intact(products: DataFrame, bands: DataFrame, key: str = "title") -> DataFrame:
     """Products all of whose checked bands are sound (none checked: sound)."""
     sound = bands.where("checked").groupBy(key).agg(F.bool_and("ok").alias("_ok"))
     return products.join(sound, key, "left").where(F.coalesce("_ok", F.lit(True))).drop("_ok")
 
 
-def band_ok(meta_shape: str, read_shape: str, expected: str, path: str, res: str):
-    """A band is sound if both shapes are the expected one and its resolution is in its name."""
-    return (F.col(meta_shape) == F.col(expected)) & (F.col(read_shape) == F.col(expected)) & F.col(path).contains(F.col(res).cast("int").cast("string"))
+def checked_bands(files: DataFrame, sides: dict[int, int] | None = None) -> DataFrame:
+    """files(title, path, res, meta_side, read_side) with `checked` (the path names a checked
+    band) and `ok`: both sides are those of the resolution, and the file name holds it."""
+    side = F.element_at(F.create_map(*[F.lit(x) for kv in (sides or SIDES).items() for x in kv]), F.col("res").cast("int"))
+    checked = F.lit(False)
+    for name in CHECKED_BANDS:
+        checked = checked | F.col("path").contains(name)
+    ok = F.coalesce((F.col("meta_side") == side) & (F.col("read_side") == side) & names.file_name(F.col("path")).contains(F.col("res").cast("int").cast("string")), F.lit(False))
+    return files.withColumns({"checked": checked, "ok": ok})
+
+
+def search(products: DataFrame, start: str, end: str, kind: str = "MSIL2A", prefix: str = "S2", cloud: tuple[float, float] = (0.0, 100.0)) -> DataFrame:
+    """The catalogue's products of a mission and type, sensed in [start, end), with a cloud
+    percentage in a closed range; the newest first, then by title."""
+    t, percent = F.col("title"), F.col("cloud").cast("double") * 100.0
+    inside = (F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+    return products.where(t.startswith(prefix) & (F.split(t, "_")[1] == kind) & percent.between(*cloud) & inside).orderBy(F.desc("ts"), "title")
+
+
+def by_title(wanted: DataFrame, products: DataFrame) -> DataFrame:
+    """The catalogue rows of the wanted titles (distinct)."""
+    return wanted.select("title").distinct().join(products, "title")
+
+
+def known_composites(identities: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Composites that exist already, by title, and those that must still be made."""
+    have = existing.select("composite_title").distinct()
+    return identities.join(have, "composite_title", "left_semi"), identities.join(have, "composite_title", "left_anti")
+
+
+def all_tiles(*frames: DataFrame) -> DataFrame:
+    """The distinct tiles of several frames."""
+    out = frames[0].select("tile")
+    for f in frames[1:]:
+        out = out.unionByName(f.select("tile"))
+    return out.where("tile IS NOT NULL").distinct()
+
+
+def skipped(tiles: DataFrame, seasonal: DataFrame, n_seasons: int, k: int = 1) -> DataFrame:
+    """(tile, reason) of the wanted tiles that can't be handled: no product at all, or a season
+    without any. seasonal: the products that are left after all filters."""
+    n = seasonal.groupBy("tile").agg(F.countDistinct("season").alias("_n"))
+    reason = F.when(F.col("_n").isNull(), "no products").otherwise(F.concat((F.lit(n_seasons) - F.col("_n")).cast("string"), F.lit(" seasons without products")))
+    return tiles.select("tile").distinct().join(n, "tile", "left").where(F.coalesce("_n", F.lit(0)) < n_seasons).select("tile", reason.alias("reason"))
 
 
 def top_k(products: DataFrame, k: int, keys: tuple[str, ...] = ("tile", "season")) -> DataFrame:
@@ -57,8 +103,10 @@ def complete_tiles(products: DataFrame, n_seasons: int) -> DataFrame:
 
 
 def composite_identity(products: DataFrame, keys: tuple[str, ...] = ("tile", "season"), training: bool = True) -> DataFrame:
-    """Hash of the sorted titles and the mode, date range, title and sources of each composite."""
-    g = products.groupBy(*keys).agg(F.array_sort(F.collect_list("title")).alias("titles"), F.min("ts").alias("first_date"), F.max("ts").alias("last_date"), F.min(names.title_tile(F.col("title"))).alias("title_tile"))
+    """Hash of the sorted titles and the mode, date range, title and sources of each composite.
+    Products of different tiles in one composite are an error."""
+    g = products.groupBy(*keys).agg(F.array_sort(F.collect_list("title")).alias("titles"), F.min("ts").alias("first_date"), F.max("ts").alias("last_date"), F.min(names.title_tile(F.col("title"))).alias("title_tile"), F.max(names.title_tile(F.col("title"))).alias("_other"))
+    g = g.withColumn("title_tile", F.when(F.col("title_tile") != F.col("_other"), F.raise_error(F.concat_ws(" ", F.lit("a composite of tiles"), "title_tile", "_other"))).otherwise(F.col("title_tile"))).drop("_other")
     g = g.withColumn("hash", F.sha2(F.concat(F.array_join("titles", ""), F.lit("0" if training else "1")), 256))
     fmt = lambda c: F.date_format(c, "yyyyMMdd")
     return g.withColumn("composite_title", names.composite_title(fmt("first_date"), fmt("last_date"), F.col("title_tile"), F.col("hash"), training))
@@ -113,5 +161,16 @@ def availability(products: DataFrame, keys: tuple[str, ...] = ("tile", "season")
 def quality_map(products: DataFrame, value: str = "nodata") -> DataFrame:
     """One JSON object a tile: season -> title -> value (rounded to 6 places)."""
     per = products.groupBy("tile", "season").agg(F.array_sort(F.collect_list(F.struct("title", F.round(value, 6).alias("v")))).alias("m"))
-    per = per.select("tile", F.struct("season", F.map_from_entries("m").alias("m")).alias("s"))
-    return per.groupBy("tile").agg(F.to_json(F.map_from_entries(F.array_sort(F.transform(F.collect_list("s"), lambda s: F.struct(s["season"].alias("season"), F.to_json(s["m"]).alias("m")))))).alias("json"))
+    seasons = F.transform(F.array_sort(F.collect_list(F.struct("season", "m"))), lambda s: F.struct(s["season"], F.map_from_entries(s["m"])))
+    return per.groupBy("tile").agg(F.to_json(F.map_from_entries(seasons)).alias("json"))
+
+
+def availability_log(products: DataFrame, keys: tuple[str, ...] = ("tile", "season")) -> DataFrame:
+    """One line of text for each group whose availability is poor (tiers 0 to 3)."""
+    text = F.when(F.col("tier") == 0, "no product").when(F.col("tier") == 1, "one product, not complete").when(F.col("tier") == 2, "one product, complete").otherwise("several products, none complete")
+    return availability(products, keys).where("tier IS NOT NULL").select(*keys, "tier", F.concat_ws(" ", *[F.concat(F.lit(f"{k}="), F.col(k)) for k in keys], text).alias("line"))
+
+
+def classified_share(tiles: DataFrame, fractions: DataFrame) -> DataFrame:
+    """tiles with nodata_fraction, two decimals as text; "1" for a tile that has no raster."""
+    return tiles.join(fractions.select("tile", "nodata_fraction"), "tile", "left").withColumn("nodata_fraction", F.coalesce("nodata_fraction", F.lit("1")))

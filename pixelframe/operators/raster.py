@@ -181,3 +181,47 @@ def dem_cells_of_tiles(cells: DataFrame, tiles: DataFrame) -> DataFrame:
 def nodata_share(pixels: DataFrame, keys: list[str], value: str = "v") -> DataFrame:
     zero = F.count_if(F.col(value) == 0)
     return pixels.groupBy(*keys).agg((zero * 100.0 / F.count("*")).alias("nodata_pct"), F.format_string("%.2f", zero / F.count("*")).alias("nodata_fraction"))
+
+
+def masks_by_resolution(scl: DataFrame, sides: dict[int, int | tuple[int, int]], expanded: bool = True, keys: tuple[str, ...] = ("title",), side: float = 600.0, share: float = 0.075) -> DataFrame:
+    """(keys, res, row, col, mask) from scene classes (keys, res, row, col, scl) at 20 and 60 m:
+    each one's cloud mask, expanded for training, and at 10 m the 20 m one on the finer grid.
+    sides: pixels a side (or height and width) at each resolution."""
+    made = []
+    for res in (20, 60):
+        height, width = sides[res] if isinstance(sides[res], tuple) else (sides[res], sides[res])
+        m = scl.where(F.col("res") == res).select(*keys, "row", "col", F.when(is_cloud("scl"), 1).otherwise(0).alias("mask"))
+        made.append(expand_mask(m, list(keys), height, width, res, side, share) if expanded else m)
+    fine = upsample(made[0], 2)
+    out = [m.select(*keys, F.lit(res).alias("res"), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), F.col("mask").cast("int").alias("mask")) for res, m in ((10, fine), (20, made[0]), (60, made[1]))]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def window_slices(grids: DataFrame, down: int, across: int) -> DataFrame:
+    """Windows (row0, col0, height, width) of grids(tile, height, width): down x across of equal
+    size, the last of each line with the remainder, so that no strip is left out."""
+    at = lambda n, parts, i: F.floor(F.col(n) / parts) * i
+    size = lambda n, parts, i: F.when(i == parts - 1, F.col(n) - at(n, parts, i)).otherwise(F.floor(F.col(n) / parts))
+    g = grids.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(down - 1)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
+    i, j = F.col("i"), F.col("j")
+    return g.select("tile", at("height", down, i).alias("row0"), at("width", across, j).alias("col0"), size("height", down, i).alias("h"), size("width", across, j).alias("w")).withColumnsRenamed({"h": "height", "w": "width"})
+
+
+def terrain_source(kind: Column) -> Column:
+    """Which store holds a terrain layer: elevations apart from what is derived from them."""
+    return F.when(kind == "dem", "dem").when(kind.isin("slope", "aspect"), "derived").otherwise(F.raise_error(F.concat(F.lit("unknown terrain layer "), kind)))
+
+
+def terrain(cells: DataFrame, tiles: DataFrame, values: DataFrame, grid: DataFrame, row: Column, col: Column, value: str = "v") -> DataFrame:
+    """The elevation of each grid pixel of each tile. cells(name, lat, lon) and tiles(tile, xmin,
+    ymin, xmax, ymax) give the cells of a tile; values(name, row, col, v), placed in
+    the mosaic, are mosaicked by name, first value wins; grid(tile, row, col) is looked up at the mosaic position (row, col).
+    A tile without any cell has no rows here: see missing_terrain."""
+    of = dem_cells_of_tiles(cells, tiles)
+    first = mosaic(of.join(values, "name").withColumnRenamed("name", "ord"), ["tile"], value)
+    return reproject(grid.join(of.select("tile").distinct(), "tile", "left_semi"), first, row, col, ["tile"], value)
+
+
+def missing_terrain(cells: DataFrame, tiles: DataFrame) -> DataFrame:
+    """(tile, reason) of tiles that no elevation cell touches."""
+    return tiles.select("tile").join(dem_cells_of_tiles(cells, tiles).select("tile").distinct(), "tile", "left_anti").withColumn("reason", F.lit("no elevation cell"))

@@ -146,12 +146,64 @@ def _(spark, d):
     return products.availability(p).select("tile", "season", "n", "tier")
 
 
-@query("products_json", TOPK + "SELECT tile, '{' || string_agg('\"' || season || '\":' || m, ',' ORDER BY season) || '}' AS json FROM (SELECT tile, season, '{' || string_agg('\"' || title || '\":' || CAST(rank AS VARCHAR), ',' ORDER BY title) || '}' AS m FROM ranked WHERE rank <= 3 GROUP BY tile, season) GROUP BY tile")
+@query("products_json", TOPK + "SELECT tile, '{' || string_agg('\"' || season || '\":' || m, ',' ORDER BY season) || '}' AS json FROM (SELECT tile, season, '{' || string_agg('\"' || title || '\":' || printf('%.1f', nodata), ',' ORDER BY title) || '}' AS m FROM ranked WHERE rank <= 3 GROUP BY tile, season) GROUP BY tile")
 def _(spark, d):
-    top = products.top_k(seasonal(spark, d).where("useful > 30"), 3)
-    per = top.groupBy("tile", "season").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("title", "rank"))))).alias("m"))
-    text = F.concat(F.lit('"'), F.col("season"), F.lit('":'), F.col("m"))
-    return per.groupBy("tile").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(text)), ","), F.lit("}")).alias("json"))
+    return products.quality_map(products.top_k(seasonal(spark, d).where("useful > 30"), 3))
+
+
+@query("product_search", with_(PRODUCTS) + "SELECT title, tile, ts FROM products WHERE starts_with(title, 'S2') AND split_part(title, '_', 2) = 'MSIL2A' AND cloud * 100.0::DOUBLE BETWEEN 0 AND 40 AND ts >= TIMESTAMP '1995-01-01' AND ts < TIMESTAMP '1998-01-01'")
+def _(spark, d):
+    return products.search(P.products(spark, d), "1995-01-01", "1998-01-01", cloud=(0.0, 40.0)).select("title", "tile", "ts")
+
+
+@query("product_by_title", with_(PRODUCTS) + "SELECT title, tile, product_id FROM products WHERE product_id % 7 = 0")
+def _(spark, d):
+    p = P.products(spark, d)
+    return products.by_title(p.where("product_id % 7 = 0").select("title"), p).select("title", "tile", "product_id")
+
+
+@query("composite_lookup", TOPK + "SELECT tile, season, 'S2E_MSIL2A_' || strftime(min(ts), '%Y%m%d') || '_NXXX_RXXX_T' || tile || '_' || strftime(max(ts), '%Y%m%d') || '_' || substr(sha256(string_agg(title, '' ORDER BY title) || '0'), 1, 8) AS composite_title, season = 'spring' AS known FROM ranked WHERE rank <= 3 GROUP BY tile, season")
+def _(spark, d):
+    made = products.composite_identity(products.top_k(seasonal(spark, d).where("useful > 30"), 3)).select("tile", "season", "composite_title")
+    known, missing = products.known_composites(made, made.where("season = 'spring'"))
+    return known.withColumn("known", F.lit(True)).unionByName(missing.withColumn("known", F.lit(False)))
+
+
+@query("union_tiles", "SELECT c_nationkey AS tile FROM customer WHERE c_acctbal > 9000 UNION SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000")
+def _(spark, d):
+    return products.all_tiles(P.table(spark, d, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("tile")), P.table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("tile")))
+
+
+@query("skipped_tiles", BASE + ", want AS (SELECT DISTINCT '30SU' || substr('EFGHJKLM', CAST(n_nationkey % 8 + 1 AS INT), 1) AS tile FROM nation), n AS (SELECT tile, count(DISTINCT season) AS n FROM seasonal WHERE useful > 75 AND (season <> 'summer' OR tile <> '30SUF') GROUP BY tile) SELECT tile, CASE WHEN n IS NULL THEN 'no products' ELSE (3 - n) || ' seasons without products' END AS reason FROM want LEFT JOIN n USING (tile) WHERE coalesce(n, 0) < 3")
+def _(spark, d):
+    want = P.table(spark, d, "nation").select(F.concat(F.lit("30SU"), F.substring(F.lit("EFGHJKLM"), (F.col("n_nationkey") % 8 + 1).cast("int"), F.lit(1))).alias("tile"))
+    return products.skipped(want, seasonal(spark, d).where("useful > 75 AND (season <> 'summer' OR tile <> '30SUF')"), 3)
+
+
+TIER_SQL = "CASE WHEN count(nodata) = 0 THEN 0 WHEN count(nodata) = 1 AND max(nodata) > 10 THEN 1 WHEN count(nodata) = 1 THEN 2 WHEN min(nodata) > 10 THEN 3 END"
+
+
+@query("availability_log", BASE + f", t AS (SELECT tile, season, {TIER_SQL} AS tier FROM (SELECT tile || '_' || (product_id % 40) AS tile, season, nodata FROM seasonal) GROUP BY tile, season) SELECT tile, season, tier, 'tile=' || tile || ' season=' || season || ' ' || CASE tier WHEN 0 THEN 'no product' WHEN 1 THEN 'one product, not complete' WHEN 2 THEN 'one product, complete' ELSE 'several products, none complete' END AS line FROM t WHERE tier IS NOT NULL")
+def _(spark, d):
+    return products.availability_log(seasonal(spark, d).withColumn("tile", F.concat_ws("_", "tile", (F.col("product_id") % 40).cast("string"))))
+
+
+@query("cloud_json", BASE + "SELECT tile, '{' || string_agg('\"' || season || '\":' || m, ',' ORDER BY season) || '}' AS json FROM (SELECT tile, season, '{' || string_agg('\"' || title || '\":' || CAST(cloud AS VARCHAR), ',' ORDER BY title) || '}' AS m FROM seasonal GROUP BY tile, season) GROUP BY tile")
+def _(spark, d):
+    return products.quality_map(seasonal(spark, d), "cloud")
+
+
+FILES_SQL = "files AS (SELECT l_orderkey AS title, l_linenumber AS n, CASE l_linenumber WHEN 1 THEN 'p/SCL_20m.jp2' WHEN 2 THEN 'p/SCL_60m.jp2' WHEN 3 THEN 'p/B01_60m.jp2' WHEN 4 THEN 'p/B01_20m.jp2' ELSE 'p/B08_10m.jp2' END AS path, CASE l_linenumber WHEN 1 THEN 20 WHEN 2 THEN 60 WHEN 3 THEN 60 WHEN 4 THEN 20 ELSE 10 END AS res, l_quantity < 45 AS meta_ok, l_discount < 0.1 AS read_ok FROM lineitem)"
+
+
+@query("integrity_files", with_(FILES_SQL) + ", b AS (SELECT title, bool_and(meta_ok AND read_ok) AS ok FROM files WHERE n <= 4 GROUP BY title) SELECT o_orderkey AS title FROM orders LEFT JOIN b ON o_orderkey = title WHERE coalesce(ok, TRUE)")
+def _(spark, d):
+    n = F.col("l_linenumber")
+    at = lambda *v: F.element_at(F.array(*[F.lit(x) for x in v]), F.least(n, F.lit(5)).cast("int"))
+    files = P.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("title"), at("p/SCL_20m.jp2", "p/SCL_60m.jp2", "p/B01_60m.jp2", "p/B01_20m.jp2", "p/B08_10m.jp2").alias("path"), at(20, 60, 60, 20, 10).alias("res"), "l_quantity", "l_discount")
+    side = F.element_at(F.create_map(*[F.lit(x) for kv in products.SIDES.items() for x in kv]), F.col("res"))
+    files = files.withColumns({"meta_side": F.when(F.col("l_quantity") < 45, side).otherwise(1), "read_side": F.when(F.col("l_discount") < 0.1, side).otherwise(2)})
+    return products.intact(P.table(spark, d, "orders").select(F.col("o_orderkey").alias("title")), products.checked_bands(files))
 
 
 RASTERS = (
@@ -183,7 +235,7 @@ def _(spark, d):
     return products.used_rasters(rasters(spark, d), ["s0_B01", "s1_ndvi", "s1_B03"]).select("title", "season", "name", "path")
 
 
-@query("band_complete", "SELECT l_returnflag AS composite, l_linenumber AS band FROM lineitem WHERE l_suppkey <= 40 GROUP BY 1, 2 HAVING count(DISTINCT l_suppkey) = 40")
+@query("band_complete", "WITH own AS (SELECT l_returnflag AS composite, count(DISTINCT l_suppkey) AS k FROM lineitem GROUP BY 1), n AS (SELECT l_returnflag AS composite, l_linenumber AS band, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1, 2) SELECT composite, band FROM n JOIN own USING (composite) WHERE n = k")
 def _(spark, d):
     q = P.table(spark, d, "lineitem")
     return raster.complete_bands(q.select(F.col("l_returnflag").alias("composite"), F.col("l_linenumber").alias("band"), F.col("l_suppkey").alias("title")))
@@ -235,25 +287,49 @@ def _reflected(axis: str, size: str, src: str, reach: int) -> str:
     return f"(SELECT tile, {axis}, {other}, m FROM {src} UNION ALL SELECT tile, -{axis} - 1, {other}, m FROM {src} WHERE {axis} < {reach} UNION ALL SELECT tile, 2 * {size} - 1 - {axis}, {other}, m FROM {src} WHERE {axis} >= {size} - {reach})"
 
 
+def _expanded(mask: str, n: int, to: str) -> str:
+    """CTEs that widen mask(tile, row, col, m) of 500 x 64 pixels by a box of n x n."""
+    low, high = n // 2 - 1, n // 2
+    return (
+        f"{to}_a AS (SELECT tile, row, col, sum(m) OVER (PARTITION BY tile, col ORDER BY row RANGE BETWEEN {low} PRECEDING AND {high} FOLLOWING) AS m FROM {_reflected('row', '500', mask, high)}), {to}_r AS (SELECT * FROM {to}_a WHERE row BETWEEN 0 AND 499), "
+        f"{to}_b AS (SELECT tile, row, col, sum(m) OVER (PARTITION BY tile, row ORDER BY col RANGE BETWEEN {low} PRECEDING AND {high} FOLLOWING) AS m FROM {_reflected('col', '64', f'{to}_r', high)}), "
+        f"{to} AS (SELECT tile, row, col, CASE WHEN {to}_b.m >= {n * n * 0.075!r}::DOUBLE THEN 1 ELSE {mask}.m END AS m FROM {mask} JOIN {to}_b USING (tile, row, col))"
+    )
+
+
+MASK = "mask AS (SELECT tile, row, col, CASE WHEN v > 0.25 THEN 1 ELSE 0 END AS m FROM grid)"
+
+
+def _cloud_expand(name: str, res: int):
+    @query(name, with_(GRID, MASK, _expanded("mask", 600 // res, "wide")) + "SELECT tile, row, col, m AS mask FROM wide")
+    def run(spark, d):
+        mask = P.grid(spark, d).select("tile", "row", "col", F.when(F.col("v") > 0.25, 1).otherwise(0).alias("mask"))
+        return raster.expand_mask(mask, ["tile"], 500, 64, res)
+
+
+for _name, _res in (("cloud_expand", 60), ("cloud_expand_20m", 20), ("cloud_expand_10m", 10)):
+    _cloud_expand(_name, _res)
+
+
+SCL = "scl AS (SELECT tile, row, col, CAST(floor((v + 2) * 7) AS INT) % 12 AS s FROM grid), plain AS (SELECT tile, row, col, CASE WHEN s IN (3,8,9,10,11) THEN 1 ELSE 0 END AS m FROM scl)"
+
+
 @query(
-    "cloud_expand",
-    with_(GRID)
-    + ", mask AS (SELECT tile, row, col, CASE WHEN v > 0.25 THEN 1 ELSE 0 END AS m FROM grid WHERE row < 500)"
-    + f", a AS (SELECT tile, row, col, sum(m) OVER (PARTITION BY tile, col ORDER BY row RANGE BETWEEN 4 PRECEDING AND 5 FOLLOWING) AS m FROM {_reflected('row', '500', 'mask', 5)}), a2 AS (SELECT * FROM a WHERE row BETWEEN 0 AND 499)"
-    + f", b AS (SELECT tile, row, col, sum(m) OVER (PARTITION BY tile, row ORDER BY col RANGE BETWEEN 4 PRECEDING AND 5 FOLLOWING) AS m FROM {_reflected('col', '64', 'a2', 5)})"
-    + " SELECT mask.tile, mask.row, mask.col, CASE WHEN b.m >= 7.5 THEN 1 ELSE mask.m END AS mask FROM mask JOIN b USING (tile, row, col)",
+    "masks_by_resolution",
+    with_(GRID, SCL, _expanded("plain", 30, "w20"), _expanded("plain", 10, "w60"))
+    + "SELECT tile, 10 AS res, row * 2 + a AS row, col * 2 + b AS col, m AS mask FROM w20, range(2) x(a), range(2) y(b) UNION ALL SELECT tile, 20, row, col, m FROM w20 UNION ALL SELECT tile, 60, row, col, m FROM w60",
 )
 def _(spark, d):
-    mask = P.grid(spark, d).select("tile", "row", "col", F.when(F.col("v") > 0.25, 1).otherwise(0).alias("mask"))
-    return raster.expand_mask(mask, ["tile"], 500, 64, 60)
+    scl = P.grid(spark, d).select("tile", F.explode(F.array(F.lit(20), F.lit(60))).alias("res"), "row", "col", (F.floor((F.col("v") + 2.0) * 7.0).cast("int") % 12).alias("scl"))
+    return raster.masks_by_resolution(scl, {20: (500, 64), 60: (500, 64)}, keys=("tile",))
 
 
-@query("resample_nearest", with_(GRID) + "SELECT tile, row * 2 + a AS row, col * 2 + b AS col, round(v, 6) AS v FROM grid, range(2) x(a), range(2) y(b) WHERE row < 100")
+@query("resample_nearest", with_(GRID) + "SELECT tile, row * 2 + a AS row, col * 2 + b AS col, round(v, 6) AS v FROM grid, range(2) x(a), range(2) y(b)")
 def _(spark, d):
     return raster.upsample(P.grid(spark, d), 2).withColumn("v", r6(F.col("v")))
 
 
-@query("coarse_join", with_(GRID) + "SELECT f.tile, f.row, f.col, round(f.v, 6) AS v, round(c.v, 6) AS coarse FROM grid f JOIN grid c ON f.tile = c.tile AND f.row // 6 = c.row AND f.col // 6 = c.col")
+@query("coarse_join", with_(GRID) + ", f AS MATERIALIZED (SELECT tile, row, col, v, row // 6 AS crow, col // 6 AS ccol FROM grid), c AS MATERIALIZED (SELECT tile, row AS crow, col AS ccol, v AS coarse FROM grid) SELECT tile, row, col, round(v, 6) AS v, round(coarse, 6) AS coarse FROM f JOIN c USING (tile, crow, ccol)")
 def _(spark, d):
     g = P.grid(spark, d)
     return raster.coarse_join(g, g.withColumnRenamed("v", "coarse"), 6, ["tile"]).select("tile", "row", "col", r6(F.col("v")).alias("v"), r6(F.col("coarse")).alias("coarse"))
@@ -270,26 +346,35 @@ def _(spark, d):
     return raster.mosaic(g, ["tile"]).withColumn("v", r6(F.col("v")))
 
 
-@query("crop_pad", with_(GRID) + ", s AS (SELECT tile, row - 10 AS row, col - 5 AS col, v FROM grid WHERE row BETWEEN 10 AND 59 AND col BETWEEN 5 AND 44), g AS (SELECT DISTINCT tile, row, col FROM grid WHERE row < 80 AND col < 64) SELECT tile, row, col, round(coalesce(v, 0), 6) AS v FROM g LEFT JOIN s USING (tile, row, col)")
+@query("crop_pad", with_(GRID) + ", s AS (SELECT tile, row - 10 AS row, col - 5 AS col, v FROM grid WHERE row BETWEEN 10 AND 59 AND col BETWEEN 5 AND 44), g AS (SELECT DISTINCT tile, row, col FROM grid) SELECT tile, row, col, round(coalesce(v, 0), 6) AS v FROM g LEFT JOIN s USING (tile, row, col)")
 def _(spark, d):
     g = P.grid(spark, d)
     return raster.onto_grid(g.select("tile", "row", "col").distinct(), raster.crop(g, 10, 5, 50, 40), ["tile"], "v", 0.0).withColumn("v", r6(F.col("v")))
 
 
-@query("reproject_nearest", with_(GRID) + ", g AS (SELECT tile, row, col FROM grid) SELECT g.tile, g.row, g.col, round(s.v, 6) AS v FROM g LEFT JOIN grid s ON g.tile = s.tile AND s.row = CAST(floor(g.row * 0.9::DOUBLE + 2) AS BIGINT) AND s.col = CAST(floor(g.col * 1.1::DOUBLE - 3) AS BIGINT)")
+@query("reproject_nearest", with_(GRID) + ", g AS MATERIALIZED (SELECT tile, row, col, CAST(floor(row * 0.9::DOUBLE + 2) AS BIGINT) AS srow, CAST(floor(col * 1.1::DOUBLE - 3) AS BIGINT) AS scol FROM grid), s AS MATERIALIZED (SELECT tile, row AS srow, col AS scol, v FROM grid) SELECT tile, row, col, round(v, 6) AS v FROM g LEFT JOIN s USING (tile, srow, scol)")
 def _(spark, d):
     g = P.grid(spark, d)
     return raster.reproject(g.select("tile", "row", "col"), g, F.floor(F.col("row") * 0.9 + 2.0), F.floor(F.col("col") * 1.1 - 3.0), ["tile"], "v").withColumn("v", r6(F.col("v")))
 
 
-@query("geometry_mask", with_(GRID) + "SELECT tile, row, col, CASE WHEN col >= 10 AND col < 9.5::DOUBLE + 0.4::DOUBLE * (row - 20) AND row > 20 AND row <= 120 THEN round(v, 6) END AS v FROM grid WHERE row < 200")
+@query("geometry_mask", with_(GRID) + "SELECT tile, row, col, CASE WHEN col >= 10 AND col < 9.5::DOUBLE + 0.4::DOUBLE * (row - 20) AND row > 20 AND row <= 120 THEN round(v, 6) END AS v FROM grid")
 def _(spark, d):
     ring = F.expr("array(array(9.5D, 20.0D), array(9.5D, 120.0D), array(49.5D, 120.0D))")
     y, x = F.col("row").cast("double"), F.col("col").cast("double")
     return raster.mask_outside(P.grid(spark, d).withColumn("v", r6(F.col("v"))), "v", geo.contains(ring, x, y - 1e-9)).select("tile", "row", "col", "v")
 
 
-@query("slope_aspect", with_(GRID) + ", w AS (SELECT a.tile, a.row, a.col, " + ", ".join(f"n{r}{c}.v AS n{r}{c}" for r in range(3) for c in range(3)) + " FROM grid a " + " ".join(f"LEFT JOIN grid n{r}{c} ON n{r}{c}.tile = a.tile AND n{r}{c}.row = a.row + {r - 1} AND n{r}{c}.col = a.col + {c - 1}" for r in range(3) for c in range(3)) + " WHERE a.row < 150), s AS (SELECT tile, row, col, ((n02 + 2*n12 + n22) - (n00 + 2*n10 + n20)) / 80.0::DOUBLE AS dx, ((n00 + 2*n01 + n02) - (n20 + 2*n21 + n22)) / 80.0::DOUBLE AS dy FROM w) SELECT tile, row, col, round(degrees(atan(sqrt(dx*dx + dy*dy))), 6) AS slope FROM s")
+_ACROSS, _DOWN = "OVER (PARTITION BY tile, row ORDER BY col)", "OVER (PARTITION BY tile, col ORDER BY row)"
+SLOPE = (
+    f"a AS (SELECT tile, row, col, lag(v) {_ACROSS} AS v0, v AS v1, lead(v) {_ACROSS} AS v2 FROM grid), "
+    f"w AS (SELECT tile, row, col, {', '.join(f'lag(v{c}) {_DOWN} AS n0{c}, v{c} AS n1{c}, lead(v{c}) {_DOWN} AS n2{c}' for c in range(3))} FROM a), "
+    "s AS (SELECT tile, row, col, ((n02 + 2*n12 + n22) - (n00 + 2*n10 + n20)) / 80.0::DOUBLE AS dx, ((n00 + 2*n01 + n02) - (n20 + 2*n21 + n22)) / 80.0::DOUBLE AS dy FROM w), "
+    "t AS (SELECT *, degrees(atan2(-dy, -dx)) AS turn FROM s) "
+)
+
+
+@query("slope_aspect", with_(GRID, SLOPE) + "SELECT tile, row, col, round(degrees(atan(sqrt(dx*dx + dy*dy))), 6) AS slope, round(CASE WHEN turn < 0 THEN turn + 360 ELSE turn END, 6) AS aspect FROM t")
 def _(spark, d):
     return raster.slope_aspect(P.grid(spark, d), ["tile"], 10.0).select("tile", "row", "col", r6(F.col("slope")).alias("slope"), r6(F.col("aspect")).alias("aspect"))
 
@@ -299,6 +384,17 @@ def _(spark, d):
     return raster.nodata_share(P.px(spark, d), ["tile"], "B08").select("tile", r6(F.col("nodata_pct").cast("double")).alias("nodata_pct"))
 
 
+@query("classified_share", with_(PX) + ", f AS (SELECT tile, printf('%.2f', sum(CASE WHEN B08 = 0 THEN 1 ELSE 0 END)::DOUBLE / count(*)) AS f FROM px GROUP BY tile) SELECT n_nationkey AS tile, coalesce(f, '1') AS nodata_fraction FROM nation LEFT JOIN f ON n_nationkey = tile")
+def _(spark, d):
+    return products.classified_share(P.table(spark, d, "nation").select(F.col("n_nationkey").alias("tile")), raster.nodata_share(P.px(spark, d), ["tile"], "B08"))
+
+
+@query("window_slices", "SELECT s_suppkey AS tile, h // 3 * i AS row0, w // 4 * j AS col0, CASE WHEN i = 2 THEN h - h // 3 * 2 ELSE h // 3 END AS height, CASE WHEN j = 3 THEN w - w // 4 * 3 ELSE w // 4 END AS width FROM (SELECT s_suppkey, 100 + s_suppkey % 50 AS h, 90 + s_suppkey % 7 AS w FROM supplier), range(3) x(i), range(4) y(j)")
+def _(spark, d):
+    k = F.col("s_suppkey")
+    return raster.window_slices(P.table(spark, d, "supplier").select(k.alias("tile"), (100 + k % 50).alias("height"), (90 + k % 7).alias("width")), 3, 4)
+
+
 CELLS = "cells AS (SELECT CASE WHEN lat < 0 THEN 'S' ELSE 'N' END || lpad(CAST(abs(lat) AS VARCHAR), 2, '0') || CASE WHEN lon < 0 THEN 'W' ELSE 'E' END || lpad(CAST(abs(lon) AS VARCHAR), 3, '0') AS name, lat, lon FROM (SELECT CAST(p_partkey % 30 + 22 AS INT) AS lat, CAST(p_partkey % 57 - 14 AS INT) AS lon FROM part GROUP BY 1, 2))"
 
 
@@ -320,6 +416,41 @@ def _(spark, d):
     return raster.dem_cells_of_tiles(dem_cells(spark, d), t.withColumns({"ymax": F.col("ymin") + 1.05, "xmax": F.col("xmin") + 1.05}))
 
 
+TERRAIN = (
+    "tiles AS (SELECT s_suppkey AS tile, 15 + (s_suppkey % 180) / 5.0::DOUBLE AS ymin, -10 + (s_suppkey % 370) / 10.0::DOUBLE AS xmin FROM supplier), "
+    "pairs AS (SELECT tile, name FROM tiles JOIN cells ON lat < ymin + 1.05::DOUBLE AND lat + 1 > ymin AND lon < xmin + 1.05::DOUBLE AND lon + 1 > xmin)"
+)
+
+
+def dem_tiles(spark, d):
+    k = F.col("s_suppkey")
+    t = P.table(spark, d, "supplier").select(k.alias("tile"), (15 + (k % 180) / 5.0).alias("ymin"), (-10 + (k % 370) / 10.0).alias("xmin"))
+    return t.withColumns({"ymax": F.col("ymin") + 1.05, "xmax": F.col("xmin") + 1.05})
+
+
+@query(
+    "dem_terrain",
+    with_(CELLS, TERRAIN)
+    + ", vals AS (SELECT c.name, p_size % 8 AS row, p_partkey % 8 AS col, max(p_retailprice) AS v FROM part JOIN cells c ON c.lat = p_partkey % 30 + 22 AND c.lon = p_partkey % 57 - 14 GROUP BY 1, 2, 3)"
+    + ", first AS (SELECT tile, row, col, arg_min(v, name) AS v FROM pairs JOIN vals USING (name) GROUP BY 1, 2, 3), g AS (SELECT DISTINCT tile, r.r AS row, c.c AS col FROM pairs, range(6) r(r), range(6) c(c))"
+    + " SELECT g.tile, g.row, g.col, round(f.v, 6) AS v FROM g LEFT JOIN first f ON f.tile = g.tile AND f.row = CAST(floor(g.row * 1.2::DOUBLE + 0.5) AS BIGINT) AND f.col = CAST(floor(g.col * 1.1::DOUBLE) AS BIGINT)",
+)
+def _(spark, d):
+    part = P.table(spark, d, "part")
+    name = geo.cell_name((F.col("p_partkey") % 30 + 22).cast("int"), (F.col("p_partkey") % 57 - 14).cast("int"))
+    values = part.groupBy(name.alias("name"), (F.col("p_size") % 8).alias("row"), (F.col("p_partkey") % 8).alias("col")).agg(F.max("p_retailprice").alias("v"))
+    tiles = dem_tiles(spark, d)
+    side = F.sequence(F.lit(0), F.lit(5))
+    grid = tiles.select("tile", F.explode(side).alias("row")).select("tile", "row", F.explode(side).alias("col")).select("tile", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"))
+    out = raster.terrain(dem_cells(spark, d), tiles, values, grid, F.floor(F.col("row") * 1.2 + 0.5), F.floor(F.col("col") * 1.1))
+    return out.select("tile", "row", "col", r6(F.col("v")).alias("v"))
+
+
+@query("missing_terrain", with_(CELLS, TERRAIN) + "SELECT tile, 'no elevation cell' AS reason FROM tiles WHERE tile NOT IN (SELECT tile FROM pairs)")
+def _(spark, d):
+    return raster.missing_terrain(dem_cells(spark, d), dem_tiles(spark, d))
+
+
 # ---------------------------------------------------------------- geography
 def _utm_sql() -> str:
     z = "(CAST(floor((lon + 180) / 6) AS INT) % 60 + 1)"
@@ -391,13 +522,13 @@ def _(spark, d):
     return features.assemble(layers, ["tile"])
 
 
-@query("widen_seasons", with_(GRID) + "SELECT tile, row, col % 16 AS col, " + ", ".join(f"round(max(CASE WHEN col // 16 = {i} THEN v END), 6) AS s{i}_v" for i in range(4)) + " FROM grid WHERE row < 60 GROUP BY 1, 2, 3")
+@query("widen_seasons", with_(GRID) + "SELECT tile, row, col % 16 AS col, " + ", ".join(f"round(max(CASE WHEN col // 16 = {i} THEN v END), 6) AS s{i}_v" for i in range(4)) + " FROM grid GROUP BY 1, 2, 3")
 def _(spark, d):
     g = P.grid(spark, d).select("tile", "row", (F.col("col") % 16).alias("col"), F.concat(F.lit("s"), F.floor(F.col("col") / 16).cast("string")).alias("season"), F.lit("v").alias("name"), r6(F.col("v")).alias("v"))
     return features.widen(g, ["tile"], columns=[f"s{i}_v" for i in range(4)])
 
 
-@query("union_by_name", with_(PX) + "SELECT vec_id, B02, NULL::DOUBLE AS B03 FROM pv WHERE tile = 0 UNION ALL SELECT vec_id, NULL::DOUBLE, B03 FROM pv WHERE tile = 1")
+@query("union_by_name", with_(PX) + "SELECT vec_id, CASE WHEN tile IS DISTINCT FROM 1 THEN B02 END AS B02, CASE WHEN tile IS DISTINCT FROM 0 THEN B03 END AS B03 FROM pv")
 def _(spark, d):
     p = P.px(spark, d)
     b02, b03 = (indices.valid(b).alias(b) for b in ("B02", "B03"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass, field, fields
 from enum import Enum
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..operators.products import SIDES
 
 
 class Mode(Enum):
@@ -33,19 +35,41 @@ class Settings:
     lc_codes: dict[str, int] = field(default_factory=dict)
     sl_codes: dict[str, int] = field(default_factory=dict)
 
+    tiles: list[str] = field(default_factory=list)
+    sides: dict[int, int] = field(default_factory=lambda: dict(SIDES))
+
     @classmethod
     def from_environment(cls, prefix: str = "PIXELFRAME_") -> Settings:
+        """Plain values as they are, lists and maps as JSON."""
         out = cls()
         for f in fields(cls):
             value = os.environ.get(prefix + f.name.upper())
-            if value is not None and f.name not in ("lc_codes", "sl_codes"):
-                setattr(out, f.name, type(getattr(out, f.name))(value))
+            if value is None:
+                continue
+            old = getattr(out, f.name)
+            if not isinstance(old, (list, dict)):
+                setattr(out, f.name, type(old)(value))
+                continue
+            try:
+                made = json.loads(value)
+            except ValueError as e:
+                raise ValueError(f"{prefix}{f.name.upper()} is no JSON: {e}") from None
+            if type(made) is not type(old):
+                raise ValueError(f"{prefix}{f.name.upper()} must be a JSON {'list' if isinstance(old, list) else 'object'}")
+            setattr(out, f.name, made)
         return out
 
 
 def tiles_of_area(spark: SparkSession, south: float, north: float, west: float, east: float, step: float = 0.25) -> DataFrame:
     """The 100 km squares that a latitude-longitude box touches, found on a grid of `step`
-    degrees (a square is about a degree wide). Areas of interest are boxes or lists of tiles."""
-    n_lat, n_lon = int((north - south) / step) + 1, int((east - west) / step) + 1
-    grid = spark.range(n_lat * n_lon).select((F.lit(south) + F.floor(F.col("id") / n_lon) * step).alias("lat"), (F.lit(west) + (F.col("id") % n_lon) * step).alias("lon"))
-    return grid.select(geo.mgrs_tile(F.col("lat"), F.col("lon")).alias("tile")).where("tile IS NOT NULL").distinct()
+    degrees that also has the far edges and both sides of every seam of zones (6 degrees of
+    longitude) and bands (8 degrees of latitude)."""
+
+    def places(low: float, high: float, seam: float) -> list[float]:
+        regular = [low + i * step for i in range(int((high - low) / step) + 1)]
+        seams = [s * seam for s in range(int(low // seam), int(high // seam) + 2)]
+        return sorted({*regular, high, *(x for s in seams for x in (s - 1e-6, s + 1e-6) if low <= x <= high)})
+
+    lat = spark.createDataFrame([(x,) for x in places(south, north, 8.0)], "lat double")
+    lons = F.array(*[F.lit(x) for x in places(west, east, 6.0)])
+    return lat.select("lat", F.explode(lons).alias("lon")).select(geo.mgrs_tile(F.col("lat"), F.col("lon")).alias("tile")).where("tile IS NOT NULL").distinct()

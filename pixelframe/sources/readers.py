@@ -8,16 +8,32 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SEASONS = "map<string,struct<start:date,end:date>>"
 
 
+def file_order(raw: DataFrame, to: str) -> DataFrame:
+    """raw with a number that ascends as its rows stand in their file, however Spark splits it:
+    bytes before the file and the split, and rows before within the split. raw has `_m`, the
+    file metadata, and `_i`, an ascending number in each task."""
+    split = ["_m.file_path", "_m.file_block_start"]
+    first = raw.groupBy(*[F.col(c) for c in split]).agg(F.min("_i").alias("_first"), F.first("_m.file_size").alias("_size"))  # a row a split
+    files = first.groupBy("file_path").agg(F.max("_size").alias("_size"))
+    before = files.withColumn("_before", F.sum("_size").over(Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))).drop("_size")
+    first = first.join(before, "file_path").drop("_size")
+    first = F.broadcast(first)  # a row a split: 8,000 for a terabyte
+    out = raw.withColumns({"file_path": F.col("_m.file_path"), "file_block_start": F.col("_m.file_block_start")}).join(first, ["file_path", "file_block_start"])
+    return out.withColumn(to, F.coalesce("_before", F.lit(0)) + F.col("file_block_start") + F.col("_i") - F.col("_first")).drop("file_path", "file_block_start", "_before", "_first", "_m", "_i")
+
+
 def points_csv(spark: SparkSession, path: str, lc: str = "category", sl: str | None = "subcategory", sep: str = ";") -> DataFrame:
-    """point_ord, lat, lon, lc, sl; rows without a position or first-level label are dropped."""
+    """point_ord (ascends in file order), lat, lon, lc, sl; rows without a position or
+    first-level label are dropped."""
     raw = spark.read.option("sep", sep).option("header", True).csv(path)
-    out = raw.select(F.monotonically_increasing_id().alias("point_ord"), F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"), F.col(lc).alias("lc"), (F.col(sl) if sl and sl in raw.columns else F.lit(None).cast("string")).alias("sl"))
+    raw = file_order(raw.select("*", F.col("_metadata").alias("_m"), F.monotonically_increasing_id().alias("_i")), "point_ord")
+    out = raw.select("point_ord", F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"), F.col(lc).alias("lc"), (F.col(sl) if sl and sl in raw.columns else F.lit(None).cast("string")).alias("sl"))
     return out.na.drop(subset=["lat", "lon", "lc"])
 
 
@@ -81,13 +97,26 @@ def catalogue(spark: SparkSession, path: str, kind: str = "parquet") -> DataFram
 
 
 def listing(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """Object paths below a folder (column pruning: contents are not read)."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime").where(F.col("path").contains(prefix))
+    """Objects below a folder whose name there starts with the prefix (column pruning: contents
+    are not read)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+    return found.where(F.col("path").startswith(f"{root}/{prefix}"))
 
 
 def sample_raster(rasters: DataFrame, tile: str) -> DataFrame:
-    """The tile's reference grid: the first 10 m band, by path, of any of its products."""
-    return rasters.where(F.col("title").rlike(f"_T{tile}_") & (F.col("res") == 10)).orderBy("path").limit(1)
+    """The tile's reference grid: the first 10 m band, by path, of any of its products; an
+    error if there is none."""
+    one = rasters.where(F.col("title").rlike(f"_T{tile}_") & (F.col("res") == 10)).agg(F.min_by(F.struct(*rasters.columns), "path").alias("r"))
+    found = F.when(F.col("r").isNull(), F.raise_error(F.lit(f"no 10 m band of tile {tile}")).cast(one.schema["r"].dataType)).otherwise(F.col("r"))
+    return one.select(found.alias("r")).select("r.*")
+
+
+def models(spark: SparkSession, path: str) -> DataFrame:
+    """The second-level models below a folder: (model, used_columns, classes) of each class."""
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "part-*.json").schema("model string, used_columns array<string>, classes array<string>").json(path)
+    return found.where("model IS NOT NULL AND NOT contains(model, 'land-cover')")
 
 
 def blocks(spark: SparkSession, path: str, tiles: list[str] | None = None) -> DataFrame:

@@ -210,3 +210,84 @@ def test_empty(spark):
     assert products.top_k(products.useful_only(p), 2).count() == 0
     assert products.availability(p).count() == 0
     assert model.confusion(spark.createDataFrame([], "a string, b string"), "a", "b").count() == 0
+
+
+def test_points_in_file_order(spark, tmp_path):
+    from pixelframe.sources import readers
+
+    path = tmp_path / "points.csv"
+    path.write_text("latitude;longitude;category\n" + "".join(f"{i}.5;1.0;c{i}\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = readers.points_csv(spark, str(path)).orderBy("point_ord").collect()
+        assert readers.points_csv(spark, str(path)).rdd.getNumPartitions() >= 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r["lc"] for r in got] == [f"c{i}" for i in range(3000)] and len({r["point_ord"] for r in got}) == 3000
+
+
+def test_listing_and_sample(spark, tmp_path):
+    from pixelframe.sources import readers
+
+    for name in ("tile/a.tif", "tile/b.tif", "other/tile_c.tif"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    assert sorted(r["path"][-5:] for r in readers.listing(spark, str(tmp_path), "tile").collect()) == ["a.tif", "b.tif"]
+    rasters = spark.createDataFrame([("S2A_T30SUF_x", 10, "p/b"), ("S2A_T30SUF_x", 10, "p/a"), ("S2A_T30SUF_x", 20, "p/0")], "title string, res int, path string")
+    assert [tuple(r) for r in readers.sample_raster(rasters, "30SUF").collect()] == [("S2A_T30SUF_x", 10, "p/a")]
+    with pytest.raises(Exception, match="no 10 m band of tile 30SUG"):
+        readers.sample_raster(rasters, "30SUG").collect()
+
+
+def test_composite_sink(spark, tmp_path):
+    from pixelframe.sources import sinks
+
+    path = str(tmp_path)
+    blocks = spark.createDataFrame([("t", "s", 1), ("t", "s", 2)], "tile string, season string, v int")
+    meta = spark.createDataFrame([("t", "s", "title")], "tile string, season string, title string")
+    for _ in range(2):  # a rerun replaces
+        sinks.composite(blocks, meta, path)
+    assert spark.read.parquet(f"{path}/metadata").count() == 1 and spark.read.parquet(f"{path}/blocks").count() == 2
+    sinks.composite(blocks.withColumn("tile", F.lit("u")), meta.withColumn("tile", F.lit("u")), path)
+    broken = meta.withColumn("title", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.composite(blocks, broken, path)
+    assert [r["tile"] for r in spark.read.parquet(f"{path}/blocks").select("tile").distinct().collect()] == ["u"]
+    assert [r["tile"] for r in spark.read.parquet(f"{path}/metadata").collect()] == ["u"]
+
+
+def test_reports(spark):
+    import json
+
+    from pixelframe.functions import geo
+    from pixelframe.operators import products
+    from pixelframe.sources import sinks
+
+    tiles = spark.createDataFrame([("b", [[0.0, 1.0], [2.0, 1.0]], "0.25"), ("a", [[0.0, 0.0], [1.0, 0.0]], "1")], "tile string, ring array<array<double>>, nodata_fraction string")
+    found = json.loads(sinks.quality_geojson(tiles).first()["geojson"])
+    assert found["type"] == "FeatureCollection" and [f["properties"] for f in found["features"]] == [{"tile": "a", "nodata": "1"}, {"tile": "b", "nodata": "0.25"}]
+    assert found["features"][1]["geometry"] == {"type": "Polygon", "coordinates": [[[0.0, 1.0], [2.0, 1.0]]]}
+    two = spark.createDataFrame([("t", "s", "S2A_MSIL2A_20210401T1_N_R_T30SUF_x"), ("t", "s", "S2A_MSIL2A_20210401T1_N_R_T30SUG_x")], "tile string, season string, title string").withColumn("ts", F.lit("2021-04-01").cast("timestamp_ntz"))
+    with pytest.raises(Exception, match="a composite of tiles"):
+        products.composite_identity(two).collect()
+    kinds = spark.sql("SELECT kind, array(1D, 2D) p, array(array(array(3D, 4D))) poly, array(array(array(array(5D, 6D)))) multi FROM VALUES ('Point'), ('Polygon'), ('MultiPolygon') t(kind)")
+    ring = geo.outer_ring(F.col("kind"), F.col("p"), F.col("poly"), F.col("multi"))
+    assert [r[0] for r in kinds.select(ring).collect()] == [[[1.0, 2.0]], [[3.0, 4.0]], [[5.0, 6.0]]]
+    b = geo.bbox(F.col("ring"))
+    box = tiles.where("tile = 'b'").select(*[b[k].alias(k) for k in ("xmin", "ymin", "xmax", "ymax")]).first()
+    assert tuple(box) == (0.0, 1.0, 2.0, 1.0)
+    around = F.array(F.array(F.lit(-0.1), F.lit(39.9)), F.array(F.lit(0.1), F.lit(40.1)))
+    assert set(spark.range(1).select(geo.ring_tiles(around)).first()[0]) >= {"30TYK", "31TBE"}
+    corners = geo.raster_corners(F.lit(300000.0), F.lit(4100040.0), F.lit(10.0), F.lit(10980), F.lit(10980), F.lit(30))
+    got = spark.range(1).select(corners).first()[0]
+    assert len(got) == 5 and got[0] == got[4]
+    lat, lon = F.lit(got[2][1]), F.lit(got[2][0])
+    east, north = geo.utm(lat, lon, F.lit(30))
+    assert spark.range(1).select(F.round(east, 2), F.round(north, 2)).first() == (300000.0 + 109790, 4100040.0 - 109790)
+    from pixelframe.operators import raster
+
+    src = spark.sql("SELECT explode(array('dem', 'slope', 'aspect')) k").select(raster.terrain_source(F.col("k")))
+    assert [r[0] for r in src.collect()] == ["dem", "derived", "derived"]
+    with pytest.raises(Exception, match="unknown terrain layer"):
+        spark.range(1).select(raster.terrain_source(F.lit("x"))).collect()

@@ -60,3 +60,67 @@ def test_area(spark):
 def test_settings(monkeypatch):
     monkeypatch.setenv("PIXELFRAME_MAX_PRODUCTS", "3")
     assert Settings.from_environment().max_products == 3
+
+
+def test_settings_json(monkeypatch):
+    monkeypatch.setenv("PIXELFRAME_TILES", '["30SUF", "30SUG"]')
+    monkeypatch.setenv("PIXELFRAME_LC_CODES", '{"green": 1}')
+    s = Settings.from_environment()
+    assert s.tiles == ["30SUF", "30SUG"] and s.lc_codes == {"green": 1}
+    monkeypatch.setenv("PIXELFRAME_TILES", "30SUF")
+    with pytest.raises(ValueError, match="no JSON"):
+        Settings.from_environment()
+    monkeypatch.setenv("PIXELFRAME_TILES", "{}")
+    with pytest.raises(ValueError, match="JSON list"):
+        Settings.from_environment()
+
+
+def test_area_edges(spark):
+    # zone seam at 0 degrees, and a far edge that no whole step reaches
+    got = {r["tile"] for r in tiles_of_area(spark, 39.9, 40.02, -0.01, 0.01, step=0.5).collect()}
+    assert {"30TYK", "31TBE"} <= got
+
+
+def test_training_as_dealt(spark, tables):
+    """Products that did not arrive whole go before the best are taken, clouds are expanded,
+    composites that exist are used again."""
+    prods, seasons, bands, _, points, grids = tables
+    s = Settings(min_useful=30.0, max_products=1, sides={10: SIZE, 20: SIZE // 2, 60: SIZE // 6})
+    best = prods.where("title LIKE '%20210401T%30SUF%'").first()["title"]
+    title, side = F.col("title"), SIZE // 2
+    files = prods.where("tile = '30SUF'").select("title", F.lit("x/SCL_20m.jp2").alias("path"), F.lit(20).alias("res"), F.lit(side).alias("meta_side"), F.when(title == best, 3).otherwise(side).alias("read_side"))
+    chosen = workflow.selected(prods, seasons, s, 2, files)
+    assert {r["title"][11:19] for r in chosen.collect()} == {"20210411", "20210701"}
+    reasons = dict(map(tuple, workflow.left_out(prods.select("tile").union(spark.sql("SELECT '30SUH'")), prods, seasons, s, files).collect()))
+    assert reasons == {"30SUG": "1 seasons without products", "30SUH": "no products"}
+    cells = spark.range(SIZE * SIZE).select(F.floor(F.col("id") / SIZE).alias("row"), (F.col("id") % SIZE).alias("col"))
+    cloud = F.when((F.col("row") == 2) & (F.col("col") == 3), 9).otherwise(4)
+    scl = prods.select("title").crossJoin(F.broadcast(spark.sql("SELECT explode(array(20, 60)) res"))).crossJoin(F.broadcast(cells.where(f"row < {SIZE // 2} AND col < {SIZE // 2}")))
+    scl = scl.where(f"res = 20 OR (row < {SIZE // 6} AND col < {SIZE // 6})").withColumn("scl", F.when(F.col("res") == 20, cloud).otherwise(4))
+    small = Settings(**{**s.__dict__, "cloud_side": 60.0, "cloud_share": 1 / 9})
+    wide = workflow.masks_of(chosen, None, scl, small, True).where("mask = 1").select("title", "row", "col").collect()
+    assert {(r["row"], r["col"]) for r in wide} == {(r, c) for r in range(2, 8) for c in range(4, 10)} and len({r["title"] for r in wide}) == 2
+    plain = workflow.masks_of(chosen, None, scl, small, False).where("mask = 1").collect()
+    assert {(r["row"], r["col"]) for r in plain} == {(4, 6), (4, 7), (5, 6), (5, 7)}
+    data = workflow.training(prods, seasons, bands, None, points, grids, small, files=files, scl=scl).cache()
+    assert data.where("row = 3 AND col = 9 AND spring_B08 IS NOT NULL").count() == 0 and data.count() == 16 * 9
+    masks = workflow.masks_of(chosen, None, scl, small, True)
+    comp = workflow.composites(chosen, bands, masks)
+    identities = workflow.products.composite_identity(chosen).select("tile", "season", "composite_title")
+    old = comp.join(identities, ["tile", "season"]).withColumn("B08", F.lit(77.0)).where("season = 'spring'")
+    again = workflow.composites_again(chosen, bands, masks, None, old, True)
+    assert again.where("season = 'spring' AND B08 <> 77").count() == 0 and again.where("season = 'summer' AND B08 = 77").count() == 0
+    assert again.count() == comp.count()
+    assert workflow.needed_bands(["spring_ndvi", "summer_B02", "slope"], ["spring", "summer"]) == ["B02", "B04", "B08"]
+
+
+def test_second_level(spark):
+    rows = [("a" if i % 2 else "b", f"{'xy'[(i // 2) % 2]}{i % 2}", float(i), float(i), float((i // 2) % 2) + i * 1e-4, "30SUF", i, i) for i in range(80)]
+    data = spark.createDataFrame(rows, "LC string, SL string, latitude double, longitude double, spring_B08 double, tile string, row int, col int")
+    got = workflow.train_second_level(data, Settings(), trees=3, depth=3)
+    assert set(got) == {"a", "b"}
+    for parent, (_, used, matrix) in got.items():
+        assert used == ["spring_B08"] and sum(r["n"] for r in matrix.collect()) == 8
+        assert all(r["n"] == 0 for r in matrix.collect() if r["pred"] != r["actual"])
+        parts = workflow.second_level_rows(data, Settings(), parent).groupBy("part").count().collect()
+        assert dict(map(tuple, parts)) == {"train": 32, "test": 8}
