@@ -8,9 +8,11 @@ windows with a shingle that no document has are dropped at once. A document posi
 a chosen shingle is a candidate if the words before and after it leave room for the window
 (length and positional bounds), and it is verified by comparing the words themselves.
 
-The benchmark is the small side, but its size is checked: it is handled in slices of at
-most SLICE_BYTES of text, one pass over the documents a slice, so what is collected and
-broadcast is bounded whatever the benchmark's size.
+The benchmark is the small side, but its size is checked: its texts are cut into pieces of
+PIECE_WORDS words (which overlap by a window less one word, so they have the same windows),
+and pieces are dealt by hash into slices of about SLICE_WINDOWS windows, one pass over the
+documents a slice. So what is collected and broadcast is bounded whatever the benchmark's
+size, its longest item, or how often a text repeats in it.
 
 Defined results. Null and empty texts have no words; items without words match nothing; a
 null item id is reported as "null"; items that repeat an id share it. Repeated document
@@ -31,61 +33,93 @@ from . import kernels as K
 from .common import carried, column, cut, fields, map_batches, prepare
 
 SHINGLE = 4
-SLICE_BYTES = 16 << 20
+SLICE_WINDOWS = 1_000_000
+PIECE_WORDS = 4096
 BITS = 20  # of the hash, for the first look-up
 
 
+def pieces(window: int, longest: int):
+    """(item, text) rows cut into pieces of at most `longest` words that overlap by window - 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = K.alnum_words()
+        for b in batches:
+            names, texts, n = [], [], []
+            buf, offsets = K.text_buffer(b.column("text"))
+            starts, ends, first = K.word_spans(buf, offsets, table)
+            for name, lo, hi in zip(b.column("item").to_pylist(), first[:-1].tolist(), first[1:].tolist()):
+                for i in range(lo, max(lo + 1, hi - window + 1) if hi > lo else lo, longest - window + 1):
+                    j = min(hi, i + longest)
+                    names.append(name)
+                    texts.append(buf[starts[i] : ends[j - 1]].tobytes().decode("utf-8", "replace"))
+                    n.append(max(1, j - i - window + 1))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string()), pa.array(n, pa.int64())], ["item", "text", "n"])
+
+    return run
+
+
 class Windows:
-    """The windows of some items, with their shingles."""
+    """The distinct windows of some items, with their shingles: word places in one buffer of
+    lower-case words joined by spaces."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        table = K.alnum_words()
         buf, offsets = K.text_buffer(pa.array([t for _, t in items], pa.large_string()))
-        starts, ends, first = K.word_spans(buf, offsets, table)
-        low = K.lower_table()[buf]
+        starts, ends, first = K.word_spans(buf, offsets, K.alnum_words())
         words = K.word_hashes(buf, starts, ends, True)
-        plain = [low[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist())]
-        index: dict[tuple, int] = {}
-        self.items: list[set[str]] = []
-        self.texts: list[bytes] = []
-        self.sizes: list[int] = []
-        at = []
-        for (name, _), a, b in zip(items, first[:-1].tolist(), first[1:].tolist()):
-            size = min(window, b - a)
-            for i in range(a, b - size + 1) if size else ():
-                key = tuple(plain[i : i + size])
-                if key not in index:
-                    index[key] = len(index)
-                    self.items.append(set())
-                    self.texts.append(b" ".join(key))
-                    self.sizes.append(size)
-                    at.append(i)
-                self.items[index[key]].add(name)
-        sizes = np.array(self.sizes, np.int64)
+        self.text = K.kept_bytes(K.lower_table()[buf], starts, ends, np.ones(len(starts), bool))
+        place = np.concatenate([[0], np.cumsum(ends - starts + 1)])
+        n = np.diff(first)
+        size = np.minimum(n, window)
+        many = np.where(n > 0, n - size + 1, 0)
+        owner = np.repeat(np.arange(len(items)), many)
+        at = first[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+        sizes = size[owner]
+        low, high = place[at], place[at + sizes] - 1
+        h = np.zeros(len(at), np.uint64)
+        for k in np.unique(sizes).tolist():
+            mine = sizes == k
+            h[mine] = K.window_hashes(words, k)[at[mine]]
+        order = np.lexsort((at, h))
+        one = np.empty(len(at), np.int64)  # the first window of the same words
+        head = -1
+        for i in order.tolist():  # equal hashes are not trusted: the words are compared
+            if head < 0 or h[head] != h[i] or self.text[low[head] : high[head]] != self.text[low[i] : high[i]]:
+                head = i
+            one[i] = head
+        kept, number = np.unique(one, return_inverse=True)
+        self.names = sorted({name for name, _ in items})
+        index = {x: i for i, x in enumerate(self.names)}
+        of = np.array([index[name] for name, _ in items], np.int64)[owner] if len(owner) else owner
+        pairs = np.unique(number * max(1, len(self.names)) + of)
+        self.items = pairs % max(1, len(self.names))  # of window w: items[edge[w] : edge[w + 1]]
+        self.edge = np.searchsorted(pairs // max(1, len(self.names)), np.arange(len(kept) + 1))
+        self.low, self.high, self.sizes = low[kept], high[kept], sizes[kept]
         self.shingles: dict[int, np.ndarray] = {}  # by shingle size: sorted distinct hashes
-        rows = []  # window, offset, shingle size, hash
-        for k in range(1, SHINGLE + 1):
-            h = K.window_hashes(words, k)
-            mine = np.flatnonzero(sizes == k) if k < SHINGLE else np.flatnonzero(sizes >= k)
-            for w in mine.tolist():
-                rows += [(w, o, k, int(h[at[w] + o])) for o in range(self.sizes[w] - k + 1)]
-            if len(mine):
-                self.shingles[k] = np.unique(np.array([r[3] for r in rows if r[2] == k], np.uint64))
-        self.rows = rows
-
-    def chosen(self, counts: dict[tuple[int, int], int]) -> dict[int, list[np.ndarray]]:
-        """By shingle size: each window's rarest shingle (hash, window, offset), by hash."""
-        best: dict[int, tuple] = {}
-        for w, o, k, h in self.rows:
-            n = counts.get((k, h), 0)
-            if w not in best or (n, h, o) < best[w][:3]:
-                best[w] = (n, h, o, k)
+        self.grams: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}  # windows of a size, and their shingles in rows
+        for k in np.unique(self.sizes).tolist():
+            g = min(k, SHINGLE)
+            w = np.flatnonzero(self.sizes == k)
+            rows = K.window_hashes(words, g)[at[kept][w][:, None] + np.arange(k - g + 1)]
+            self.grams.setdefault(g, []).append((w, rows))
+        for g, parts in self.grams.items():
+            self.shingles[g] = np.unique(np.concatenate([r.ravel() for _, r in parts]))
+
+    def chosen(self, counts: dict[int, np.ndarray]) -> dict[int, list[np.ndarray]]:
+        """By shingle size: each window's rarest shingle (hash, window, offset), by hash. counts:
+        of the sorted shingles of that size."""
         out = {}
-        for k in self.shingles:
-            found = sorted((h, w, o) for w, (n, h, o, kk) in best.items() if n and kk == k)
-            if found:
-                h, w, o = zip(*found)
-                out[k] = [np.array(h, np.uint64), np.array(w, np.int64), np.array(o, np.int64)]
+        for g, parts in self.grams.items():
+            found = []
+            for w, rows in parts:
+                n = counts[g][np.searchsorted(self.shingles[g], rows)]
+                least = n == n.min(axis=1, keepdims=True)
+                offset = np.argmin(np.where(least, rows, np.uint64(2**64 - 1)), axis=1)
+                some = n.min(axis=1) > 0
+                found.append((rows[np.arange(len(w)), offset][some], w[some], offset[some]))
+            h, w, o = map(np.concatenate, zip(*found))
+            order = np.lexsort((o, w, h))
+            if len(order):
+                out[g] = [h[order], w[order], o[order]]
         return out
 
 
@@ -126,9 +160,12 @@ def count_shingles(shingles: dict[int, np.ndarray]):
     return run
 
 
-def match(chosen: dict[int, list[np.ndarray]], texts: list[bytes], sizes: np.ndarray, items: list[list[str]]):
+def match(shared):
+    """shared: broadcast windows and their chosen shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, lower = K.alnum_words(), K.lower_table()
+        known, chosen = shared.value
+        sizes, table, lower = known.sizes, K.alnum_words(), K.lower_table()
         looks = {k: first_look(c[0]) for k, c in chosen.items()}
         for b in batches:
             buf, offsets = K.text_buffer(b.column("text"))
@@ -154,13 +191,13 @@ def match(chosen: dict[int, list[np.ndarray]], texts: list[bytes], sizes: np.nda
                 o = offsets[d]
                 text = K.kept_bytes(lower[buf[o : offsets[d + 1]]], s - o, e - o, np.ones(z - a, bool))
                 place = np.concatenate([[0], np.cumsum(e - s + 1)])
-                ok = [(p - a, x) for p, x in pairs if text[place[p - a] : place[p - a + sizes[x]] - 1] == texts[x]]
+                ok = [(p - a, x) for p, x in pairs if text[place[p - a] : place[p - a + sizes[x]] - 1] == known.text[known.low[x] : known.high[x]]]
                 if ok:
                     p, x = np.array(ok, np.int64).T
                     mask = K.covered(p, sizes[x], z - a)
                     n_hit[d] = mask.sum()
                     runs[d] = [{"start": int(i), "end": int(j)} for i, j in zip(*K.runs(mask))]
-                    found[d] = sorted(set().union(*(items[i] for i in set(x.tolist()))))
+                    found[d] = sorted({known.names[j] for i in set(x.tolist()) for j in known.items[known.edge[i] : known.edge[i + 1]].tolist()})
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), b.column("th"), pa.array(np.diff(first)), pa.array(n_hit), pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(found, pa.list_(pa.string()))],
                 ["row", "th", "n_words", "n_hit", "runs", "items"],
@@ -175,18 +212,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     prepare(spark)
     items = benchmark.select(F.coalesce(column(item_col).cast("string"), F.lit("null")).alias("item"), column(item_text_col).cast("string").alias("text")).where("text IS NOT NULL")
-    size = items.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    slices = -(-max(size, 1) // SLICE_BYTES)
+    items = cut(map_batches(items, pieces(window, max(PIECE_WORDS, 2 * window)), "item string, text string, n bigint").distinct())
+    size = items.agg(F.sum("n").alias("n")).first()["n"] or 0
+    slices = max(1, -(-size // SLICE_WINDOWS))
     t = column(text_col).cast("string").alias("text")
     row = carried(docs, carry)
     schema = fields(docs.select(row), ["row"], "th bigint, n_words bigint, n_hit bigint, runs array<struct<start:bigint,end:bigint>>, items array<string>")
     found = None
     for i in range(slices):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == i) if slices > 1 else items
+        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(slices)) == i) if slices > 1 else items
         windows = Windows([(r["item"], r["text"]) for r in part.orderBy("item", "text").collect()], window)
-        counts = {(r["k"], r["h"] & (2**64 - 1)): r["n"] for r in map_batches(docs.select(t), count_shingles(windows.shingles), "k int, h bigint, n bigint").groupBy("k", "h").agg(F.sum("n").alias("n")).collect()} if windows.shingles else {}
+        counts = {k: np.zeros(len(h), np.int64) for k, h in windows.shingles.items()}
+        if counts:
+            seen_ = map_batches(docs.select(t), count_shingles(windows.shingles), "k int, h bigint, n bigint").groupBy("k", "h").agg(F.sum("n").alias("n")).toArrow()
+            k, h, n = (seen_.column(c).to_numpy() for c in ("k", "h", "n"))
+            for g, all_ in windows.shingles.items():
+                counts[g][np.searchsorted(all_, h[k == g].view(np.uint64))] = n[k == g]
         chosen = windows.chosen(counts)
-        hit = map_batches(docs.select(row, t, F.xxhash64(column(text_col).cast("string")).alias("th")), match(chosen, windows.texts, np.array(windows.sizes, np.int64), [sorted(x) for x in windows.items]), schema)
+        windows.grams = windows.shingles = None  # not needed any more
+        shared = spark.sparkContext.broadcast((windows, chosen))  # bounded by SLICE_WINDOWS
+        hit = map_batches(docs.select(row, t, F.xxhash64(column(text_col).cast("string")).alias("th")), match(shared), schema)
         found = hit if found is None else found.unionAll(hit)
     if slices == 1:
         return found.drop("th")

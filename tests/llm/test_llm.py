@@ -183,9 +183,10 @@ def hits(text, windows):
     return len(w), sum(mask), sorted(found)
 
 
-@pytest.mark.parametrize("slice_bytes", [16 << 20, 200])
-def test_decontamination(spark, docs, none, rows, monkeypatch, slice_bytes):
-    monkeypatch.setattr(decontamination, "SLICE_BYTES", slice_bytes)
+@pytest.mark.parametrize("slice_windows", [1 << 20, 20])
+def test_decontamination(spark, docs, none, rows, monkeypatch, slice_windows):
+    monkeypatch.setattr(decontamination, "SLICE_WINDOWS", slice_windows)
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 25 if slice_windows == 20 else 4096)
     t = texts()
     bench = [(1, t[9]), (2, " ".join(t[14].split()[:9]) + " zz"), (3, "two"), (10, t[14]), (None, "a b c d"), (5, None), (6, "..."), (1, "One, TWO"), (7, t[31])]
     table = spark.createDataFrame(bench, "item_id int, text string")
