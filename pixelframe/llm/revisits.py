@@ -6,22 +6,30 @@ response's headers with those that a not-modified answer may carry taken from th
 
 The join never gathers a URL in one task: time is cut at quantiles of all records, the
 latest response is looked up inside (URL, period) first, and what is left looks it up among
-one row a period. So a URL with a third of all records is spread over all periods.
+one row a period. So a URL with a third of all records is spread over all periods, whose
+number follows the number of records. Records come from WARC files by read_warc.
 
 Defined results. Records with a null URL or time can't be resolved (no_original). Earlier
 means smaller (time, id); a response at the same time with a smaller id counts as earlier.
 Outcomes: resolved, unvalidated (nothing to compare), mismatch, no_original. Repeated rows
-stay. Other columns of the records are not read, so names can't clash.
+stay. Other columns of the records are not read, so names can't clash. Records without a
+time or URL are in no window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, map_batches, table
 
-PERIODS = 64
+PERIOD_ROWS = 1_000_000  # records of a period, about
+RECORDS = "record_id string, url string, ts string, kind string, status int, etag string, last_modified string, digest string, headers map<string,string>"
 #: Headers that a not-modified response may send anew (RFC 9110, section 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 TRACKING = "^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
@@ -42,19 +50,33 @@ def weak(tag: Column) -> Column:
     return F.regexp_replace(tag, "^W/", "")
 
 
-def resolve(records: DataFrame, periods: int = PERIODS) -> DataFrame:
+def period_of(ts: Column, edges: list) -> Column:
+    """How many of the sorted edges are not later: first by groups of edges, then inside one."""
+    if not edges:
+        return F.lit(0)
+    wide = math.isqrt(len(edges)) + 1
+    groups = [edges[i : i + wide] for i in range(0, len(edges), wide)]
+    group = F.size(F.filter(F.array(*[F.lit(g[0]) for g in groups]), lambda e: e <= ts))
+    inside = F.get(F.array(*[F.array(*[F.lit(e) for e in g]) for g in groups]), group - 1)
+    return F.when(group == 0, 0).otherwise((group - 1) * wide + F.size(F.filter(inside, lambda e: e <= ts)))
+
+
+def resolve(records: DataFrame, periods: int | None = None) -> DataFrame:
     """record_id, canonical_url, original_id, outcome and headers of every revisit.
 
     records: record_id, url, ts (orderable), kind (response or revisit), status, etag,
-    last_modified, digest, headers map<string,string> with lower-case names.
+    last_modified, digest, headers map<string,string> with lower-case names. periods: into how
+    many parts time is cut, by default one for PERIOD_ROWS records.
     """
     r = records.select("record_id", canonical_url(F.col("url")).alias("u"), "ts", "kind", "status", "etag", "last_modified", "digest", "headers")
     full = F.when((F.col("kind") == "response") & (F.col("status") == 200) & F.col("ts").isNotNull(), F.struct("ts", "record_id", "etag", "last_modified", "digest", "headers"))
-    edges = r.select(F.percentile_approx("ts", [i / periods for i in range(1, periods)], 10_000).alias("e")).first()["e"]
-    at = F.size(F.filter(F.array(*[F.lit(e) for e in sorted(set(edges))]), lambda e: e <= F.col("ts"))) if edges else F.lit(0)
-    r = cut(r.withColumn("period", F.coalesce(at, F.lit(-1))).withColumn("full", full))
+    periods = periods or max(16, -(-records.count() // PERIOD_ROWS))
+    edges = r.select(F.percentile_approx("ts", [i / periods for i in range(1, periods)], max(10_000, 10 * periods)).alias("e")).first()["e"] if periods > 1 else None
+    r = cut(r.withColumn("period", period_of(F.col("ts"), sorted(set(edges or [])))).withColumn("full", full))
+    placed = F.col("ts").isNotNull() & F.col("u").isNotNull()
     inside = Window.partitionBy("u", "period").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, -1)
-    near = r.withColumn("near", F.last("full", ignorenulls=True).over(inside)).where((F.col("kind") == "revisit"))
+    near = r.where(placed).withColumn("near", F.last("full", ignorenulls=True).over(inside)).unionByName(r.where(~placed).withColumn("near", F.lit(None).cast(r.schema["full"].dataType)))
+    near = near.where(F.col("kind") == "revisit")
     last = r.where("full IS NOT NULL AND u IS NOT NULL").groupBy("u", "period").agg(F.max_by("full", F.struct("ts", "record_id")).alias("full"))
     # One row a URL and period: the last response before it, for every period that has revisits.
     asked = near.where("near IS NULL AND u IS NOT NULL AND ts IS NOT NULL").select("u", "period").distinct().withColumn("full", F.lit(None).cast(last.schema["full"].dataType))
@@ -72,6 +94,64 @@ def resolve(records: DataFrame, periods: int = PERIODS) -> DataFrame:
     )
 
 
+def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (lower-case names) and block of each record of a WARC file, plain or
+    compressed record by record; only one record is expanded at a time. A broken tail ends it."""
+
+    def members() -> Iterator[bytes]:
+        if not data.startswith(b"\x1f\x8b"):
+            yield data
+            return
+        rest = memoryview(data)
+        while len(rest):
+            one = zlib.decompressobj(31)
+            try:
+                out = one.decompress(rest)
+            except zlib.error:
+                return
+            yield out
+            rest = rest[len(rest) - len(one.unused_data) :] if one.eof else rest[:0]
+
+    for text in members():
+        at = 0
+        while (start := text.find(b"WARC/", at)) >= 0:
+            end = text.find(b"\r\n\r\n", start)
+            if end < 0:
+                break
+            lines = text[start:end].decode("utf-8", "replace").split("\r\n")[1:]
+            fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+            size = int(fields["content-length"]) if fields.get("content-length", "").isdigit() else 0
+            yield fields, text[end + 4 : end + 4 + size]
+            at = end + 4 + size
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The responses and revisits of WARC files, as resolve() takes them; ts is the record's
+    date, null if it is malformed. A file is one row of Spark's binary reader, so it may have 2 GB at most, compressed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in RECORDS.split(", ")]
+        kinds = [pa.string()] * 4 + [pa.int32()] + [pa.string()] * 3 + [pa.map_(pa.string(), pa.string())]
+        for b in batches:
+            out: list[tuple] = []
+            for data in b.column("content"):
+                for f, block in warc_records(data.as_py() or b""):
+                    if f.get("warc-type") not in ("response", "revisit"):
+                        continue
+                    lines = block.split(b"\r\n\r\n", 1)[0].decode("latin-1").split("\r\n")
+                    status = lines[0].split(" ")[1:2]
+                    headers = {k.strip().lower(): v.strip() for k, s, v in (x.partition(":") for x in lines[1:]) if s}
+                    code = int(status[0]) if status and status[0].isdigit() else None
+                    out.append((f.get("warc-record-id"), f.get("warc-target-uri"), f.get("warc-date"), f["warc-type"], code, headers.get("etag"), headers.get("last-modified"), f.get("warc-payload-digest"), list(headers.items())))
+                    if len(out) >= 1000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                        out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    return map_batches(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content"), run, RECORDS).withColumn("ts", F.col("ts").try_cast("timestamp"))
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """Archive records made of pages: each page is a full response at time 10 * id, followed by
     revisits at +3 (same validators), +4 (another tag, every fifth page) and, for every

@@ -376,6 +376,42 @@ def test_revisits(spark):
     assert revisits.resolve(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_revisits_ties_and_repeats(spark):
+    schema = "record_id long, url string, ts long, kind string, status int, etag string, last_modified string, digest string, headers map<string,string>, u string"
+    u = "http://a.example/p"
+    data = [(1, u, 5, "response", 200, None, "mon", "d1", {"last-modified": "mon", "vary": "x"}, "c"), (2, u, 5, "response", 200, None, "tue", "d1", {"last-modified": "tue"}, "c")]
+    data += [(3, u, 5, "revisit", 304, None, "tue", "dx", {"vary": "y", "server": "s"}, "c")] * 2  # same time, repeated; last-modified goes before the digest
+    data += [(4, u, 9, "revisit", 304, None, "mon", "d1", None, "c"), (0, u, 5, "revisit", 304, None, "mon", None, None, "c"), (5, u, None, "revisit", 304, None, "mon", None, None, "c")]
+    for periods in (1, 3, None):
+        got = sorted(tuple(r) for r in revisits.resolve(spark.createDataFrame(data, schema), periods).select("record_id", "original_id", "outcome", F.element_at("headers", "vary")).collect())
+        assert got == [(0, None, "no_original", None), (3, 2, "resolved", "y"), (3, 2, "resolved", "y"), (4, None, "mismatch", None), (5, None, "no_original", None)]
+    edges = sorted(random.Random(1).sample(range(1000), 50))
+    rows_ = spark.range(1000).select(revisits.period_of(F.col("id"), edges).alias("p")).collect()
+    assert [r["p"] for r in rows_] == [sum(e <= i for e in edges) for i in range(1000)]
+
+
+def test_warc_files(spark, tmp_path):
+    import gzip
+
+    def record(kind, rid, url, date, head, body=b""):
+        block = head.encode() + b"\r\n\r\n" + body
+        return f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {rid}\r\nWARC-Target-URI: {url}\r\nWARC-Date: {date}\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    parts = [
+        record("warcinfo", "i", "", "2020-01-01T00:00:00Z", "software: x"),
+        record("response", "r1", "http://a.example/p", "2020-01-01T00:00:00Z", 'HTTP/1.1 200 OK\r\nETag: "1"\r\nVary: a', b"<html>WARC/1.0 is no record here</html>" * 50),
+        record("revisit", "v1", "https://www.a.example/p/", "2020-01-02T00:00:00Z", 'HTTP/1.1 304 Not Modified\r\nETag: W/"1"\r\nVary: b'),
+        record("revisit", "v2", "http://b.example/", "2020-01-02T00:00:00Z", "HTTP/1.1 304 Not Modified"),
+    ]
+    (tmp_path / "plain.warc").write_bytes(b"".join(parts[:2]))
+    (tmp_path / "packed.warc.gz").write_bytes(b"".join(map(gzip.compress, parts[2:])) + b"\x1f\x8bbroken")
+    (tmp_path / "empty.warc").write_bytes(b"")
+    records = revisits.read_warc(spark, str(tmp_path))
+    assert sorted(r["record_id"] for r in records.collect()) == ["r1", "v1", "v2"]
+    got = {r["record_id"]: (r["original_id"], r["outcome"], r["headers"]) for r in revisits.resolve(records).collect()}
+    assert got == {"v1": ("r1", "resolved", {"etag": 'W/"1"', "vary": "b"}), "v2": (None, "no_original", None)}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
