@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -358,6 +359,97 @@ def test_long_text_scores_in_pieces(monkeypatch):
     assert np.allclose(whole, toxicity.logits(m, m.tables(), ids, at))
 
 
+def test_toxicity_by_loops():
+    rng = np.random.default_rng(3)
+    n = toxicity.FILTERS * len(toxicity.WIDTHS)
+    m = toxicity.Model(rng.normal(size=(toxicity.BUCKETS, toxicity.DIM)), [rng.normal(size=(w, toxicity.DIM, toxicity.FILTERS)) for w in toxicity.WIDTHS], rng.normal(size=n), rng.normal(size=n + 1))
+    words = ["alpha", "beta", "alphas", "gamma", "Beta"]
+    data = [" ".join(rng.choice(words, k)) for k in (1, 2, 3, 9)] + ["", None, "alpha beta", "alpha beta"]
+    ids, at = toxicity.bucket_ids(*kernels.text_buffer(pa.array(data, pa.string())))
+    got = toxicity.logits(m, m.tables(), ids, at)
+    for k in range(len(data)):
+        x = ids[:, at[k] : at[k + 1]]
+        assert x.shape[1] == len((data[k] or "").split()) + 3 and not x[:, -3:].any()
+        pooled = []
+        for w, conv in zip(toxicity.WIDTHS, m.conv):
+            for f in range(toxicity.FILTERS):
+                pooled.append(max(sum(float(m.embed[x[r, i + j]] @ conv[j][:, f]) for j in range(w) for r in range(2)) for i in range(x.shape[1] - w + 1)))
+        want = sum(max(p + b, 0.0) * o for p, b, o in zip(pooled, m.bias, m.out[:-1])) + m.out[-1]
+        assert got[k] == pytest.approx(want)
+    assert got[6] == got[7] and got[4] == got[5]
+    # the gradient against finite differences
+    y, weight = np.array([1, 0, 1, 0, 0, 1, 1, 0.0]), np.linspace(1, 2, 8)
+    m.out *= 0.05
+
+    def loss():
+        p = toxicity.sigmoid(toxicity.logits(m, m.tables(), ids, at))
+        return float(-(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / len(y))
+
+    for part, g in zip([m.embed, *m.conv, m.bias, m.out], toxicity.gradients(m, ids, at, y, weight)):
+        flat, slope = part.reshape(-1), g.reshape(-1)
+        for i in [*np.argsort(-np.abs(slope))[:5].tolist(), *rng.integers(0, len(flat), 2).tolist()]:
+            old = flat[i]
+            flat[i] = old + 1e-6
+            up = loss()
+            flat[i] = old - 1e-6
+            down = loss()
+            flat[i] = old
+            assert slope[i] == pytest.approx((up - down) / 2e-6, abs=1e-6)
+
+
+def test_toxicity_edges(spark):
+    data = [(1, "bad words here", 1, "en"), (2, "nice words here", 0, "en"), (2, "nice words here", 0, "en"), (3, None, 1, "en"), (4, "", 0, None), (None, "... !!", 0, "en"), (5, "long " * 200_000, 0, "en")] * 12
+    d = spark.createDataFrame(data, "doc_id long, text string, toxic int, lang string").withColumns({"row": F.lit("r"), "score": F.lit(9), "a.b c": F.lit(1)})
+    model = toxicity.train(d)
+    got = toxicity.score(d, model).select("row.doc_id", "row.text", "score", F.col("row.`a.b c`").alias("x")).collect()
+    assert len(got) == len(data) and all(r["x"] == 1 for r in got)
+    by = defaultdict(set)
+    for r in got:
+        by[r["text"]].add(r["score"])
+        assert 0 <= r["score"] <= 1
+    assert all(len(x) == 1 for x in by.values())
+    assert by[None] == by[""] == by["... !!"] == {0.0}
+
+
+def test_language_by_loops(spark):
+    rng = random.Random(11)
+    words = {x: ["".join(rng.choice(letters) for _ in range(6)) for _ in range(30)] for x, letters in (("aa", "abcdefg"), ("bb", "fghijklm"), ("cc", "mnopqrsé"))}
+    data = [(i, " ".join(rng.choice(words[x]) for _ in range(rng.randint(1, 40))), x) for i, x in enumerate(list(words) * 20)]
+    data += [data[0], data[0], (None, data[1][1] + " " + data[2][1], "aa"), (900, "ABCDEFG abcdefg", None), (901, "zzzz wwww", "aa"), (902, "12 34", "bb"), (903, None, "cc"), (904, "Ünïcode", "cc")]
+    data += [(905, " ".join(rng.choice(words["bb"]) for _ in range(120_000)), "bb")]  # beyond the pieces worked on at once
+    d = spark.createDataFrame(data, "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("clash"))
+    f = language.train(d)
+    mask = (1 << 32) - 1
+
+    def place(g, k):
+        x = (g * language.ODD[k] & mask) ^ (g >> (15 + k))
+        return (x * language.ODD[k + 2] & mask) >> (32 - language.CELL_BITS)
+
+    bits = [[int(c) >> i & 1 for c in f.cells] for i in range(len(f.languages))]
+    shares = [(sum(b) / len(b)) ** language.HASHES for b in bits]
+
+    def judge(text):
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        b = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in text.encode())
+        grams = [int.from_bytes(b[i : i + 4], "big") for i in range(len(b) - 3) if 32 not in (b[i + 1], b[i + 2])]
+        counts = {}
+        for i, name in enumerate(f.languages):
+            hits = sum(all(bits[i][place(g, k)] for k in range(language.HASHES)) for g in grams)
+            counts[name] = max(0.0, (hits - shares[i] * len(grams)) / (1 - shares[i]))
+        total = sum(counts.values())
+        if not total:
+            return f.languages[0], 1 / len(f.languages)
+        best = min(counts, key=lambda x: (-counts[x], x))
+        return best, counts[best] / total
+
+    got = language.identify(d, f).select("row.text", "lang_pred", "score", "row.lang_pred").collect()
+    assert len(got) == len(data)
+    for text, pred, score, other in got:
+        want = judge(text)
+        assert pred == want[0] and score == pytest.approx(want[1]) and other == "clash"
+
+
 def test_revisits(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
