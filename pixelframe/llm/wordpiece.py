@@ -16,6 +16,7 @@ results. Carried columns travel in a struct, so names can't clash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +98,19 @@ class Automaton:
         return np.where(unknown, 1, count)
 
 
+def stretches(texts: list[str | None], limit: int = 1 << 21) -> Iterator[list[str | None]]:
+    """Runs of texts of about `limit` characters."""
+    held, size = [], 0
+    for x in texts:
+        held.append(x)
+        size += len(x or "")
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def token_counts(docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None, carry: list[str] | None = None) -> DataFrame:
     """row (struct of `carry`, all columns unless given), n_words and n_pieces."""
     if pattern is None:
@@ -114,18 +128,16 @@ def token_counts(docs: DataFrame, text_col: str = "text", path: str | None = Non
         known: dict[str, int] = {}
         for b in batches:
             words, pieces = [], []
-            for text in b.column("text").to_pylist():
-                found = find(text) if text else []
-                try:
-                    n = sum(map(known.__getitem__, found))
-                except KeyError:
+            for texts in stretches(b.column("text").to_pylist()):
+                found = [find(x) if x else [] for x in texts]
+                new = list(set(chain.from_iterable(found)).difference(known))
+                if new:  # the words that these texts add walk through the automaton together
                     if len(known) > CACHED_WORDS:
                         known.clear()
-                    new = [w for w in set(found) if w not in known]
+                        new = list(set(chain.from_iterable(found)))
                     known.update(zip(new, automaton.counts([w.encode() for w in new]).tolist()))
-                    n = sum(map(known.__getitem__, found))
-                words.append(len(found))
-                pieces.append(n)
+                words += map(len, found)
+                pieces += [sum(map(known.__getitem__, x)) for x in found]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(words, pa.int64()), pa.array(pieces, pa.int64())], ["row", "n_words", "n_pieces"])
 
     row = carried(docs, carry)

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pixelframe.llm import bpe, decontamination, induced, jaccard, kernels, language, quality, queries, revisits, substring_dedup, suffix_dedup, toxicity, wordpiece
 
@@ -31,6 +32,9 @@ def sha(x):
     return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
 
 
+WORDS_300 = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("n", "rst", "ll", "mp", "x", "ck", "sh", "th", "v", "z", "d", "g")]
+
+
 def texts():
     rng = random.Random(5)
     vocabulary = ["".join(rng.choice("abcdeéñß") for _ in range(rng.randint(1, 7))) for _ in range(60)]
@@ -573,3 +577,89 @@ def test_more_than_64_languages(spark):
     assert len(filters.languages) == 70
     got = language.identify(d, filters).select("row.lang", "lang_pred").collect()
     assert all(r["lang"] == r["lang_pred"] for r in got)
+
+
+def test_ids_and_columns_of_any_kind(spark, rows):
+    """String ids, names with dots, spaces and backticks, names that the operators use."""
+    ids = lambda i: None if i is None else f"k{i:05}"
+    odd = ["row", "id", "th", "q", "node", "n_words", "kept", "a.b", "my col", "tick`s"]
+    data = [(ids(r[0]), r[1], "en", *range(len(odd))) for r in rows]
+    kind = StructType([StructField("key.of", StringType()), StructField("the text", StringType()), StructField("lang", StringType()), *(StructField(c, LongType()) for c in odd)])
+    d = spark.createDataFrame(data, kind).repartition(3)
+    carried = F.struct(*[F.col("row")[c].alias(f"c{i}") for i, c in enumerate(odd)]).alias("carried")
+    name = {"id_col": "key.of", "text_col": "the text"}
+    plain_ids = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string")
+
+    def both(got, want, columns, ids_=()):
+        a = got.select(F.col("row")["key.of"].alias("k"), carried, *columns).collect()
+        assert all(tuple(r["carried"]) == tuple(range(len(odd))) for r in a)
+        b = want.select(F.col("row")["doc_id"].alias("k"), *columns).collect()
+        fix = lambda r: (ids(r["k"]), *(ids(r[c]) if c in ids_ else r[c] for c in columns))
+        assert multiset([(r["k"], *(r[c] for c in columns)) for r in a]) == multiset(map(fix, b))
+
+    both(substring_dedup.substring_dedup(d, **name), substring_dedup.substring_dedup(plain_ids), ["n_words", "n_removed", "kept", "longest_repeat"])
+    both(suffix_dedup.suffix_dedup(d, **name), suffix_dedup.suffix_dedup(plain_ids), ["n_bytes", "n_removed", "n_spans", "kept"])
+    both(jaccard.jaccard_components(d, **name), jaccard.jaccard_components(plain_ids), ["n_shingles", "component_id"], ["component_id"])
+    bench = spark.createDataFrame([("i.1", rows[9][1]), (None, "a b c d")], StructType([StructField("item.id", StringType()), StructField("its text", StringType())]))
+    one = decontamination.decontaminate(d, bench, **name, item_col="item.id", item_text_col="its text")
+    two = decontamination.decontaminate(plain_ids, bench.toDF("item_id", "text"))
+    both(one, two, ["n_words", "n_hit"])
+    both(wordpiece.token_counts(d, text_col="the text"), wordpiece.token_counts(plain_ids), ["n_words", "n_pieces"])
+    both(quality.quality_rules(d, text_col="the text"), quality.quality_rules(plain_ids), ["n_words", "kept"])
+    filters = language.train(d, text_col="the text")
+    both(language.identify(d, filters, text_col="the text"), language.identify(plain_ids, filters), ["lang_pred"])
+    both(bpe.encode(d, text_col="the text"), bpe.encode(plain_ids), ["decoded"])
+    both(toxicity.score(d, None, text_col="the text"), toxicity.score(plain_ids, None), ["score"])
+
+
+def test_very_long_texts(spark):
+    """Beyond the borders at which the operators cut what they work on."""
+    rng = random.Random(17)
+    make = lambda n: " ".join(rng.choice(WORDS_300) for _ in range(n))
+    big = make(115_000)  # over half a MB
+    w = big.split(" ")
+    near = " ".join(w[:60_000] + ["Changed"] + w[60_000:])
+    data = [(1, big), (2, near), (3, " ".join(w[110_000:110_400])), (4, make(300)), (5, "zz " * 40_000 + " ".join(w[5:60]))]
+    assert len(big) > 1 << 19
+    d = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(d).select("row.doc_id", "component_id").collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    first = {}
+    for i, x in data:
+        v = spaced(x)
+        for k in range(len(v) - 12):
+            first.setdefault(tuple(v[k : k + 13]), i)
+    want = {}
+    for i, x in data:
+        v = spaced(x)
+        hit = np.array([k for k in range(len(v) - 12) if first[tuple(v[k : k + 13])] < i], int)
+        want[i] = int(kernels.covered(hit, 13, len(v)).sum()) if len(hit) else 0
+    assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.substring_dedup(d).select("row.doc_id", "n_removed").collect()} == want
+    windows = defaultdict(set)
+    item = " ".join(w[80_000:80_030])
+    for k in range(21):
+        windows[tuple(plain(item)[k : k + 10])].add("7")
+    bench = spark.createDataFrame([(7, item)], "item_id int, text string")
+    hit = {r["doc_id"]: r["n_hit"] for r in decontamination.decontaminate(d, bench).select("row.doc_id", "n_hit").collect()}
+    assert hit == {i: hits(x, windows)[1] for i, x in data}
+    seen = Counter(hash(b[k : k + 200]) for _, x in data for b in [x.encode()] for k in range(len(b) - 199))
+    removed = {}
+    for i, x in data:
+        b = x.encode()
+        at = np.array([k for k in range(len(b) - 199) if seen[hash(b[k : k + 200])] > 1], int)
+        removed[i] = int(kernels.covered(at, 200, len(b)).sum()) if len(at) else 0
+    for options in ({}, {"limit": 1 << 16}, {"hot_contents": 3}):  # mapped files; hot anchors
+        got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.suffix_dedup(d, **options).select("row.doc_id", "n_removed").collect()}
+        assert got == removed, options
+
+
+def test_parameters_are_checked(spark, none):
+    for length in (15, 255, 300):
+        with pytest.raises(ValueError, match="length must be"):
+            suffix_dedup.suffix_dedup(none, length=length)
+    with pytest.raises(ValueError, match="window must be"):
+        substring_dedup.substring_dedup(none, window=1)
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="no plain byte-level BPE"):
+        bpe.Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
