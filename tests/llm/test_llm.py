@@ -176,6 +176,22 @@ def test_jaccard_many_near_copies(spark):
     assert multiset(got.collect()) == multiset(clusters(out))
 
 
+def test_jaccard_families(spark):
+    """Near copies that mostly don't link: their columns are hot and their sets multiplied whole."""
+    rng = random.Random(2)
+    out, base = [], [f"w{i}" for i in range(200)]
+    for i in range(260):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 4, 5, 5, 6])):
+            w[rng.randrange(200)] = f"x{rng.random()}"
+        out.append((i, " ".join(w[: rng.choice([200, 200, 190, 170])]), *[None] * 8))
+    d = spark.createDataFrame(out, SCHEMA).repartition(4)
+    got = jaccard.jaccard_components(d).select("row.doc_id", "row.text", "n_shingles", "component_id")
+    want = clusters(out)
+    assert 2 < len({w[3] for w in want}) < 250
+    assert multiset(got.collect()) == multiset(want)
+
+
 def hits(text, windows):
     w = plain(text)
     mask, found = [False] * len(w), set()
