@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from . import kernels as K
 from .common import cut, map_batches
 
-BITS = 22
+BITS = 21
 CELLS = 1 << BITS
 
 
