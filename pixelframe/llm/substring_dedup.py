@@ -473,7 +473,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if window < 2:
         raise ValueError(f"window must be 2 or more words, not {window}")
     size = text_bytes(docs, text_col)
-    ranges, groups, n_bits = max(16, -(-size // RANGE_BYTES)), max(64, -(-size // GROUP_BYTES)), bit_count(size // 64)
+    ranges, groups, n_bits = max(16, -(-size // RANGE_BYTES)), max(64, -(-size // GROUP_BYTES)), bit_count(size // 512)
     key = keyed(docs, id_col, text_col, carry)
     state, length, found = candidates(key, window, ranges, groups, n_bits), window, []
     names = [x.split()[0] for x in STATE.split(", ")]
