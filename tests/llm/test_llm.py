@@ -417,6 +417,37 @@ def test_toxicity_by_loops():
             assert slope[i] == pytest.approx((up - down) / 2e-6, abs=1e-6)
 
 
+def test_toxicity_learns_from_every_row(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 3_000, raising=False)
+    # "vile" occurs only in texts that the sample of 8,000 rows, by hash, passed over
+    rows = spark.range(8_000).selectExpr("concat('plain words ', id % 97, ' of row ', id) AS text", "0 AS toxic")
+    bad = spark.range(500).selectExpr("concat('rotten words ', id % 97, ' of row ', id) AS text", "1 AS toxic")
+    rare = spark.range(20_000).selectExpr("concat('vile words ', id % 97, ' of row ', id) AS text", "1 AS toxic")
+    rare = rare.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) >= int(8_000 / 9_000 * (1 << 20))).limit(500)
+    d = rows.unionAll(bad).unionAll(rare).withColumn("lang", F.lit("en"))
+    model = toxicity.train(d)
+    new = spark.createDataFrame([(w, f"{w} words {i} of row new{i}") for w in ("plain", "rotten", "vile") for i in range(20)], "kind string, text string")
+    got = defaultdict(list)
+    for r in toxicity.score(new, model).select("row.kind", "score").collect():
+        got[r["kind"]].append(r["score"] >= 0.3)
+    assert not any(got["plain"]) and all(got["rotten"]) and all(got["vile"])
+
+
+def test_toxicity_cuts_by_loops(spark):
+    rng = random.Random(4)
+    data = [(rng.choice(["en", "de", "", None]), int(rng.random() < 0.3), rng.choice([-2.0, -0.5, 0.25, 1.0, 3.0]) + rng.randrange(12)) for _ in range(400)] + [("xx", 1, 7.0), ("yy", 0, 2.0), ("yy", 1, 3.0)]
+    d = spark.createDataFrame(data, "lang string, y int, z double")
+    for parts in (1, 5):
+        got = toxicity.best_cuts(d, parts)
+        assert set(got) == {"", "en", "de", "xx", "yy"}
+        for g, (at, ones, n) in got.items():
+            own = [(z, y) for x, y, z in data if g in ("", x)]
+            f1 = lambda c: 2 * sum(y for z, y in own if z >= c) / (sum(z >= c for z, _ in own) + sum(y for _, y in own))  # noqa: B023, E731
+            top = max({z for z, _ in own}, key=lambda c: (f1(c), c))
+            below = max((z for z, _ in own if z < top), default=top - 1)
+            assert (at, ones, n) == ((top + below) / 2, sum(y for _, y in own), len(own))
+
+
 def test_toxicity_edges(spark):
     data = [(1, "bad words here", 1, "en"), (2, "nice words here", 0, "en"), (2, "nice words here", 0, "en"), (3, None, 1, "en"), (4, "", 0, None), (None, "... !!", 0, "en"), (5, "long " * 200_000, 0, "en")] * 12
     d = spark.createDataFrame(data, "doc_id long, text string, toxic int, lang string").withColumns({"row": F.lit("r"), "score": F.lit(9), "a.b c": F.lit(1)})
