@@ -358,6 +358,30 @@ def test_bit_slices():
     assert np.all(counts < 0.003 * len(other))  # corrected for false positives
 
 
+def test_jaccard_sets_are_sent_in_waves(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "WAVE_ROWS", 10, raising=False)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    data = []
+    for i in range(14):
+        w = list(base)
+        for k in rng.sample(range(60), i % 4):
+            w[k] = f"x{i}"
+        data.append((i, " ".join(w)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(56)} for i, t in data}
+    h, counts = jaccard.shingle_sets(pa.array([t for _, t in data]), 5)
+    nodes = jaccard.digests(h, counts)[0].tolist()
+    at = {n: i for i, n in enumerate(nodes)}
+    pairs = sorted({(min(x, y), max(x, y)) for x in nodes for y in nodes if x != y})
+    assert len(pairs) > 40
+    released = []
+    monkeypatch.setattr(jaccard, "release", lambda s: released.append(1))
+    held = jaccard.Sets(spark.createDataFrame(data, "doc_id long, text string").select("text"), 5, np.zeros(0, np.int64))
+    got = sorted((r["u"], r["v"]) for r in held.linked(spark.createDataFrame(pairs, "a bigint, b bigint")).collect())
+    want = [(a, b) for a, b in pairs if 100 * len(sets[at[a]] & sets[at[b]]) >= 80 * len(sets[at[a]] | sets[at[b]])]
+    assert got == want and want and len(released) >= len(pairs) // 10
+
+
 def test_toxicity(spark, none):
     d = "/root/testdata/sf0.1"
     got = queries.QUERIES["op4_toxicity"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").collect()
