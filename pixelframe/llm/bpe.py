@@ -21,6 +21,7 @@ import hashlib
 import json
 import math
 import mmap
+import re
 import tempfile
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -32,10 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import carried, column, cut, fields, map_batches, prepare, table
+from .substring_dedup import spans
 
 LEXICON_WORDS = 30_000
 COUNTED_WORDS = 200_000  # distinct words that a task counts before it hands them on
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
+NO_PAIR = 1 << 62
+NUMBERS = list(map(str, range(1 << 17)))
+I8 = np.int64
 
 
 def default_path() -> str:
@@ -78,8 +83,7 @@ class Vocabulary:
             self.ranks[plain(a), plain(b)] = rank
         pairs = {(self.ids[a] << 16) | self.ids[b]: (r, self.ids[a + b]) for (a, b), r in self.ranks.items()} if max(vocab.values(), default=0) < 1 << 16 else {}
         self.pair_key = np.array(sorted(pairs), np.uint32)
-        self.pair_rank = np.array([pairs[k][0] for k in sorted(pairs)], np.int32)
-        self.pair_id = np.array([pairs[k][1] for k in sorted(pairs)], np.int32)
+        self.pair_value = np.array([(pairs[k][0] << 16) | pairs[k][1] for k in sorted(pairs)], np.int64)  # rank, then id
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.tokens |= {i: t.encode() for t, i in self.special.items()}
 
@@ -111,35 +115,62 @@ class Vocabulary:
         return tuple(self.ids[p] for p in parts if p is not None)
 
 
+    def pair_values(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank and id of what each pair of ids is joined to; NO_PAIR if it isn't, or b is none (-1)."""
+        key = (a.astype(np.uint32) << np.uint32(16)) | (b.astype(np.uint32) & np.uint32(0xFFFF))
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        return np.where((self.pair_key[at] == key) & (b >= 0), self.pair_value[at], NO_PAIR)
+
     def merge_all(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """merge() of many words at once: in each round every word joins its lowest-ranked,
-        leftmost pair."""
-        out: list = [None] * len(words)
-        short = [i for i, w in enumerate(words) if 0 < len(w) <= 48 and len(self.pair_key)]
-        for i in set(range(len(words))).difference(short):
-            out[i] = self.merge(words[i])
+        """merge() of many words at once."""
+        flat, counts = self.merged(words)
+        ids, ends = flat.tolist(), np.cumsum(counts).tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words and how many each has. In each round every word joins its
+        lowest-ranked, leftmost pair, and only the pairs on both sides of it are looked up again."""
+        sizes = np.fromiter(map(len, words), I8, len(words))
+        short = (sizes > 0) & (sizes <= 48) & (len(self.pair_key) > 0)
+        plain = np.flatnonzero(~short)
+        whole = [self.merge(words[i]) for i in plain.tolist()]
+        flat, which, counts = [np.fromiter(chain.from_iterable(whole), np.int32)], [plain], [np.fromiter(map(len, whole), I8, len(whole))]
         single = np.array([self.ids.get(bytes([b]), 0) for b in range(256)], np.int32)
-        short.sort(key=lambda i: len(words[i]))
-        for k in range(0, len(short), 8192):
-            part = np.array(short[k : k + 8192])
-            sizes = np.array([len(words[i]) for i in part])
-            tok = np.full((len(part), int(sizes[-1]) + 1), -1, np.int32)
-            inside = np.arange(tok.shape[1]) < sizes[:, None]
-            tok[inside] = single[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
+        order = np.flatnonzero(short)
+        order = order[np.argsort(sizes[order], kind="stable")]
+        for k in range(0, len(order), 8192):
+            part = order[k : k + 8192]
+            tok = np.full((len(part), int(sizes[part[-1]]) + 1), -1, np.int32)
+            tok[np.arange(tok.shape[1]) < sizes[part][:, None]] = single[np.frombuffer(b"".join([words[i] for i in part.tolist()]), np.uint8)]
+            value = self.pair_values(tok[:, :-1], tok[:, 1:])
             while len(part):
-                key = (tok[:, :-1].astype(np.uint32) << np.uint32(16)) | (tok[:, 1:].astype(np.uint32) & np.uint32(0xFFFF))
-                at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
-                rank = np.where((self.pair_key[at] == key) & (tok[:, 1:] >= 0), self.pair_rank[at], 1 << 30)
-                best = rank.argmin(axis=1)
+                best = value.argmin(axis=1)
+                low = value[np.arange(len(part)), best]
+                more = low < NO_PAIR
+                if not more.all():
+                    done = tok[~more]
+                    which.append(part[~more])
+                    counts.append((done >= 0).sum(axis=1))
+                    flat.append(done[done >= 0])
+                    part, tok, value, best, low = (x[more] for x in (part, tok, value, best, low))
                 row = np.arange(len(part))
-                more = rank[row, best] < 1 << 30
-                for i, ids in zip(part[~more].tolist(), tok[~more].tolist()):
-                    out[i] = tuple(ids[: ids.index(-1)])
-                part, tok, best, row = part[more], tok[more], best[more], np.arange(int(more.sum()))
-                tok[row, best] = self.pair_id[at[more, :][row, best]]
-                cols = np.arange(tok.shape[1] - 1)
-                tok = np.take_along_axis(tok, np.append(cols + (cols > best[:, None]), np.full((len(part), 1), tok.shape[1] - 1), axis=1), axis=1)
-        return out
+                tok[row, best] = low & 0xFFFF
+                tok, value = without(tok, best + 1), without(value, best)
+                value[row, best] = self.pair_values(tok[row, best], tok[row, best + 1])
+                left = np.flatnonzero(best)
+                at = best[left]
+                value[left, at - 1] = self.pair_values(tok[left, at - 1], tok[left, at])
+        ids, at, n = np.concatenate(flat), np.concatenate(which), np.concatenate(counts)
+        back = np.empty(len(at), I8)
+        back[at] = np.arange(len(at))
+        return ids[spans((np.cumsum(n) - n)[back], n[back])], n[back]
+
+
+def without(x: np.ndarray, column_: np.ndarray) -> np.ndarray:
+    """x without one cell of each row."""
+    keep = np.ones(x.shape, bool)
+    keep[np.arange(len(x)), column_] = False
+    return x[keep].reshape(len(x), x.shape[1] - 1)
 
 
 class Lexicon:
@@ -241,6 +272,11 @@ class Lexicon:
     def ids_of(self, number: int) -> tuple[int, ...]:
         return tuple(self.id[self.start[number] : self.start[number + 1]].tolist())
 
+    def all_ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words of these numbers and how many each has."""
+        counts = self.start[numbers + 1] - self.start[numbers]
+        return self.id[spans(self.start[numbers], counts)], counts
+
 
 def splitter(pattern: str, special: list[str]) -> Callable[[str], list[tuple[bool, str]]]:
     """Cuts a text into special tokens and the stretches between them."""
@@ -252,39 +288,90 @@ def splitter(pattern: str, special: list[str]) -> Callable[[str], list[tuple[boo
     return lambda text: [(i % 2 == 1, x) for i, x in enumerate(cut.split(text)) if x] if cut.search(text) else [(False, text)]
 
 
+#: The usual pattern, and what it matches in text of ASCII characters only.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BYTE_LEVEL_ASCII = r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+
+
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """All words of a text. Text of ASCII characters only takes a pattern without Unicode classes."""
+    import regex
+
+    find = regex.compile(pattern).findall
+    if pattern != BYTE_LEVEL:
+        return find
+    plain = re.compile(BYTE_LEVEL_ASCII).findall
+    return lambda text: plain(text) if text.isascii() else find(text)
+
+
+class Coded:
+    """A text as the words that the coder knows: ids, the ids' decimals and the decoded bytes of each."""
+
+    __slots__ = ("words",)
+
+    def __init__(self, words: list[tuple[bytes, str, bytes]]):
+        self.words = words
+
+    def ids(self) -> np.ndarray:
+        return np.frombuffer(b"".join([w[0] for w in self.words]), np.int32)
+
+    def decimals(self) -> str:
+        return ",".join([w[1] for w in self.words])
+
+    def text(self) -> str:
+        return b"".join([w[2] for w in self.words]).decode("utf-8", "replace")
+
+
 class Coder:
-    """Encodes and decodes in one Python worker; keeps the ids of words it has met."""
+    """Encodes and decodes in one Python worker; keeps what it knows of words it has met
+    lately: of two halves of CACHED_WORDS the older one goes when the newer one is full."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, lexicon: bytes):
-        import regex
-
-        self.v, self.words = vocabulary, regex.compile(pattern).findall
+        self.v, self.words = vocabulary, finder(pattern)
         self.cut = splitter(pattern, list(vocabulary.special))
         self.lexicon = Lexicon(lexicon)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.special = dict(zip(vocabulary.special, self.coded(np.array([*vocabulary.special.values()], np.int32), np.ones(len(vocabulary.special), I8))))
+        self.known: dict[str, tuple[bytes, str, bytes]] = {}
+        self.older: dict[str, tuple[bytes, str, bytes]] = {}
+
+    def coded(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[tuple[bytes, str, bytes]]:
+        """Of words with these ids, counts a word: what a Coded text is made of."""
+        plain = ids.tolist()
+        names = list(map(NUMBERS.__getitem__, plain) if max(plain, default=0) < len(NUMBERS) else map(str, plain))
+        tokens = list(map(self.v.tokens.__getitem__, plain))
+        raw, named, text = ids.tobytes(), ",".join(names), b"".join(tokens)
+        ends = np.cumsum(counts)
+        cuts = []
+        for sizes in (np.full(len(plain), 4), np.fromiter(map(len, names), I8, len(plain)) + 1, np.fromiter(map(len, tokens), I8, len(plain))):
+            cuts.append(np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])].tolist())
+        for a, b, c, d, e, f in zip(cuts[0], cuts[0][1:], cuts[1], cuts[1][1:], cuts[2], cuts[2][1:]):
+            yield raw[a:b], named[c : d - 1], text[e:f]
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = list(words)
-        plain = [w.encode() for w in new]
-        numbers = self.lexicon.numbers(plain).tolist()
-        for w, n in zip(new, numbers):
-            if n >= 0:
-                self.known[w] = self.lexicon.ids_of(n)
-        lacks = [i for i, n in enumerate(numbers) if n < 0]
-        self.known.update(zip((new[i] for i in lacks), self.v.merge_all([plain[i] for i in lacks])))
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """The ids of each text. Words that no earlier batch had are learnt together."""
+        if len(self.known) > CACHED_WORDS // 2:
+            self.known, self.older = {}, self.known
+        new = words.difference(self.known)
+        back = new.intersection(self.older)
+        self.known.update(zip(back, map(self.older.__getitem__, back)))
+        found = list(new.difference(back))
+        plain = [w.encode() for w in found]
+        numbers = self.lexicon.numbers(plain)
+        known, lacks = np.flatnonzero(numbers >= 0), np.flatnonzero(numbers < 0)
+        for at, (ids, counts) in ((known, self.lexicon.all_ids(numbers[known])), (lacks, self.v.merged([plain[i] for i in lacks.tolist()]))):
+            self.known.update(zip([found[i] for i in at.tolist()], self.coded(ids, counts)))
+
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
+    def encode(self, texts: list[str | None]) -> Iterator[Coded]:
+        """Each text's words. Those that no earlier batch had are learnt together."""
         parts = [[x if special else self.words(x) for special, x in self.cut(text)] if text else [] for text in texts]
-        self.learn({w for p in parts for x in p if isinstance(x, list) for w in x})
-        get, special = self.known.__getitem__, self.v.special
-        return [list(chain.from_iterable(chain.from_iterable(map(get, x)) if isinstance(x, list) else (special[x],) for x in p)) for p in parts]
-
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.v.tokens.__getitem__, ids)).decode("utf-8", "replace")
+        words: set[str] = set()
+        words.update(*(x for p in parts for x in p if isinstance(x, list)))
+        self.learn(words)
+        get, special = self.known.__getitem__, self.special
+        for p in parts:
+            yield Coded(list(chain.from_iterable(map(get, x) if isinstance(x, list) else (special[x],) for x in p)))
 
 
 _coder: list = []
@@ -300,9 +387,7 @@ def worker_coder(value: tuple[Vocabulary, bytes], pattern: str) -> Coder:
 
 def count_words(pattern: str, special: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find, cut = regex.compile(pattern).findall, splitter(pattern, special)
+        find, cut = finder(pattern), splitter(pattern, special)
         n: Counter = Counter()
         hand = lambda: pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], ["word", "n"])
         for b in batches:
@@ -336,9 +421,9 @@ def build_lexicon(docs: DataFrame, text_col: str, vocabulary: Vocabulary, patter
     return Lexicon.compile({(b := r["word"].encode()): vocabulary.merge(b) for r in top.collect()})
 
 
-def bpe(docs: DataFrame, outputs: Callable[[list[int], str], tuple], schema: str, text_col: str = "text", path: str | None = None, pattern: str | None = None, carry: list[str] | None = None, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+def bpe(docs: DataFrame, outputs: Callable[[Coded], tuple], schema: str, text_col: str = "text", path: str | None = None, pattern: str | None = None, carry: list[str] | None = None, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """row (struct of `carry`, all columns unless given), and for each document the columns
-    of `schema` that outputs(ids, decoded text) returns; see encode() for the plain form."""
+    of `schema` that outputs(coded text) returns; see encode() for the plain form."""
     if pattern is None:
         import public_tokenizers
 
@@ -352,9 +437,11 @@ def bpe(docs: DataFrame, outputs: Callable[[list[int], str], tuple], schema: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_coder(shared.value, pattern)
         for b in batches:
-            made = [outputs(ids, coder.decode(ids)) for ids in coder.encode(b.column("text").to_pylist())]
+            made = [outputs(x) for x in coder.encode(b.column("text").to_pylist())]
             columns = [pa.array(c, t) for c, t in zip(zip(*made) if made else [[]] * len(names), kinds)]
             yield pa.RecordBatch.from_arrays([b.column("row"), *columns], ["row", *names])
+            del made, columns
+        coder.forget()  # an idle worker holds no words
 
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [{"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}[x.split()[1]] for x in schema.split(", ")]
@@ -364,15 +451,12 @@ def bpe(docs: DataFrame, outputs: Callable[[list[int], str], tuple], schema: str
 
 def encode(docs: DataFrame, **options) -> DataFrame:
     """row, ids and the text decoded from them."""
-    return bpe(docs, lambda ids, text: (ids, text), "ids array<int>, decoded string", **options)
-
-
-NUMBERS = list(map(str, range(1 << 17)))
+    return bpe(docs, lambda x: (x.ids(), x.text()), "ids array<int>, decoded string", **options)
 
 
-def digest(ids: list[int], text: str) -> tuple[int, str, str]:
-    names = map(NUMBERS.__getitem__, ids) if max(ids, default=0) < len(NUMBERS) else map(str, ids)
-    return len(ids), hashlib.sha256(",".join(names).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+def digest(x: Coded) -> tuple[int, str, str]:
+    names = x.decimals()
+    return names.count(",") + 1 if names else 0, hashlib.sha256(names.encode()).hexdigest(), hashlib.sha256(x.text().encode()).hexdigest()
 
 
 def op7_bpe_encoding(spark, sf_dir: str) -> DataFrame:

@@ -251,6 +251,39 @@ def test_lexicon():
     assert vocabulary.merge_all(odd) == [vocabulary.merge(w) for w in odd]
 
 
+def test_words_of_ascii_text():
+    import public_tokenizers
+    import regex
+
+    assert bpe.BYTE_LEVEL == public_tokenizers.PATTERN  # else the shorter pattern is never taken
+    find, plain = bpe.finder(bpe.BYTE_LEVEL), regex.compile(bpe.BYTE_LEVEL).findall
+    for a in map(chr, range(128)):
+        for b in map(chr, range(128)):
+            for text in (a + b, f"x{a}{b}x", f" {a}{b} ", f"'{a}{b}'s", f"1 {a}\n{b}"):
+                assert find(text) == plain(text)
+
+
+def test_coder_forgets(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 40)
+    v = bpe.Vocabulary(bpe.default_path())
+    frequent = [b" the", b" and", b"a"]
+    coder = bpe.Coder(v, public_tokenizers.PATTERN, bpe.Lexicon.compile({w: v.merge(w) for w in frequent}))
+    rng = random.Random(4)
+    most = 0
+    for _ in range(40):
+        texts = [" ".join(rng.choice(["the", "and", "é", "a", str(rng.randint(0, 500)), "zq" * rng.randint(1, 40)]) for _ in range(20)) for _ in range(2)] + [None, "", "<|endoftext|>é the"]
+        for text, x in zip(texts, coder.encode(texts)):
+            want = [i for special, part in coder.cut(text or "") for w in ([part] if special else coder.words(part)) for i in ((v.special[w],) if special else v.merge(w.encode()))]
+            assert (x.ids().tolist(), x.text()) == (want, text or "")
+            assert bpe.digest(x) == (len(want), sha(",".join(map(str, want))), sha(text or ""))
+        most = max(most, len(coder.known) + len(coder.older))
+    assert most <= 40 + 3 * 50  # two halves and the words of the last batches
+    coder.forget()
+    assert not coder.known and not coder.older
+
+
 def test_token_counts(docs, none, rows):
     import public_tokenizers
     import regex
