@@ -99,6 +99,20 @@ def test_substring_dedup(docs, none, rows):
     assert substring_dedup.substring_dedup(none).count() == 0
 
 
+def test_first_level_sends_low_bytes(docs, monkeypatch):
+    t = pa.array([" ".join(f"w{i % 9}{i}" for i in range(400))] * 2)
+    one = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([5, 6]), t], ["id", "th", "text"])
+    ranges = 16
+    made = [r for b in substring_dedup.from_text(7, ranges, 4, substring_dedup.FIRST_BYTES)(iter([one])) for r in b.to_pylist() if r["dest"] < ranges]
+    assert sum(len(r["hashes"]) for r in made) == 394 * substring_dedup.FIRST_BYTES < 394 * 8
+    h = np.array([0, 1, 255, 1 << 40, (1 << 64) - 1], np.uint64)
+    for k in (1, 5, 8):
+        assert (substring_dedup.from_low(substring_dedup.low_bytes(h, k), k) == h & np.uint64((1 << 8 * k) - 1)).all()
+    want = multiset(tuple(r) for r in substring_dedup.substring_dedup(docs).drop("row").collect())
+    monkeypatch.setattr(substring_dedup, "FIRST_BYTES", 1)  # nearly all windows become candidates by chance
+    assert multiset(tuple(r) for r in substring_dedup.substring_dedup(docs).drop("row").collect()) == want
+
+
 def test_suffix_dedup(docs, none, rows):
     for length in (64, 200):
         seen = Counter(b[i : i + length] for r in rows for b in [(r[1] or "").encode()] for i in range(len(b) - length + 1))
