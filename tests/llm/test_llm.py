@@ -429,6 +429,27 @@ def test_jaccard_sets_are_sent_in_waves(spark, monkeypatch):
     assert got == want and want and len(released) >= len(pairs) // 10
 
 
+def test_jaccard_cuts_only_texts_of_candidates(spark, monkeypatch):
+    words = [" ".join(f"a{k}b{i}" for i in range(30)) for k in range(50)]
+    h, counts = jaccard.shingle_sets(pa.array(words), 5)
+    nodes = jaccard.digests(h, counts)[0]
+    wanted, ths = (jaccard.Bitmap(np.zeros(1 << 13, np.uint8)) for _ in range(2))
+    wanted.add(nodes[:3].view(np.uint64))
+    ths.add(np.arange(100, 103).astype(np.uint64))
+    b = pa.RecordBatch.from_arrays([pa.array(range(100, 150), pa.int64()), pa.array(words)], ["th", "text"])
+    cut, plain = [], jaccard.shingle_sets
+    monkeypatch.setattr(jaccard, "shingle_sets", lambda text, n: cut.append(len(text)) or plain(text, n))
+    got = [r for x in jaccard.set_rows(5, wanted, np.zeros(0, np.int64), ths)(iter([b, b])) for r in x.to_pylist()]
+    assert sorted(r["node"] for r in got) == sorted(nodes[:3].tolist()) and sum(cut) == 6
+    monkeypatch.undo()
+    d = spark.createDataFrame([(100 + i, t) for i, t in enumerate(words)], "th long, text string")
+    signed = spark.createDataFrame([(int(n), th) for i, n in enumerate(nodes) for th in (100 + i, 900 + i)], "node long, th long")
+    held = jaccard.Sets(d, 5, np.zeros(0, np.int64), 0, signed)
+    for x, y in ((0, 1), (1, 7)):
+        held.add(spark.createDataFrame([(int(nodes[x]), int(nodes[y]))], "a bigint, b bigint"))
+    assert sorted(r["node"] for r in held.rows.collect()) == sorted(nodes[[0, 1, 7]].tolist())
+
+
 def test_toxicity(spark, none):
     d = "/root/testdata/sf0.1"
     got = queries.QUERIES["op4_toxicity"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").collect()
