@@ -115,8 +115,8 @@ def least_of(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarra
 
 
 def segments(buf: np.ndarray, offsets: np.ndarray, length: int, hot: Bitmap | None = None) -> tuple[np.ndarray, ...]:
-    """In order: each segment's text, first byte, windows, key and content hash. Segments with
-    a hot anchor are cut into single windows."""
+    """In order: each segment's text, first byte, windows, key, content hash and whether it is
+    a single window cut from a segment with a hot anchor."""
     out: list[tuple] = []
     gram = gram_of(length)
     reach = length - gram
@@ -159,11 +159,11 @@ def segments(buf: np.ndarray, offsets: np.ndarray, length: int, hot: Bitmap | No
         mid = (s + e) >> 1
         whole, half = (first[e] - first[s]) * down[s], (first[mid] - first[s]) * down[s]
         d = K.mix(whole * K.KEYS[30] + K.mix(half * K.KEYS[32]) + c.astype(U8))
-        out.append((lo + s, c, np.where(split, K.mix(whole * K.KEYS[33]), g), d))
+        out.append((lo + s, c, np.where(split, K.mix(whole * K.KEYS[33]), g), d, split))
     if not out:
-        return (np.zeros(0, I8),) * 3 + (np.zeros(0, U8),) * 2
-    s, c, k, d = map(np.concatenate, zip(*out))
-    return np.searchsorted(offsets, s, "right") - 1, s, c, k, d
+        return (np.zeros(0, I8),) * 3 + (np.zeros(0, U8),) * 2 + (np.zeros(0, bool),)
+    s, c, k, d, split = map(np.concatenate, zip(*out))
+    return np.searchsorted(offsets, s, "right") - 1, s, c, k, d, split
 
 
 def key_counts(length: int, ranges: int, hot: Bitmap | None):
@@ -188,10 +188,8 @@ def key_counts(length: int, ranges: int, hot: Bitmap | None):
 
         for b in batches:
             buf, offsets = K.text_buffer(b.column("text"))
-            _, _, c, k, d = segments(buf, offsets, length, hot)
+            _, _, _, k, d, single = segments(buf, offsets, length, hot)
             if hot is not None:
-                _, _, c0, g, _ = segments(buf, offsets, length)
-                single = np.repeat(hot.marked(g), np.where(hot.marked(g), c0, 1))
                 k, d = k[single], d[single]
             held.append((k, d))
             size += len(k)
@@ -270,7 +268,7 @@ def segment_blocks(length: int, ranges: int, groups: int, found: Bitmap, hot: Bi
 
         for b in batches:
             buf, offsets = K.text_buffer(b.column("text"))
-            doc, s, c, k, d = segments(buf, offsets, length, hot)
+            doc, s, c, k, d, _ = segments(buf, offsets, length, hot)
             keep = found.marked(k)
             doc, s, c, k, d = (x[keep] for x in (doc, s, c, k, d))
             if not len(d):
@@ -410,7 +408,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         key_of = np.empty(len(ids), I8)
         key_of[order] = np.cumsum(new) - 1
         buf, offsets = K.text_buffer(docs_t.column("text").take(pa.array(one)))
-        doc, s, c, k, d = segments(buf, offsets, length, hot)
+        doc, s, c, k, d, _ = segments(buf, offsets, length, hot)
         keep = found.marked(k)
         doc, s, c, k = (x[keep] for x in (doc, s, c, k))
         total = np.bincount(doc, weights=c, minlength=len(one)).astype(I8)
@@ -426,9 +424,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             b = b.filter(pa.array(~answered.marked(key_hash(np.asarray(b.column("id"), I8), np.asarray(b.column("th"), I8)))))
-            texts = [(x or "").encode() for x in b.column("text").to_pylist()]
+            buf, offsets = K.text_buffer(b.column("text"))
+            texts = (buf[i:j].tobytes() for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
             n = b.num_rows
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([len(x) for x in texts], pa.int64()), *(pa.array(np.zeros(n, I8)) for _ in range(2)), pa.array([ended(x) for x in texts], pa.string())], empty.names)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(np.diff(offsets), pa.int64()), *(pa.array(np.zeros(n, I8)) for _ in range(2)), pa.array([ended(x) for x in texts], pa.string())], empty.names)
 
     touched = left.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, schema)
     return touched.unionAll(map_batches(key, untouched, schema))

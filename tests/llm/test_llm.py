@@ -130,6 +130,24 @@ def test_suffix_dedup(docs, none, rows):
     assert suffix_dedup.suffix_dedup(none).count() == 0
 
 
+def test_hot_windows_take_one_pass(monkeypatch):
+    rng = random.Random(6)
+    text = pa.array([" ".join(rng.choice(["aa", "b", "cde", "f g"]) for _ in range(120)) for _ in range(6)])
+    buf, offsets = suffix_dedup.K.text_buffer(text)
+    _, _, c, g, _, split = suffix_dedup.segments(buf, offsets, 32)
+    assert not split.any()
+    hot = suffix_dedup.Bitmap(np.zeros(1 << 13, np.uint8))
+    hot.add(g[::3])
+    want = sum(c[hot.marked(g)].tolist())
+    passes, plain = [], suffix_dedup.segments
+    monkeypatch.setattr(suffix_dedup, "segments", lambda *x: passes.append(1) or plain(*x))
+    got = list(suffix_dedup.key_counts(32, 16, hot)(iter([pa.RecordBatch.from_arrays([text], ["text"])])))
+    assert len(passes) == 1 and want > 100
+    contents = np.frombuffer(b"".join(x for b in got for x in b.column("contents").to_pylist()), np.int32)
+    _, s, _, _, d, single = plain(buf, offsets, 32, hot)
+    assert int(single.sum()) == want and int(contents.sum()) == len(np.unique(d[single]))
+
+
 def test_induced_sorting():
     rng = random.Random(7)
     for _ in range(150):
