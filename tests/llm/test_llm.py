@@ -468,6 +468,39 @@ def test_jaccard_cuts_only_texts_of_candidates(spark, monkeypatch):
     assert sorted(r["node"] for r in held.rows.collect()) == sorted(nodes[[0, 1, 7]].tolist())
 
 
+@pytest.mark.parametrize("few", [1 << 20, 40, 0])
+def test_components_take_few_jobs(spark, monkeypatch, few):
+    """What one batch can hold is joined in it, not in rounds of joins of a dozen small jobs each."""
+    monkeypatch.setattr(jaccard, "FEW_LINKS", few, raising=False)
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(100, 140)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(-5, 7), (7, 7), (9, -(1 << 62))]
+    parent = {x: x for link in links for x in link}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    want = {x: find(x) for x in parent if find(x) != x}
+    d = spark.createDataFrame(links, "u long, v long").repartition(3)
+    sc = spark.sparkContext
+    sc.setJobGroup(f"components {few}", "")
+    try:
+        got = {r["node"]: r["comp"] for r in jaccard.components(d).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == want
+    if few > len(links):
+        assert len(sc.statusTracker().getJobIdsForGroup(f"components {few}")) <= 8
+    monkeypatch.setattr(jaccard, "FEW_LINKS", few, raising=False)
+    labels = jaccard.joined(None, d.where("u < 250"))
+    got = {r["node"]: r["comp"] for r in jaccard.joined(labels, d.where("u >= 250")).collect() if r["node"] != r["comp"]}
+    assert got == want
+
+
 def test_toxicity(spark, none):
     d = "/root/testdata/sf0.1"
     got = queries.QUERIES["op4_toxicity"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").collect()
