@@ -71,6 +71,16 @@ def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - (ends - counts), counts)
 
 
+def runs(positions: np.ndarray) -> bytes:
+    """Ascending positions as starts, then lengths, of runs of neighbours."""
+    at = np.flatnonzero(np.diff(positions, prepend=-2) != 1)
+    return np.concatenate([positions[at], np.diff(np.append(at, len(positions)))]).astype(np.int32).tobytes()
+
+
+def from_runs(data: bytes) -> np.ndarray:
+    return spans(*np.frombuffer(data, np.int32).astype(I8).reshape(2, -1))
+
+
 def bits(mask: np.ndarray) -> bytes:
     return np.packbits(mask).tobytes()
 
@@ -407,7 +417,8 @@ def candidates(key: DataFrame, window: int, ranges: int, groups: int, n_bits: in
 def next_level(state: DataFrame, length: int, ranges: int, groups: int, flags: bool = False) -> DataFrame:
     """Rows (q, id, th, length, and with flags the windows that an earlier document has) of
     documents with a repeated window of this length, and the candidates of twice the length."""
-    replies = exchange(map_batches(state, from_state(ranges, groups), BLOCK), ranges, groups)
+    replies = cut(exchange(map_batches(state, from_state(ranges, groups), BLOCK), ranges, groups))
+    release(state.sparkSession)  # the hashes are sent again, with their positions, when the blocks are gone
     names = [x.split()[0] for x in f"{DONE}, {STATE}".replace("q int, ids", "to int, ids").split(", ")]
 
     def settle(state_t: pa.Table, replies_t: pa.Table) -> pa.Table:
@@ -422,7 +433,7 @@ def next_level(state: DataFrame, length: int, ranges: int, groups: int, flags: b
                 first = np.cumsum(counts) - counts
                 for d in np.flatnonzero(np.add.reduceat(rep, first)).tolist():
                     x = slice(first[d], first[d] + counts[d])
-                    done.append((q, int(ids[d]), int(ths[d]), length, positions[x][flag[x]].astype(np.int32).tobytes() if flags else None))
+                    done.append((q, int(ids[d]), int(ths[d]), length, runs(positions[x][flag[x]]) if flags else None))
                 n2, p2, *more = doubled(length, counts, positions, h, check, rep)
                 if len(p2):
                     out.append(state_columns(q, ids, ths, n2, p2, *more))
@@ -473,7 +484,7 @@ def cut_texts(key: DataFrame, done: DataFrame, window: int, keep_text: bool, gro
         for u, k in enumerate(one.tolist()):
             n = int(first[u + 1] - first[u])
             longest, at = found.get((int(ids[k]), int(ths[k])), (0, b""))
-            gone = K.covered(np.frombuffer(at, np.int32).astype(I8), window, n) if at else None
+            gone = K.covered(from_runs(at), window, n) if at else None
             made.append((n, 0 if gone is None else int(gone.sum()), left_over(buf, offsets, starts, ends, first, u, gone), longest))
         return pa.Table.from_arrays(out(docs_t.column("row"), *zip(*[made[u] for u in key_of.tolist()])), empty.names)
 
@@ -496,7 +507,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     release(docs.sparkSession)  # texts and answers of the first level
     while not state.isEmpty():
         level = next_level(state, length, ranges, groups, length == window)
-        found.append(level.where("ids IS NULL").select([x.split()[0] for x in DONE.split(", ")]))
+        # the few rows by themselves: kept with the level they would keep the candidates on disk to the end
+        found.append(cut(level.where("ids IS NULL").select([x.split()[0] for x in DONE.split(", ")])))
         state, length = level.where("ids IS NOT NULL").select(F.col("to").alias("q"), *names[1:]), 2 * length
         release(docs.sparkSession)
     done = docs.sparkSession.createDataFrame([], DONE) if not found else found[0]

@@ -113,6 +113,32 @@ def test_first_level_sends_low_bytes(docs, monkeypatch):
     assert multiset(tuple(r) for r in substring_dedup.substring_dedup(docs).drop("row").collect()) == want
 
 
+def test_levels_leave_little_behind(spark, monkeypatch):
+    """Of a level only short rows are kept to the end; its blocks go before its candidates are sent."""
+    events, plain, level = [], substring_dedup.cut, substring_dedup.next_level
+
+    def cut(df):
+        events.append("state" if "positions" in df.columns else "done" if "flagged" in df.columns else "blocks" if "rep" in df.columns else "other")
+        return plain(df)
+
+    def next_level(*a):
+        events.append("level")
+        return level(*a)
+
+    monkeypatch.setattr(substring_dedup, "cut", cut)
+    monkeypatch.setattr(substring_dedup, "next_level", next_level)
+    monkeypatch.setattr(substring_dedup, "release", lambda s: events.append("release"))
+    text = " ".join(f"w{i}" for i in range(120))
+    d = spark.createDataFrame([(1, text), (2, "start " + text), (3, "other words"), (4, text[:200] + " between " + text[200:])], "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.substring_dedup(d).select("row.doc_id", "n_words", "n_removed", "longest_repeat").collect()}
+    assert got[1] == (120, 0, 104) and got[2] == (121, 120, 104) and got[3] == (2, 0, 0)
+    levels = " ".join(events).split("level ")[1:]
+    assert len(levels) == 4 and all(x.split()[:5] == ["blocks", "release", "state", "done", "release"] for x in levels)
+    at = np.array([0, 1, 2, 7, 9, 10], np.int64)
+    assert substring_dedup.from_runs(substring_dedup.runs(at)).tolist() == at.tolist()
+    assert len(substring_dedup.runs(np.arange(5, 5000))) == 8 and not substring_dedup.runs(at[:0])
+
+
 def test_suffix_dedup(docs, none, rows):
     for length in (64, 200):
         seen = Counter(b[i : i + length] for r in rows for b in [(r[1] or "").encode()] for i in range(len(b) - length + 1))
