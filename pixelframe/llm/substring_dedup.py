@@ -382,7 +382,7 @@ def candidates(key: DataFrame, window: int, ranges: int, groups: int, n_bits: in
     half = (window + 1) // 2
     table = K.space_words()
     replies = cut(exchange(map_batches(key.select("id", "th", "text"), from_text(half, ranges, groups, FIRST_BYTES), BLOCK), ranges, groups, FIRST_BYTES))
-    release(key.sparkSession)
+    release(key.sparkSession, 4)
     answered = bitmap(replies.select("ids", "ths"), lambda b: key_hash(longs(b, "ids"), longs(b, "ths")), n_bits)
     left = map_batches(key.select("id", "th", "text"), packed_by_group(groups, answered), "q int, pack binary")
 
@@ -418,7 +418,7 @@ def next_level(state: DataFrame, length: int, ranges: int, groups: int, flags: b
     """Rows (q, id, th, length, and with flags the windows that an earlier document has) of
     documents with a repeated window of this length, and the candidates of twice the length."""
     replies = cut(exchange(map_batches(state, from_state(ranges, groups), BLOCK), ranges, groups))
-    release(state.sparkSession)  # the hashes are sent again, with their positions, when the blocks are gone
+    release(state.sparkSession, 4)  # the hashes are sent again, with their positions, when the blocks are gone
     names = [x.split()[0] for x in f"{DONE}, {STATE}".replace("q int, ids", "to int, ids").split(", ")]
 
     def settle(state_t: pa.Table, replies_t: pa.Table) -> pa.Table:
@@ -504,13 +504,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = keyed(docs, id_col, text_col, carry)
     state, length, found = candidates(key, window, ranges, groups, n_bits), window, []
     names = [x.split()[0] for x in STATE.split(", ")]
-    release(docs.sparkSession)  # texts and answers of the first level
+    release(docs.sparkSession, 4)  # texts and answers of the first level
     while not state.isEmpty():
         level = next_level(state, length, ranges, groups, length == window)
         # the few rows by themselves: kept with the level they would keep the candidates on disk to the end
         found.append(cut(level.where("ids IS NULL").select([x.split()[0] for x in DONE.split(", ")])))
         state, length = level.where("ids IS NOT NULL").select(F.col("to").alias("q"), *names[1:]), 2 * length
-        release(docs.sparkSession)
+        release(docs.sparkSession, 4)
     done = docs.sparkSession.createDataFrame([], DONE) if not found else found[0]
     for x in found[1:]:
         done = done.unionAll(x)

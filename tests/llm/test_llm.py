@@ -127,7 +127,7 @@ def test_levels_leave_little_behind(spark, monkeypatch):
 
     monkeypatch.setattr(substring_dedup, "cut", cut)
     monkeypatch.setattr(substring_dedup, "next_level", next_level)
-    monkeypatch.setattr(substring_dedup, "release", lambda s: events.append("release"))
+    monkeypatch.setattr(substring_dedup, "release", lambda s, rounds=2: events.append("release"))
     text = " ".join(f"w{i}" for i in range(120))
     d = spark.createDataFrame([(1, text), (2, "start " + text), (3, "other words"), (4, text[:200] + " between " + text[200:])], "doc_id long, text string")
     got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.substring_dedup(d).select("row.doc_id", "n_words", "n_removed", "longest_repeat").collect()}
