@@ -47,6 +47,8 @@ PACK_BYTES = 24 << 20
 #: whatever the corpus size, so about two in a million windows become candidates by chance and are found out later.
 FIRST_BYTES = 5
 GROUP_BYTES = 4 << 20  # of text for a cogroup
+PER_TASK = 4  # ranges or groups of candidates that a task settles in turn: they hold little, and a task costs more than most of them
+KEYS_PER_TASK = 32  # groups whose keys a task marks or hands on together
 BLOCK = "dest int, ids binary, ths binary, fs binary, counts binary, hashes binary, checks binary, bits binary"
 REPLY = "q int, p int, ids binary, ths binary, fs binary, counts binary, rep binary, flag binary"
 DONE = "q int, id bigint, th bigint, length bigint, flagged binary"
@@ -362,8 +364,8 @@ def unpacked(column: pa.ChunkedArray) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in column]).combine_chunks()
 
 
-def exchange(blocks: DataFrame, ranges: int, groups: int, width: int = 8) -> DataFrame:
-    return blocks.repartition(ranges + groups, "dest").groupBy("dest").applyInArrow(answer(ranges, groups, width), REPLY)
+def exchange(blocks: DataFrame, ranges: int, groups: int, width: int = 8, per_task: int = 1) -> DataFrame:
+    return blocks.repartition(-(-(ranges + groups) // per_task), "dest").groupBy("dest").applyInArrow(answer(ranges, groups, width), REPLY)
 
 
 def distinct_keys(docs_t: pa.Table) -> tuple[np.ndarray, ...]:
@@ -383,7 +385,8 @@ def candidates(key: DataFrame, window: int, ranges: int, groups: int, n_bits: in
     table = K.space_words()
     replies = cut(exchange(map_batches(key.select("id", "th", "text"), from_text(half, ranges, groups, FIRST_BYTES), BLOCK), ranges, groups, FIRST_BYTES))
     release(key.sparkSession, 4)
-    answered = bitmap(replies.select("ids", "ths"), lambda b: key_hash(longs(b, "ids"), longs(b, "ths")), n_bits)
+    marks = replies.select("ids", "ths").coalesce(-(-(ranges + groups) // KEYS_PER_TASK))  # a bitmap a task, whatever it marks
+    answered = bitmap(marks, lambda b: key_hash(longs(b, "ids"), longs(b, "ths")), n_bits)
     left = map_batches(key.select("id", "th", "text"), packed_by_group(groups, answered), "q int, pack binary")
 
     def settle(docs_t: pa.Table, replies_t: pa.Table) -> pa.Table:
@@ -417,7 +420,8 @@ def candidates(key: DataFrame, window: int, ranges: int, groups: int, n_bits: in
 def next_level(state: DataFrame, length: int, ranges: int, groups: int, flags: bool = False) -> DataFrame:
     """Rows (q, id, th, length, and with flags the windows that an earlier document has) of
     documents with a repeated window of this length, and the candidates of twice the length."""
-    replies = cut(exchange(map_batches(state, from_state(ranges, groups), BLOCK), ranges, groups))
+    n = -(-groups // PER_TASK)
+    replies = cut(exchange(map_batches(state.coalesce(n), from_state(ranges, groups), BLOCK), ranges, groups, per_task=PER_TASK))
     release(state.sparkSession, 4)  # the hashes are sent again, with their positions, when the blocks are gone
     names = [x.split()[0] for x in f"{DONE}, {STATE}".replace("q int, ids", "to int, ids").split(", ")]
 
@@ -442,7 +446,7 @@ def next_level(state: DataFrame, length: int, ranges: int, groups: int, flags: b
         return pa.Table.from_arrays(columns, names)
 
     schema = f"{DONE}, {STATE}".replace("q int, ids", "to int, ids")
-    return cut(state.repartition(groups, "q").groupBy("q").cogroup(replies.repartition(groups, "q").groupBy("q")).applyInArrow(settle, schema))
+    return cut(state.repartition(n, "q").groupBy("q").cogroup(replies.repartition(n, "q").groupBy("q")).applyInArrow(settle, schema))
 
 
 def cut_texts(key: DataFrame, done: DataFrame, window: int, keep_text: bool, groups: int, n_bits: int) -> DataFrame:
@@ -508,7 +512,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     while not state.isEmpty():
         level = next_level(state, length, ranges, groups, length == window)
         # the few rows by themselves: kept with the level they would keep the candidates on disk to the end
-        found.append(cut(level.where("ids IS NULL").select([x.split()[0] for x in DONE.split(", ")])))
+        short = level.where("ids IS NULL").select([x.split()[0] for x in DONE.split(", ")])
+        found.append(cut(short.coalesce(-(-groups // KEYS_PER_TASK))))
         state, length = level.where("ids IS NOT NULL").select(F.col("to").alias("q"), *names[1:]), 2 * length
         release(docs.sparkSession, 4)
     done = docs.sparkSession.createDataFrame([], DONE) if not found else found[0]

@@ -99,6 +99,17 @@ def test_substring_dedup(docs, none, rows):
     assert substring_dedup.substring_dedup(none).count() == 0
 
 
+def test_substring_dedup_marks_in_few_tasks(spark, monkeypatch):
+    """Each task that marks keys makes a whole bitmap, so the keys of all levels come in few partitions."""
+    seen, real = [], substring_dedup.bitmap
+    monkeypatch.setattr(substring_dedup, "bitmap", lambda keys, *a: seen.append(keys.rdd.getNumPartitions()) or real(keys, *a))
+    shared = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, shared), (2, "a " + shared), (3, "other words")], "doc_id long, text string")
+    out = {r["row"]["doc_id"]: (r["n_removed"], r["longest_repeat"]) for r in substring_dedup.substring_dedup(docs).collect()}
+    assert out == {1: (0, 52), 2: (60, 52), 3: (0, 0)}
+    assert len(seen) == 2 and max(seen) <= 16
+
+
 def test_first_level_sends_low_bytes(docs, monkeypatch):
     t = pa.array([" ".join(f"w{i % 9}{i}" for i in range(400))] * 2)
     one = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([5, 6]), t], ["id", "th", "text"])
