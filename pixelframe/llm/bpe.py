@@ -17,10 +17,12 @@ equal results. Carried columns travel in a struct, so names can't clash.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import math
 import mmap
+import pickle
 import re
 import tempfile
 from collections import Counter
@@ -38,6 +40,7 @@ from .substring_dedup import spans
 LEXICON_WORDS = 30_000
 COUNTED_WORDS = 200_000  # distinct words that a task counts before it hands them on
 CACHED_WORDS = 200_000
+ENCODED_CHARS = 1 << 20  # of texts whose words a worker holds at once
 NO_PAIR = 1 << 62
 NUMBERS = list(map(str, range(1 << 17)))
 I8 = np.int64
@@ -374,15 +377,30 @@ class Coder:
             yield Coded(list(chain.from_iterable(map(get, x) if isinstance(x, list) else (special[x],) for x in p)))
 
 
-_coder: list = []
-
-
-def worker_coder(value: tuple[Vocabulary, bytes], pattern: str) -> Coder:
-    """The coder of this Python process, kept from task to task for the words it knows."""
-    tag = (pattern, len(value[0].ids), hashlib.sha256(value[1]).digest())
-    if not _coder or _coder[0] != tag:
-        _coder[:] = [tag, Coder(value[0], pattern, value[1])]
-    return _coder[1]
+def stretches(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in order, in lists of ENCODED_CHARS or a little more."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t or "")
+        if size >= ENCODED_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def encode_batches(batches: Iterator[pa.RecordBatch], shared: tuple[bytes, bytes], pattern: str, outputs: Callable[[Coded], tuple], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """row and outputs of each text. shared: pickled vocabulary and lexicon. Spark keeps Python
+    workers, more of them than run at once, so nothing of the coder outlives the task."""
+    coder = Coder(pickle.loads(shared[0]), pattern, shared[1])
+    for b in batches:
+        made = [outputs(x) for texts in stretches(b.column("text").to_pylist()) for x in coder.encode(texts)]
+        columns = [pa.array(c, t) for c, t in zip(zip(*made) if made else [[]] * len(names), kinds)]
+        yield pa.RecordBatch.from_arrays([b.column("row"), *columns], ["row", *names])
+        del made, columns
+    del coder
+    gc.collect()  # free lists of tuples would keep memory of the words they held
 
 
 def count_words(pattern: str, special: list[str]):
@@ -432,16 +450,10 @@ def bpe(docs: DataFrame, outputs: Callable[[Coded], tuple], schema: str, text_co
     prepare(spark)
     vocabulary = Vocabulary(path or default_path())
     lexicon = build_lexicon(docs, text_col, vocabulary, pattern, lexicon_words)
-    shared = spark.sparkContext.broadcast((vocabulary, lexicon))  # bounded by the tokenizer file and LEXICON_WORDS
+    shared = spark.sparkContext.broadcast((pickle.dumps(vocabulary), lexicon))  # bounded by the tokenizer file and LEXICON_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = worker_coder(shared.value, pattern)
-        for b in batches:
-            made = [outputs(x) for x in coder.encode(b.column("text").to_pylist())]
-            columns = [pa.array(c, t) for c, t in zip(zip(*made) if made else [[]] * len(names), kinds)]
-            yield pa.RecordBatch.from_arrays([b.column("row"), *columns], ["row", *names])
-            del made, columns
-        coder.forget()  # an idle worker holds no words
+        yield from encode_batches(batches, shared.value, pattern, outputs, names, kinds)
 
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [{"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}[x.split()[1]] for x in schema.split(", ")]

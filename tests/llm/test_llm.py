@@ -1,8 +1,10 @@
 """The training-data operators against brute force on small fixtures with odd rows."""
 
 import hashlib
+import pickle
 import random
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -353,6 +355,36 @@ def test_coder_forgets(monkeypatch):
     assert not coder.known and not coder.older
 
 
+def test_bpe_leaves_no_coder(monkeypatch):
+    """Idle Python workers keep neither vocabulary nor words, and only some texts are cut into words at once."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    made, sizes = [], []
+
+    class Watched(bpe.Coder):
+        def __init__(self, *a):
+            super().__init__(*a)
+            made.append(weakref.ref(self))
+
+        def encode(self, texts):
+            sizes.append(sum(len(t or "") for t in texts))
+            return super().encode(texts)
+
+    monkeypatch.setattr(bpe, "Coder", Watched)
+    monkeypatch.setattr(bpe, "ENCODED_CHARS", 1000)
+    texts = [None, "", "one two " * 40, *("ab cd " * n for n in range(60)), "x" * 3000, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["row", "text"])
+    vocabulary = bpe.Vocabulary(bpe.default_path())
+    shared = (pickle.dumps(vocabulary), bpe.Lexicon.compile({w: vocabulary.merge(w) for w in (b"ab", b" cd")}))
+    out = list(bpe.encode_batches(iter([batch, batch]), shared, public_tokenizers.PATTERN, lambda x: (x.ids(), x.text()), ["ids", "decoded"], [pa.list_(pa.int32()), pa.string()]))
+    assert [b.column("decoded").to_pylist() for b in out] == [[t or "" for t in texts]] * 2
+    tokenizer = Tokenizer.from_file(bpe.default_path())
+    assert out[1].column("ids").to_pylist() == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sum(sizes) == 2 * sum(len(t or "") for t in texts) and max(sizes) < 1000 + 3000
+    assert len(made) == 1 and made[0]() is None
+
+
 def test_token_counts(docs, none, rows):
     import public_tokenizers
     import regex
