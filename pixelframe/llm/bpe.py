@@ -40,7 +40,7 @@ from .substring_dedup import spans
 LEXICON_WORDS = 30_000
 COUNTED_WORDS = 200_000  # distinct words that a task counts before it hands them on
 CACHED_WORDS = 200_000
-ENCODED_CHARS = 1 << 20  # of texts whose words a worker holds at once
+ENCODED_CHARS = 1 << 22  # of texts whose words a worker holds at once: about a usual batch, as short lists take more CPU
 NO_PAIR = 1 << 62
 NUMBERS = list(map(str, range(1 << 17)))
 I8 = np.int64
